@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wirelens.llm import line_dedup
+from wirelens.llm import line_dedup, packing
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_line_dedup": line_dedup.op2_line_dedup}
+    return {
+        "op2_line_dedup": line_dedup.op2_line_dedup,
+        "op4_best_fit_packing": packing.op4_best_fit_packing,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
