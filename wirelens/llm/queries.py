@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wirelens.llm import language_id, line_dedup, packing
+from wirelens.llm import language_id, line_dedup, packing, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_line_dedup": line_dedup.op2_line_dedup,
         "op4_best_fit_packing": packing.op4_best_fit_packing,
         "op6_language_id": language_id.op6_language_id,
+        "op7_url_filter": url_filter.op7_url_filter,
     }
 
 
