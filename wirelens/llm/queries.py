@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wirelens.llm import language_id, line_dedup, packing, url_filter
+from wirelens.llm import language_id, line_dedup, packing, quality, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality_rules": quality.op1_quality_rules,
         "op2_line_dedup": line_dedup.op2_line_dedup,
         "op4_best_fit_packing": packing.op4_best_fit_packing,
         "op6_language_id": language_id.op6_language_id,
