@@ -60,7 +60,7 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> tuple[Column, Column]
     return F.col(doc_id), F.xxhash64(F.col(text))
 
 
-def ranked(df: DataFrame, group: list[str], order: list[str], rank: str, per_task: int = 4096) -> DataFrame:
+def ranked(df: DataFrame, group: list[str], order: list[str | Column], rank: str, per_task: int = 4096) -> DataFrame:
     """``rank``: 0, 1, 2, ... within each group, in the order of a hash of ``order`` and then of ``order``.
 
     A group may hold any share of the rows. Its rows are dealt to hash buckets of about ``per_task`` rows, ranked

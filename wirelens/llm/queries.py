@@ -6,18 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wirelens.llm import language_id, line_dedup, packing, quality, url_filter
+from wirelens.llm import language_id, line_dedup, mixing, packing, preference, quality, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": quality.op1_quality_rules,
         "op2_line_dedup": line_dedup.op2_line_dedup,
+        "op3_chat_preference": preference.op3_chat_preference,
         "op4_best_fit_packing": packing.op4_best_fit_packing,
         "op6_language_id": language_id.op6_language_id,
         "op7_url_filter": url_filter.op7_url_filter,
+        "op9_pfair_mixing": mixing.op9_pfair_mixing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": line_dedup.OP2_SQL}
+    return {"op2_line_dedup": line_dedup.OP2_SQL, "op3_chat_preference": preference.OP3_SQL}
