@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wirelens.llm import language_id, line_dedup, mixing, packing, preference, quality, url_filter
+from wirelens.llm import jaccard_join, language_id, line_dedup, mixing, packing, preference, quality, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_line_dedup": line_dedup.op2_line_dedup,
         "op3_chat_preference": preference.op3_chat_preference,
         "op4_best_fit_packing": packing.op4_best_fit_packing,
+        "op5_jaccard_join": jaccard_join.op5_jaccard_join,
         "op6_language_id": language_id.op6_language_id,
         "op7_url_filter": url_filter.op7_url_filter,
         "op9_pfair_mixing": mixing.op9_pfair_mixing,
