@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wirelens.llm import jaccard_join, language_id, line_dedup, mixing, packing, preference, quality, url_filter
+from wirelens.llm import jaccard_join, language_id, line_dedup, mixing, packing, preference, quality, sharding, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_jaccard_join": jaccard_join.op5_jaccard_join,
         "op6_language_id": language_id.op6_language_id,
         "op7_url_filter": url_filter.op7_url_filter,
+        "op8_sharding": sharding.op8_sharding,
         "op9_pfair_mixing": mixing.op9_pfair_mixing,
     }
 
