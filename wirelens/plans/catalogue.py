@@ -5,11 +5,238 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wirelens.functions import formats, names
+from wirelens.operators import analytics, classify, correlate, delivery, identity, project
+from wirelens.plans import packets
+from wirelens.sources import wire as source
+from wirelens.streaming import correlator
+
+TIMEOUT = 6 * 3600 * formats.NANO
+SAMPLE = 10
+
+
+def tx(spark: SparkSession, sf_dir: str, lazy: bool = False) -> DataFrame:
+    """Transactions with leg and service role. A user has one key, so its id stands for the key's columns."""
+    found = correlate.transactions(source.wire(spark, sf_dir), TIMEOUT, lazy, key=["user_id"])
+    return classify.with_service_role(found.withColumn("leg", classify.leg(source.LOCAL, source.BACKEND)), source.SERVICE_ROLES)
+
+
+def _transactions(lazy: bool):
+    return lambda s, d: tx(s, d, lazy).select("seq", "outcome", "cause", "rtt_ns", "rtt_valid", "response_seq", "rcode", "client_ip", "server_ip", "qname", "qtype")
+
+
+def _dhcp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return project.dhcp_messages(source.wire(spark, sf_dir))
+
+
+def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return project.wide_dns(tx(spark, sf_dir)).unionByName(project.wide_dhcp(_dhcp(spark, sf_dir)))
+
+
+def _final(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows delivered twice, the second time under another host name; the last one counts."""
+    rows = _wide(spark, sf_dir)
+    twice = rows.withColumn("version", F.lit(1)).unionByName(rows.withColumns({"source_host": F.lit("capture-02"), "version": F.lit(2)}))
+    return analytics.newest(twice, ["source_type", "observed_time", "event_id"], "version").drop("version")
+
+
+def _points(enabled: list[str] | None):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        points = project.metric_points(tx(spark, sf_dir), _dhcp(spark, sf_dir), enabled)
+        dims = F.array_join(F.transform(F.map_entries("dims"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
+        return points.select("observed_ns", "name", "value", dims.alias("dims"))
+
+    return run
+
+
+def _sampled(by_key: bool):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = tx(spark, sf_dir)
+        keep = identity.keep_key(identity.key_bytes(), SAMPLE) if by_key else identity.keep_number(F.col("seq"), SAMPLE)
+        return rows.withColumns({"forced": classify.always_emitted(), "kept": keep}).where("forced OR kept").select("seq", "outcome", "forced", "kept")
+
+    return run
+
+
+def _formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ns = F.col("observed_ns") - 1_704_500_000_123_456_789
+    return source.wire(spark, sf_dir).select("seq", formats.epoch_text(ns).alias("epoch_text"), formats.utc_text(ns).alias("utc_text"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    w = source.wire
+    return {
+        "dns_transactions_eager": _transactions(False),
+        "dns_transactions_lazy": _transactions(True),
+        "dns_outcome_counts_by_role": lambda s, d: analytics.outcome_counts(tx(s, d)),
+        "dns_leg_classification": lambda s, d: w(s, d).where("kind <> 'dhcp'").select("seq", classify.leg(source.LOCAL, source.BACKEND).alias("leg")),
+        "dns_service_role": lambda s, d: tx(s, d).select("seq", "leg", "service_role"),
+        "dns_emit_predicate": lambda s, d: tx(s, d).select("seq", classify.always_emitted().alias("forced")),
+        "dns_sampled": _sampled(False),
+        "dns_sampled_fnv": _sampled(True),
+        "event_id_sha": lambda s, d: w(s, d).select("seq", identity.event_id(F.lit(project.HOST), F.lit(project.INTERFACE), F.col("observed_ns"), project.frame_of(F.col("kind"), F.col("seq"))).alias("event_id")),
+        "wide_row_dns": lambda s, d: project.wide_dns(tx(s, d)),
+        "wide_row_dhcp": lambda s, d: project.wide_dhcp(_dhcp(s, d)),
+        "wide_row_all": _wide,
+        "wide_row_dedup_final": _final,
+        "metric_points": _points(None),
+        "metric_points_allowlist": _points(["dns.rtt_seconds", "dhcp.events_total"]),
+        "rtt_percentiles_by_role": lambda s, d: analytics.rtt_percentiles(tx(s, d)),
+        "dns_error_rate_by_tier": lambda s, d: analytics.error_rate(tx(s, d)),
+        "unanswered_rate_hourly": lambda s, d: analytics.unanswered_rate(tx(s, d)),
+        "interval_counters": lambda s, d: analytics.interval_counters(tx(s, d)),
+        "cumulative_counters": lambda s, d: analytics.cumulative_counters(tx(s, d)),
+        "pending_depth_gauge": lambda s, d: analytics.pending_depth(tx(s, d), TIMEOUT),
+        "lease_history_by_client": lambda s, d: analytics.lease_history(_dhcp(s, d)),
+        "leg_join_servfail_upstream": lambda s, d: analytics.leg_join(tx(s, d), TIMEOUT),
+        "txn_key_format": lambda s, d: w(s, d).where("kind <> 'dhcp'").select("seq", formats.transaction_key().alias("txn_key")),
+        "time_formats": _formats,
+        "sourcetype_routing": lambda s, d: tx(s, d).select("seq", project.sourcetype({"dhcpv4": "net:dhcp"}, F.lit("dns"), F.col("service_role")).alias("sourcetype"), project.sourcetype({"dhcpv4": "net:dhcp"}, F.lit("dhcpv4"), F.lit("")).alias("dhcp_sourcetype")),
+        "rcode_names": lambda s, d: w(s, d).select("seq", names.rcode_name((F.col("seq") % 20).cast("int")).alias("rcode"), names.rr_type_name((F.col("seq") % 300).cast("int")).alias("qtype"), names.dhcpv4_event_type((F.col("seq") % 16).cast("int")).alias("dhcpv4_type"), names.dhcpv6_event_type((F.col("seq") % 20).cast("int")).alias("dhcpv6_type")),
+        "recent_events_topn": lambda s, d: delivery.recent(delivery.entries(w(s, d)), 100),
+        "stream_lengths": lambda s, d: delivery.entries(w(s, d)).groupBy("stream").agg(F.count(F.lit(1)).alias("entries"), F.min(formats.entry_time(F.col("entry_id"))).alias("first_ms"), F.max(formats.entry_time(F.col("entry_id"))).alias("last_ms")),
+        "retention_maxlen": lambda s, d: delivery.retained(delivery.entries(w(s, d)), 1000).select("stream", "entry_id"),
+        "dead_letter_split": lambda s, d: delivery.dead_letters(delivery.entries(w(s, d))),
+        "hec_json_events": lambda s, d: project.event_json(_wide(s, d)),
+        "stream_correlate_available_now": lambda s, d: correlator.run_available_now(s, d, TIMEOUT),
+        **packets.queries(),
+    }
+
+
+_W = f"WITH {source.WIRE_SQL}"
+_LEG = """CASE WHEN (client_port = 53) = (server_port = 53) THEN 'unknown' WHEN server_ip = '192.0.2.53' THEN 'client_facing'
+    WHEN server_ip = '192.0.2.10' THEN 'backend' ELSE 'recursion_upstream' END"""
+_ROLE = "CASE WHEN leg = 'unknown' THEN '' WHEN server_ip = '192.0.2.53' THEN 'resolver' WHEN server_ip = '192.0.2.10' THEN 'authoritative' ELSE '' END"
+
+
+def _tx_sql(lazy: bool = False) -> str:
+    return f"""{_W}, {correlate.transactions_sql(TIMEOUT, lazy)},
+t0 AS (SELECT *, {_LEG} AS leg FROM tx), t AS (SELECT *, {_ROLE} AS service_role FROM t0)"""
+
+
+def _case(column: str, table: dict[int, str], default: str) -> str:
+    return f"CASE {column} " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in table.items()) + f" ELSE {default} END"
+
+
+def _id(kind: str) -> str:
+    def framed(raw: str) -> str:
+        return f"unhex(printf('%08x', octet_length({raw}))) || {raw}"
+
+    parts = [f"encode('{project.HOST}')", f"encode('{project.INTERFACE}')", "unhex(printf('%016x', observed_ns))", f"encode({kind} || '-' || seq)"]
+    return f"substr(sha256({' || '.join(map(framed, parts))}), 1, 32)"
+
+
+def _utc(ns: str) -> str:
+    rest = f"((({ns}) % 1000000000 + 1000000000) % 1000000000)"
+    return f"strftime(make_timestamp((({ns}) - {rest}) // 1000), '%Y-%m-%d %H:%M:%S') || '.' || lpad({rest}::VARCHAR, 9, '0')"
+
+
+_RCODE, _RR = _case("rcode", names.RCODES, "rcode::VARCHAR"), _case("qtype", names.RR_TYPES, "'TYPE' || qtype")
+_COMMON = f"{_utc('observed_ns')} AS observed_time, '{project.HOST}' AS source_host, '{project.INTERFACE}' AS capture_interface"
+_WIDE_DNS = f"""SELECT {_id("kind")} AS event_id, {_COMMON}, 'dns' AS source_type,
+  CASE outcome WHEN 'OBSERVED' THEN 'dns.transaction.observed' WHEN 'UNANSWERED' THEN 'dns.query.unanswered' ELSE 'dns.response.unmatched' END AS event_type,
+  CASE WHEN outcome = 'UNMATCHED' THEN server_ip ELSE client_ip END AS src_ip, CASE WHEN outcome = 'UNMATCHED' THEN client_ip ELSE server_ip END AS dst_ip,
+  CASE WHEN outcome = 'UNMATCHED' THEN '' ELSE mac END AS src_mac, '' AS message_type, '' AS client_key, '' AS requested_address, '' AS assigned_address,
+  0 AS is_relayed, CASE WHEN outcome = 'UNMATCHED' THEN '' ELSE qname END AS qname, CASE WHEN outcome = 'UNMATCHED' THEN '' ELSE {_RR} END AS qtype,
+  CASE WHEN outcome = 'UNMATCHED' THEN 0 ELSE qclass END AS qclass, CASE WHEN outcome = 'UNANSWERED' THEN '' ELSE {_RCODE} END AS rcode,
+  CASE WHEN rtt_valid = 1 THEN rtt_ns / 1e9 ELSE 0.0 END::DOUBLE AS rtt_seconds, rtt_valid, leg AS role, service_role, client_ip, server_ip FROM t"""
+_DHCP = """dhcp AS (SELECT seq, observed_ns, user_id, message, mac, CASE WHEN message = 3 THEN '198.51.100.' || (seq % 200 + 1) END AS requested_address,
+  CASE WHEN message IN (2, 5) THEN '198.51.100.' || (seq % 200 + 1) END AS assigned_address, (user_id % 5 = 0)::INT AS is_relayed FROM wire WHERE kind = 'dhcp')"""
+_MESSAGE = _case("message", names.DHCPV4_MESSAGES, "'UNSPECIFIED'")
+_WIDE_DHCP = f"""SELECT {_id("'dhcp'")} AS event_id, {_COMMON}, 'dhcpv4' AS source_type, 'dhcpv4.' || lower({_MESSAGE}) || '.observed' AS event_type,
+  '0.0.0.0' AS src_ip, '255.255.255.255' AS dst_ip, mac AS src_mac, {_MESSAGE} AS message_type, mac AS client_key,
+  coalesce(requested_address, '') AS requested_address, coalesce(assigned_address, '') AS assigned_address, is_relayed, '' AS qname, '' AS qtype, 0 AS qclass,
+  '' AS rcode, 0.0::DOUBLE AS rtt_seconds, 0 AS rtt_valid, '' AS role, '' AS service_role, '' AS client_ip, '' AS server_ip FROM dhcp"""
+_SHORT = "'cf_role=' || leg || CASE WHEN service_role <> '' THEN ',cf_service_role=' || service_role ELSE '' END"
+_FULL = f"""'cf_qtype=' || {_RR} || ',cf_rcode=' || {_RCODE} || ',cf_role=' || leg || ',cf_server_ip=' || server_ip ||
+  CASE WHEN service_role <> '' THEN ',cf_service_role=' || service_role ELSE '' END"""
+_POINTS = f"""points AS (
+  SELECT observed_ns, 'dns.transactions_total' AS name, 1.0::DOUBLE AS value, {_FULL} AS dims FROM t WHERE outcome = 'OBSERVED'
+  UNION ALL SELECT observed_ns, 'dns.rtt_seconds', rtt_ns / 1e9, {_FULL} FROM t WHERE rtt_valid = 1
+  UNION ALL SELECT observed_ns, 'dns.unanswered_total', 1.0, {_SHORT} FROM t WHERE outcome = 'UNANSWERED'
+  UNION ALL SELECT observed_ns, 'dns.unmatched_total', 1.0, {_SHORT} FROM t WHERE outcome = 'UNMATCHED'
+  UNION ALL SELECT observed_ns, 'dhcp.events_total', 1.0, 'cf_is_relayed=' || CASE WHEN is_relayed = 1 THEN 'true' ELSE 'false' END ||
+    ',cf_message_type=' || {_MESSAGE} || ',source_type=dhcpv4' FROM dhcp)"""
+_FORCED = "(outcome <> 'OBSERVED' OR coalesce(rcode, 0) <> 0 OR qtype NOT IN (1, 28))"
+
+
+def _splitmix(x: str) -> str:
+    """splitmix64 of an unsigned number, and whether one in SAMPLE keeps it."""
+    a, b, c = identity.SPLITMIX
+    m = "18446744073709551616::UHUGEINT"
+    return f"""list_transform([({x})::UHUGEINT], lambda z: (
+      list_transform([(z + {a}::UHUGEINT) % {m}], lambda y: list_transform([(xor(y, y // 1073741824::UHUGEINT) * {b}::UHUGEINT) % {m}],
+        lambda u: list_transform([(xor(u, u // 134217728::UHUGEINT) * {c}::UHUGEINT) % {m}], lambda v: xor(v, v // 2147483648::UHUGEINT))[1])[1])[1])
+    )[1] % {SAMPLE} = 0"""
+
+
+_KEY_BYTES = """(CASE transport WHEN 'tcp' THEN '02' ELSE '01' END || CASE leg WHEN 'client_facing' THEN '01' ELSE '00' END || printf('%02x', ip_version)
+  || list_aggregate(list_transform(string_split(client_ip, '.'), lambda o: printf('%02x', o::INT)), 'string_agg', '') || repeat('0', 24)
+  || list_aggregate(list_transform(string_split(server_ip, '.'), lambda o: printf('%02x', o::INT)), 'string_agg', '') || repeat('0', 24)
+  || list_aggregate(list_transform([client_port, server_port, dns_id, qtype, qclass], lambda p: printf('%02x', p % 256) || printf('%02x', p // 256)), 'string_agg', '')
+  || hex(encode(qname)))"""
+_FNV = f"""list_reduce(list_prepend({identity.FNV_OFFSET}::UHUGEINT, list_transform(range(0, length(k) // 2),
+  lambda i: ('0x' || substr(k, (2 * i + 1)::INT, 2))::UTINYINT::UHUGEINT)), lambda h, b: (xor(h, b) * {identity.FNV_PRIME}::UHUGEINT) % 18446744073709551616::UHUGEINT)"""
+_ENTRIES = f"""entries AS (
+  SELECT CASE WHEN kind = 'dhcp' THEN 'events.dhcpv4' ELSE 'events.dns' END AS stream, (observed_ns // 1000000) || '-' || seq AS entry_id,
+    CASE WHEN seq % 97 = 0 THEN 'wire.v0.Event' ELSE '{delivery.SCHEMA}' END AS schema, CASE WHEN seq % 89 = 0 THEN 'json' ELSE '{delivery.ENCODING}' END AS encoding,
+    CASE WHEN seq % 83 = 0 THEN NULL WHEN seq % 79 = 0 THEN 'dhcpv4_lease' WHEN kind = 'dhcp' THEN 'dhcpv4_packet' ELSE 'dns_transaction' END AS payload_kind,
+    seq, observed_ns FROM wire)"""
+_HOUR = "observed_ns // 3600000000000"
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    t, columns = _tx_sql(), "seq, outcome, cause, rtt_ns, rtt_valid, response_seq, rcode, client_ip, server_ip, qname, qtype"
+    wide = f"wide AS ({_WIDE_DNS} UNION ALL BY NAME {_WIDE_DHCP})"
+    v6 = {k: v.lower().replace("_", "-") for k, v in names.DHCPV6_MESSAGES.items() if k < 14}
+    v4 = {k: v.lower() for k, v in names.DHCPV4_MESSAGES.items()}
+    return {
+        "dns_transactions_eager": f"{t} SELECT {columns} FROM t",
+        "dns_transactions_lazy": f"{_tx_sql(True)} SELECT {columns} FROM t",
+        "dns_outcome_counts_by_role": f"{t} SELECT leg, outcome, count(*) AS n FROM t GROUP BY ALL",
+        "dns_leg_classification": f"{_W} SELECT seq, {_LEG} AS leg FROM wire WHERE kind <> 'dhcp'",
+        "dns_service_role": f"{t} SELECT seq, leg, service_role FROM t",
+        "dns_emit_predicate": f"{t} SELECT seq, {_FORCED} AS forced FROM t",
+        "dns_sampled": f"{t}, s AS (SELECT seq, outcome, {_FORCED} AS forced, {_splitmix('seq')} AS kept FROM t) SELECT * FROM s WHERE forced OR kept",
+        "dns_sampled_fnv": f"{t}, b AS (SELECT *, {_KEY_BYTES} AS k FROM t), s AS (SELECT seq, outcome, {_FORCED} AS forced, {_splitmix(_FNV)} AS kept FROM b) SELECT * FROM s WHERE forced OR kept",
+        "event_id_sha": f"{_W} SELECT seq, {_id('kind')} AS event_id FROM wire",
+        "wide_row_dns": f"{t} {_WIDE_DNS}",
+        "wide_row_dhcp": f"{_W}, {_DHCP} {_WIDE_DHCP}",
+        "wide_row_all": f"{t}, {_DHCP}, {wide} SELECT * FROM wide",
+        "wide_row_dedup_final": f"{t}, {_DHCP}, {wide} SELECT DISTINCT * REPLACE ('capture-02' AS source_host) FROM wide",
+        "metric_points": f"{t}, {_DHCP}, {_POINTS} SELECT * FROM points",
+        "metric_points_allowlist": f"{t}, {_DHCP}, {_POINTS} SELECT * FROM points WHERE name IN ('dns.rtt_seconds', 'dhcp.events_total')",
+        "rtt_percentiles_by_role": f"""{t} SELECT leg, count(*) AS n, round(quantile_cont(rtt_ns::DOUBLE, 0.5) / 1e9, 6) AS p50, round(quantile_cont(rtt_ns::DOUBLE, 0.9) / 1e9, 6) AS p90,
+            round(quantile_cont(rtt_ns::DOUBLE, 0.99) / 1e9, 6) AS p99 FROM t WHERE rtt_valid = 1 GROUP BY leg""",
+        "dns_error_rate_by_tier": f"""{t} SELECT service_role, count(*) AS n, count(*) FILTER (WHERE rcode <> 0) AS errors,
+            round((count(*) FILTER (WHERE rcode <> 0)) / count(*), 6) AS error_rate FROM t WHERE outcome = 'OBSERVED' GROUP BY 1""",
+        "unanswered_rate_hourly": f"""{t} SELECT {_HOUR} AS hour, count(*) AS queries, count(*) FILTER (WHERE outcome = 'UNANSWERED') AS unanswered,
+            round((count(*) FILTER (WHERE outcome = 'UNANSWERED')) / count(*), 6) AS rate FROM t WHERE outcome <> 'UNMATCHED' GROUP BY 1""",
+        "interval_counters": f"{t} SELECT {_HOUR} AS hour, outcome, count(*) AS n FROM t GROUP BY ALL",
+        "cumulative_counters": f"{t}, i AS (SELECT {_HOUR} AS hour, outcome, count(*) AS n FROM t GROUP BY ALL) SELECT hour, outcome, (sum(n) OVER (PARTITION BY outcome ORDER BY hour))::BIGINT AS total FROM i",
+        "pending_depth_gauge": f"""{t}, c AS (SELECT {_HOUR} AS hour, 1 AS d FROM t WHERE outcome <> 'UNMATCHED'
+            UNION ALL SELECT (observed_ns + coalesce(rtt_ns, {TIMEOUT})) // 3600000000000, -1 FROM t WHERE outcome <> 'UNMATCHED'),
+            e AS (SELECT hour, sum(d) AS d FROM c GROUP BY 1) SELECT hour, (sum(d) OVER (ORDER BY hour))::BIGINT AS depth FROM e""",
+        "lease_history_by_client": f"""{_W}, {_DHCP} SELECT mac, observed_ns, seq, assigned_address, (row_number() OVER w)::INT AS nth,
+            lag(assigned_address) OVER w IS DISTINCT FROM assigned_address AS changed FROM dhcp WHERE assigned_address IS NOT NULL WINDOW w AS (PARTITION BY mac ORDER BY observed_ns, seq)""",
+        "leg_join_servfail_upstream": f"""{t} SELECT a.seq AS client_seq, b.seq AS upstream_seq, a.qname, b.observed_ns - a.observed_ns AS gap_ns, b.outcome AS upstream_outcome
+            FROM t a JOIN t b ON a.qname = b.qname AND b.observed_ns BETWEEN a.observed_ns AND a.observed_ns + {TIMEOUT}
+            WHERE a.leg = 'client_facing' AND a.outcome = 'OBSERVED' AND a.rcode = 2 AND b.leg = 'recursion_upstream' AND b.outcome <> 'UNMATCHED'""",
+        "txn_key_format": f"""{_W} SELECT seq, transport || ' ' || client_ip || ':' || client_port || '->' || server_ip || ':' || server_port || ' id=' || dns_id || ' ' || qname || '/' || qtype || '/' || qclass AS txn_key
+            FROM wire WHERE kind <> 'dhcp'""",
+        "time_formats": f"""{_W}, n AS (SELECT seq, observed_ns - 1704500000123456789 AS ns FROM wire)
+            SELECT seq, CASE WHEN ns < 0 THEN '-' ELSE '' END || (abs(ns) // 1000000000) || '.' || lpad((abs(ns) % 1000000000)::VARCHAR, 9, '0') AS epoch_text, {_utc('ns')} AS utc_text FROM n""",
+        "sourcetype_routing": f"{t} SELECT seq, 'wire:dns' || CASE WHEN service_role <> '' THEN ':' || service_role ELSE '' END AS sourcetype, 'net:dhcp' AS dhcp_sourcetype FROM t",
+        "rcode_names": f"""{_W} SELECT seq, {_case('seq % 20', names.RCODES, '(seq % 20)::VARCHAR')} AS rcode, {_case('seq % 300', names.RR_TYPES, "'TYPE' || (seq % 300)")} AS qtype,
+            'dhcpv4.' || {_case('seq % 16', v4, "'packet'")} || '.observed' AS dhcpv4_type, 'dhcpv6.' || {_case('seq % 20', v6, "'packet'")} || '.observed' AS dhcpv6_type FROM wire""",
+        "recent_events_topn": f"{_W}, {_ENTRIES} SELECT * FROM entries ORDER BY observed_ns DESC, seq DESC LIMIT 100",
+        "stream_lengths": f"{_W}, {_ENTRIES} SELECT stream, count(*) AS entries, min(observed_ns // 1000000) AS first_ms, max(observed_ns // 1000000) AS last_ms FROM entries GROUP BY 1",
+        "retention_maxlen": f"{_W}, {_ENTRIES} SELECT stream, entry_id FROM entries QUALIFY row_number() OVER (PARTITION BY stream ORDER BY observed_ns DESC, seq DESC) <= 1000",
+        "dead_letter_split": f"""{_W}, {_ENTRIES}, e AS (SELECT *, CASE WHEN encoding <> 'protobuf' THEN 'encoding' WHEN schema <> '{delivery.SCHEMA}' THEN 'schema'
+            WHEN payload_kind IS NULL OR payload_kind = 'dhcpv4_lease' THEN 'payload' END AS error FROM entries)
+            SELECT 'decode_error' AS reason, stream AS origin_stream, entry_id AS origin_id, error FROM e WHERE error IS NOT NULL""",
+        "stream_correlate_available_now": f"{t} SELECT seq, outcome, cause, rtt_ns, rtt_valid, response_seq FROM t WHERE cause <> 'drain'",
+        **packets.oracle_sql(),
+    }
