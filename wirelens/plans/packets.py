@@ -1,9 +1,212 @@
-"""Queries over raw frames."""
+"""Queries over raw frames: a capture of the wire decoded again, and fixtures with known contents."""
 
+from __future__ import annotations
 
-def queries():
-    return {}
+import struct
+from collections.abc import Callable
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-def oracle_sql():
-    return {}
+from wirelens.operators import decap, dhcp, dns, project
+from wirelens.sources import frames
+from wirelens.sources.tables import stored
+from wirelens.sources.wire import WIRE_SQL, wire
+
+CLIENT, SERVER = ("192.0.2.10", 40000), ("192.0.2.53", 53)
+C00C = bytes.fromhex("c00c")
+
+
+def dns_fixtures() -> dict[str, bytes]:
+    a = bytes([192, 0, 2, 80])
+    web = frames.dns_name("web.example.com")
+    opt = b"\0" + struct.pack(">HHIH", 41, 4096, 0x01008000, 8) + struct.pack(">2H", 8, 4) + b"\0\1\0\0"
+    soa = frames.dns_name("ns1.example.com") + frames.dns_name("hostmaster.example.com") + struct.pack(">5I", 2024010101, 7200, 3600, 1209600, 3600)
+    return {
+        "a_query": frames.udp(frames.dns(0x1001, "WWW.example.com", 1), CLIENT, SERVER),
+        "a_response": frames.udp(frames.dns(0x1001, "www.example.com", 1, 0x8180, frames.record(C00C, 1, a), (1, 0, 0)), SERVER, CLIENT),
+        "aaaa_v6": frames.udp(frames.dns(0x2002, "www.example.com", 28), ("2001:db8::1", 40000), ("2001:db8::53", 53)),
+        "nxdomain": frames.udp(frames.dns(0x4004, "no.example.com", 1, 0x8183, frames.record(b"\xc0\x0f", 6, soa), (0, 1, 0)), SERVER, CLIENT),
+        "edns": frames.udp(frames.dns(0x5005, "www.example.com", 1, 0x8180, opt, (0, 0, 1)), SERVER, CLIENT),
+        "cname": frames.udp(frames.dns(0x6006, "alias.example.com", 1, 0x8180, frames.record(C00C, 5, web) + frames.record(web, 1, a), (2, 0, 0)), SERVER, CLIENT),
+        "tcp_query": frames.udp(frames.dns(0x7007, "www.example.com", 1), CLIENT, SERVER, tcp=True),
+        "truncated": frames.udp(frames.dns(0x8008, "www.example.com", 1)[:18], CLIENT, SERVER),
+        "self_pointer": frames.udp(struct.pack(">6H", 0x9009, 0x0100, 1, 0, 0, 0) + C00C + struct.pack(">2H", 1, 1), CLIENT, SERVER),
+        "mx_txt_srv": frames.udp(frames.dns(0xA00A, "example.com", 255, 0x8180, frames.record(C00C, 15, b"\0\x0a" + C00C) + frames.record(C00C, 16, b"\2ab\1c") + frames.record(C00C, 33, struct.pack(">3H", 1, 2, 53) + web), (3, 0, 0)), SERVER, CLIENT),
+        "two_tags": frames.udp(frames.dns(0xB00B, "www.example.com", 1), CLIENT, SERVER, tags=(100, 200)),
+        "short": frames.udp(b"\0" * 11, CLIENT, SERVER),
+    }
+
+
+def dhcp4_fixtures() -> dict[str, bytes]:
+    o = lambda code, data: bytes([code, len(data)]) + data
+    kind = lambda n: o(53, bytes([n]))
+    me = o(61, bytes.fromhex("0102005e100001"))
+    ip = lambda *x: bytes(x)
+    long_ = b"".join(bytes([24, 10, 0, i]) + ip(192, 0, 2, 1) for i in range(45))
+    messages = {
+        "discover": frames.dhcp4(kind(1) + o(55, bytes([1, 3, 6])) + o(57, b"\x05\xdc") + me + b"\xff", flags=0x8000),
+        "offer": frames.dhcp4(kind(2) + o(1, ip(255, 255, 255, 0)) + o(3, ip(192, 0, 2, 1)) + o(51, struct.pack(">I", 86400)) + o(54, ip(192, 0, 2, 2)) + o(58, struct.pack(">I", 43200)) + o(59, struct.pack(">I", 75600)) + b"\xff", yiaddr="192.0.2.50"),
+        "renewal": frames.dhcp4(kind(3) + me + b"\xff", ciaddr="192.0.2.51"),
+        "ack": frames.dhcp4(kind(5) + o(81, b"\4\0\0" + frames.dns_name("client1.example.com")) + o(119, b"\3eng\7example\3com\0\xc0\4") + b"\xff", yiaddr="192.0.2.52"),
+        "relayed": frames.dhcp4(kind(5) + o(82, o(1, b"eth01") + o(2, b"\1\2") + o(6, b"sub-001")) + b"\xff", yiaddr="192.0.2.53", giaddr="192.0.2.254"),
+        "overload": frames.dhcp4(kind(5) + o(52, b"\3") + b"\xff", file=o(1, ip(255, 255, 0, 0)) + b"\xff", sname=o(12, b"host1") + b"\xff"),
+        "long_option": frames.dhcp4(kind(5) + o(121, long_[:255]) + o(121, long_[255:]) + b"\xff"),
+        "overrun": frames.dhcp4(kind(1) + b"\x32\x04\xc0"),
+        "no_type": frames.dhcp4(me + b"\xff"),
+    }
+    return {k: frames.udp(v, ("0.0.0.0", 68), ("255.255.255.255", 67), tags=(100,) if k == "discover" else ()) for k, v in messages.items()}
+
+
+def dhcp6_fixtures() -> dict[str, bytes]:
+    o = lambda code, data: struct.pack(">2H", code, len(data)) + data
+    duid = bytes.fromhex("00030001020000000001")
+    address = bytes.fromhex("20010db8000000000000000000000050")
+    ia = o(3, b"\0\0\0\1" + b"\0" * 8 + o(5, address + b"\0" * 8))
+    inner = b"\1\0\0\1" + o(1, duid)
+    messages = {
+        "solicit": b"\1\0\0\1" + o(1, duid) + o(6, struct.pack(">3H", 23, 24, 31)) + o(3, b"\0" * 12),
+        "reply": b"\7\0\0\2" + o(1, duid) + o(2, duid) + ia,
+        "relay_forw": b"\x0c\0" + address + address + o(9, inner) + o(18, b"if"),
+        "vendor": b"\x0b\0\0\3" + o(17, struct.pack(">I", 99999) + o(1, b"text") + o(2, bytes.fromhex("deadbeef"))),
+        "overrun": b"\1\0\0\4" + o(1, duid) + struct.pack(">2H", 6, 8) + b"\0\x17",
+        "short_ia": b"\7\0\0\5" + o(3, b"\0" * 5),
+    }
+    return {k: frames.udp(v, ("fe80::1", 546), ("ff02::1:2", 547)) for k, v in messages.items()}
+
+
+def odd_frames() -> dict[str, bytes]:
+    plain = frames.udp(b"x" * 20, CLIENT, SERVER)
+    later = bytearray(plain)
+    later[20:22] = b"\0\5"
+    ext = bytearray(frames.udp(b"y" * 8, ("2001:db8::1", 5353), ("2001:db8::2", 53)))
+    hop = bytes(ext[:20]) + b"\0" + bytes(ext[21:54]) + b"\x11" + b"\0" * 7 + bytes(ext[54:])
+    return {
+        "plain": plain, "three_tags": frames.udp(b"x", CLIENT, SERVER, tags=(1, 2, 3)), "later_fragment": bytes(later), "cut_udp": plain[:-1], "cut_ip": plain[:30],
+        "arp": bytes(12) + b"\x08\x06" + bytes(28), "hop_by_hop": hop, "icmp": plain[:23] + b"\1" + plain[24:], "tiny": b"\0" * 10, "one_tag": frames.udp(b"x", CLIENT, SERVER, tags=(7,)),
+    }
+
+
+def _table(spark: SparkSession, made: dict[str, bytes]) -> DataFrame:
+    return spark.createDataFrame([(k, bytearray(v)) for k, v in made.items()], "fixture string, frame binary")
+
+
+def _dns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = decap.dns_message(decap.decapsulated(_table(spark, dns_fixtures()))).withColumn("m", dns.parse(F.col("message")))
+    texts = lambda c: F.array_join(F.transform(F.concat("m.answers", "m.authority"), lambda r: F.concat_ws(" ", r["type_name"], r["text"])), "; ")
+    return m.select(
+        "fixture", "transport", F.col("m.id").alias("id"), F.col("m.rcode").alias("rcode"), F.array_join(F.transform("m.questions", lambda q: F.concat_ws("/", q["qname"], q["qtype_name"])), ";").alias("questions"),
+        texts("m").alias("records"), F.array_join(F.transform("m.warnings", lambda w: F.concat_ws("@", w["code"], w["path"])), ";").alias("warnings"),
+    )
+
+
+def _dhcp4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = decap.decapsulated(_table(spark, dhcp4_fixtures())).withColumn("dhcp", dhcp.parse4(F.col("payload"))).withColumns(dhcp.interpretation())
+    return d.select(
+        "fixture", "event_type", "client_key", "transaction_key", "lease_address", "is_relayed", "is_broadcast", "is_renewal",
+        F.coalesce("dhcp.subnet_mask", F.lit("")).alias("mask"), F.coalesce("dhcp.hostname", "dhcp.fqdn", F.lit("")).alias("name"), F.array_join("dhcp.search", ";").alias("search"),
+        F.size("dhcp.routes").alias("routes"),
+        F.coalesce(F.decode("dhcp.relay.circuit_id", "utf-8"), F.lit("")).alias("circuit"), F.array_join(F.transform("dhcp.warnings", lambda w: F.concat_ws("@", w["code"], w["path"])), ";").alias("warnings"),
+    )
+
+
+def _dhcp6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = decap.decapsulated(_table(spark, dhcp6_fixtures())).withColumn("d", dhcp.parse6(F.col("payload")))
+    return d.select(
+        "fixture", F.col("d.message").alias("message"), F.lower(F.hex(F.coalesce("d.client_duid", F.lit(b"")))).alias("duid"), F.array_join(F.col("d.requested").cast("array<string>"), ",").alias("requested"),
+        F.array_join("d.addresses", ",").alias("addresses"), F.size("d.options").alias("options"), F.array_join(F.transform("d.vendor", lambda v: F.lower(F.hex(v["value"]))), ",").alias("vendor"),
+        F.array_join(F.transform("d.warnings", lambda w: w["code"]), ",").alias("warnings"),
+    )
+
+
+def _decap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = decap.decapsulated(_table(spark, odd_frames()))
+    return d.select("fixture", "status", F.array_join(F.col("vlan_ids").cast("array<string>"), ",").alias("vlans"), F.coalesce("src_ip", F.lit("")).alias("src_ip"), F.coalesce("dst_port", F.lit(0)).alias("dst_port"), F.coalesce(F.octet_length("payload"), F.lit(0)).alias("payload"))
+
+
+def _verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = odd_frames() | {f"dns_{k}": v for k, v in dns_fixtures().items() if k in ("a_query", "two_tags", "tcp_query", "aaaa_v6")} | {f"dhcp_{k}": v for k, v in dhcp4_fixtures().items() if k in ("discover", "offer")} | {"dhcp6": dhcp6_fixtures()["solicit"]}
+    return _table(spark, made).select("fixture", decap.dns_predicate(F.col("frame")).alias("dns"), decap.dhcp_predicate(F.col("frame")).alias("dhcp"))
+
+
+def _roundtrip_dns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames of the whole wire through filter, decapsulation and decoding."""
+    captured = stored(frames.dns_frames(wire(spark, sf_dir)), "capture").where(decap.dns_predicate(F.col("frame")))
+    m = decap.dns_message(decap.decapsulated(captured)).withColumn("m", dns.parse(F.col("message")))
+    q = F.get("m.questions", F.lit(0))
+    return m.select("seq", "observed_ns", "transport", "src_ip", "src_port", "dst_ip", "dst_port", F.col("m.id").alias("dns_id"), F.col("m.qr").alias("is_response"), F.col("m.rcode").alias("rcode"), q["qname"].alias("qname"), q["qtype"].alias("qtype"))
+
+
+def _roundtrip_dhcp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captured = stored(frames.dhcp_frames(project.dhcp_messages(wire(spark, sf_dir))), "capture").where(decap.dhcp_predicate(F.col("frame")))
+    d = decap.decapsulated(captured).withColumn("dhcp", dhcp.parse4(F.col("payload"))).withColumns(dhcp.interpretation())
+    return d.select("seq", "observed_ns", F.col("dhcp.message").alias("message"), F.col("dhcp.client_id_text").alias("mac"), F.coalesce("dhcp.requested_address", F.lit("")).alias("requested_address"), F.col("lease_address").alias("assigned_address"), "is_relayed")
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {
+        "decode_dns_fixtures": _dns, "decode_dhcp4_fixtures": _dhcp4, "decode_dhcp6_fixtures": _dhcp6, "decap_fixtures": _decap, "bpf_verdicts": _verdicts,
+        "frames_roundtrip_dns": _roundtrip_dns, "frames_roundtrip_dhcp": _roundtrip_dhcp,
+    }
+
+
+def _values(columns: str, rows: str) -> str:
+    return f"SELECT * FROM (VALUES {rows}) AS v({columns})"
+
+
+def oracle_sql() -> dict[str, str]:
+    key = "0102005e100001"
+    return {
+        "decode_dns_fixtures": _values(
+            "fixture, transport, id, rcode, questions, records, warnings",
+            """('a_query', 'udp', 4097, 0, 'www.example.com/A', '', ''), ('a_response', 'udp', 4097, 0, 'www.example.com/A', 'A 192.0.2.80', ''),
+            ('aaaa_v6', 'udp', 8194, 0, 'www.example.com/AAAA', '', ''),
+            ('nxdomain', 'udp', 16388, 3, 'no.example.com/A', 'SOA ns1.example.com hostmaster.example.com 2024010101 7200 3600 1209600 3600', ''),
+            ('edns', 'udp', 20485, 16, 'www.example.com/A', '', ''), ('cname', 'udp', 24582, 0, 'alias.example.com/A', 'CNAME web.example.com; A 192.0.2.80', ''),
+            ('tcp_query', 'tcp', 28679, 0, 'www.example.com/A', '', ''), ('truncated', 'udp', 32776, 0, '', '', 'dns_question_truncated@questions[0].qname'),
+            ('self_pointer', 'udp', 36873, 0, '/A', '', 'dns_name_malformed@questions[0].qname'),
+            ('mx_txt_srv', 'udp', 40970, 0, 'example.com/ANY', 'MX 10 example.com; TXT ab c; SRV 1 2 53 web.example.com', ''),
+            ('two_tags', 'udp', 45067, 0, 'www.example.com/A', '', ''), ('short', 'udp', NULL, NULL, NULL, NULL, NULL)""",
+        ),
+        "decode_dhcp4_fixtures": _values(
+            "fixture, event_type, client_key, transaction_key, lease_address, is_relayed, is_broadcast, is_renewal, mask, name, search, routes, circuit, warnings",
+            ", ".join(
+                f"('{f}', 'dhcpv4.{e}.observed', '{k}', '11111111-02:00:5e:10:00:01', '{lease}', {relayed}, {f == 'discover'}, {f == 'renewal'}, '{mask}', '{name}', '{search}', {routes}, '{circuit}', '{warnings}')"
+                for f, e, k, lease, relayed, mask, name, search, routes, circuit, warnings in [
+                    ("discover", "discover", key, "", False, "", "", "", 0, "", ""),
+                    ("offer", "offer", "02:00:5e:10:00:01", "192.0.2.50", False, "255.255.255.0", "", "", 0, "", ""),
+                    ("renewal", "request", key, "", False, "", "", "", 0, "", ""),
+                    ("ack", "ack", "02:00:5e:10:00:01", "192.0.2.52", False, "", "client1.example.com", "eng.example.com;example.com", 0, "", ""),
+                    ("relayed", "ack", "02:00:5e:10:00:01", "192.0.2.53", True, "", "", "", 0, "eth01", ""),
+                    ("overload", "ack", "02:00:5e:10:00:01", "0.0.0.0", False, "255.255.0.0", "host1", "", 0, "", ""),
+                    ("long_option", "ack", "02:00:5e:10:00:01", "0.0.0.0", False, "", "", "", 45, "", ""),
+                    ("overrun", "discover", "02:00:5e:10:00:01", "", False, "", "", "", 0, "", "opt_len_overrun@raw_options[1]"),
+                    ("no_type", "packet", key, "", False, "", "", "", 0, "", ""),
+                ]
+            ),
+        ),
+        "decode_dhcp6_fixtures": _values(
+            "fixture, message, duid, requested, addresses, options, vendor, warnings",
+            """('solicit', 1, '00030001020000000001', '23,24,31', '', 3, '', ''), ('reply', 7, '00030001020000000001', '', '2001:db8::50', 3, '', ''),
+            ('relay_forw', 12, '', '', '', 2, '', ''), ('vendor', 11, '', '', '', 1, '74657874,deadbeef', ''),
+            ('overrun', 1, '00030001020000000001', '23', '', 2, '', 'opt_len_overrun'), ('short_ia', 7, '', '', '', 1, '', 'ia_len_short')""",
+        ),
+        "decap_fixtures": _values(
+            "fixture, status, vlans, src_ip, dst_port, payload",
+            """('plain', 'OK', '', '192.0.2.10', 53, 20), ('three_tags', 'UNSUPPORTED', '1,2', '', 0, 0), ('later_fragment', 'OTHER', '', '192.0.2.10', 0, 0),
+            ('cut_udp', 'TRUNCATED', '', '', 0, 0), ('cut_ip', 'TRUNCATED', '', '', 0, 0), ('arp', 'UNSUPPORTED', '', '', 0, 0), ('hop_by_hop', 'OK', '', '2001:db8::1', 53, 8),
+            ('icmp', 'OTHER', '', '192.0.2.10', 0, 0), ('tiny', 'TRUNCATED', '', '', 0, 0), ('one_tag', 'OK', '7', '192.0.2.10', 53, 1)""",
+        ),
+        "bpf_verdicts": _values(
+            "fixture, dns, dhcp",
+            """('plain', true, false), ('three_tags', false, false), ('later_fragment', false, false), ('cut_udp', true, false), ('cut_ip', false, false), ('arp', false, false),
+            ('hop_by_hop', false, false), ('icmp', false, false), ('tiny', false, false), ('one_tag', true, false), ('dns_a_query', true, false), ('dns_two_tags', false, false),
+            ('dns_tcp_query', true, false), ('dns_aaaa_v6', true, false), ('dhcp_discover', false, true), ('dhcp_offer', false, true), ('dhcp6', false, true)""",
+        ),
+        "frames_roundtrip_dns": f"""WITH {WIRE_SQL} SELECT seq, observed_ns, transport, CASE WHEN kind = 'response' THEN server_ip ELSE client_ip END AS src_ip,
+            CASE WHEN kind = 'response' THEN server_port ELSE client_port END AS src_port, CASE WHEN kind = 'response' THEN client_ip ELSE server_ip END AS dst_ip,
+            CASE WHEN kind = 'response' THEN client_port ELSE server_port END AS dst_port, dns_id, kind = 'response' AS is_response, coalesce(rcode, 0) AS rcode, qname, qtype
+            FROM wire WHERE kind <> 'dhcp'""",
+        "frames_roundtrip_dhcp": f"""WITH {WIRE_SQL} SELECT seq, observed_ns, message, mac, CASE WHEN message = 3 THEN '198.51.100.' || (seq % 200 + 1) ELSE '' END AS requested_address,
+            CASE WHEN message IN (2, 5) THEN '198.51.100.' || (seq % 200 + 1) ELSE '' END AS assigned_address, user_id % 5 = 0 AS is_relayed FROM wire WHERE kind = 'dhcp'""",
+    }

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def durable_folder(spark: SparkSession) -> str:
@@ -14,3 +15,13 @@ def durable_folder(spark: SparkSession) -> str:
         folder = tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("wirelens.shared.dir", folder)
     return folder
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: what follows doesn't recompute it, nor is merged with it."""
+    spark = df.sparkSession
+    path = f"{durable_folder(spark)}/wirelens-{uuid.uuid4().hex}/{label}"
+    df.write.parquet(path)
+    parent = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
+    parent.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(parent)
+    return spark.read.schema(df.schema).parquet(path)
