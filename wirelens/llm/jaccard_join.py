@@ -22,7 +22,7 @@ NUMERATOR, DENOMINATOR = 3, 4
 #: Token hashes are dealt to at least so many ranges, more for larger input: about RANGE_TOKENS to a range.
 LEAST_RANGES, RANGE_TOKENS, CHARS_PER_TOKEN = 256, 500_000, 6
 #: Texts are shingled in slices of about this many characters, of at most 2^16 texts.
-SLICE_CHARS, SLICE_TEXTS = 6_000_000, 60_000
+SLICE_CHARS, SLICE_TEXTS = 1_500_000, 60_000
 #: Sets of one cluster that are linked in one task.
 BLOCK = 4096
 #: Candidates of one set that are verified at a time.
@@ -99,7 +99,7 @@ def _deal(ranges: int):
                     if len(s) and name not in sent:
                         sent.add(name)
                         new.append(k)
-                if len(sent) > 1_000_000:  # forgetting only sends some sets again
+                if len(sent) > 200_000:  # forgetting only sends some sets again
                     sent.clear()
                 out: list[list] = [[-1 - int(part_of(slice_, ranges))], [slice_], [None], [None], [ids.slice(first, at - first).to_pylist()], [[len(s) for s in sets]], [names]]
                 if new:
