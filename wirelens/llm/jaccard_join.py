@@ -59,22 +59,26 @@ def part_of(slices: np.ndarray, parts: int) -> np.ndarray:
         return (mixed(np.asarray(slices).astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
 
 
+_compressor, _decompressor = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def _packed(x: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x).tobytes())
+    return _compressor.compress(np.ascontiguousarray(x).tobytes())
 
 
 def _unpacked(data: bytes, dtype: str) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=dtype)
+    return np.frombuffer(_decompressor.decompress(data), dtype=dtype)
 
 
-DEALT = pa.schema([("range", pa.int32()), ("slice", pa.int64()), ("tokens", pa.binary()), ("owners", pa.binary()), ("doc_id", pa.list_(pa.int64())), ("n", pa.list_(pa.int64())), ("fp", pa.list_(pa.binary()))])
-DEALT_SQL = "range int, slice long, tokens binary, owners binary, doc_id array<long>, n array<long>, fp array<binary>"
+DEALT = pa.schema([("range", pa.int32()), ("slice", pa.int64()), ("tokens", pa.binary()), ("tops", pa.binary()), ("owners", pa.binary()), ("owner_tops", pa.binary()), ("doc_id", pa.list_(pa.int64())), ("n", pa.list_(pa.int64())), ("fp", pa.list_(pa.binary()))])
+DEALT_SQL = "range int, slice long, tokens binary, tops binary, owners binary, owner_tops binary, doc_id array<long>, n array<long>, fp array<binary>"
 
 
 def _deal(ranges: int):
     """Texts to rows (range of token hashes, tokens, which texts hold them), and a row with the slice's texts.
 
-    A token keeps 7 of its 8 bytes; the first one is the range's. Of texts that agree in their set only the first of a
+    A token keeps 7 of its 8 bytes; the first one is the range's. The highest of the 7, which hardly varies among sorted
+    tokens, and the owners' high bytes are compressed. Of texts that agree in their set only the first of a
     task sends its tokens.
     """
     shift = np.uint64(64 - int(math.log2(ranges)))
@@ -101,17 +105,19 @@ def _deal(ranges: int):
                         new.append(k)
                 if len(sent) > 200_000:  # forgetting only sends some sets again
                     sent.clear()
-                out: list[list] = [[-1 - int(part_of(slice_, ranges))], [slice_], [None], [None], [ids.slice(first, at - first).to_pylist()], [[len(s) for s in sets]], [names]]
+                out: list[list] = [[-1 - int(part_of(slice_, ranges))], [slice_], [None], [None], [None], [None], [ids.slice(first, at - first).to_pylist()], [[len(s) for s in sets]], [names]]
                 if new:
                     tokens = np.concatenate([sets[k] for k in new])
                     owners = np.repeat(np.array(new, dtype=np.uint16), [len(sets[k]) for k in new])
                     order = np.argsort(tokens, kind="stable")
                     tokens, owners = tokens[order], owners[order]
                     cut = np.searchsorted(tokens >> shift, np.arange(ranges + 1, dtype=np.uint64))
-                    low = tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7]
+                    low = tokens.astype("<u8").view(np.uint8).reshape(-1, 8)
+                    owner = owners.astype("<u2").view(np.uint8).reshape(-1, 2)
                     for r in np.flatnonzero(np.diff(cut)):
                         a, b = cut[r], cut[r + 1]
-                        for column, value in zip(out, (int(r), slice_, np.ascontiguousarray(low[a:b]).tobytes(), owners[a:b].tobytes(), None, None, None), strict=True):
+                        values = (int(r), slice_, low[a:b, :6].tobytes(), _packed(low[a:b, 6]), owner[a:b, 0].tobytes(), _packed(owner[a:b, 1]), None, None, None)
+                        for column, value in zip(out, values, strict=True):
                             column.append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, DEALT.types, strict=True)], names=DEALT.names)
                 slice_ += 1
@@ -128,10 +134,11 @@ def _count(ranges: int, parts: int):
     bits = int(math.log2(ranges))
 
     def shared(number: int, rows: list) -> Iterator[pa.RecordBatch]:
-        low = np.frombuffer(b"".join(r[1] for r in rows), dtype=np.uint8).reshape(-1, 7)
-        owners = np.concatenate([np.frombuffer(r[2], dtype=np.uint16).astype(np.int64) + (r[0] << 16) for r in rows])
+        low = np.frombuffer(b"".join(r[1] for r in rows), dtype=np.uint8).reshape(-1, 6)
+        owners = np.concatenate([np.frombuffer(r[3], dtype=np.uint8) + (_unpacked(r[4], "u1").astype(np.int64) << 8) + (r[0] << 16) for r in rows])
         tokens = np.zeros((len(low), 8), dtype=np.uint8)
-        tokens[:, :7] = low
+        tokens[:, :6] = low
+        tokens[:, 6] = np.concatenate([_unpacked(r[2], "u1") for r in rows])
         tokens[:, 7] = number >> (bits - 8)
         tokens = tokens.view("<u8").ravel()
         order = np.argsort(tokens, kind="stable")
@@ -156,20 +163,20 @@ def _count(ranges: int, parts: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held = None, []
         for batch in batches:
-            columns = [batch.column(k) for k in range(7)]
+            columns = [batch.column(k) for k in range(len(DEALT))]
             for k in range(batch.num_rows):
                 r = columns[0][k].as_py()
                 if r < 0:
                     slice_ = columns[1][k].as_py()
                     # the slice stands where other rows have the owners of shared tokens
-                    values = ([int(part_of(slice_, parts))], [slice_.to_bytes(8, "little")], [None], [None], *([columns[c][k].as_py()] for c in (4, 5, 6)))
+                    values = ([int(part_of(slice_, parts))], [slice_.to_bytes(8, "little")], [None], [None], *([columns[c][k].as_py()] for c in (6, 7, 8)))
                     yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, SHARED.types, strict=True)], names=SHARED.names)
                     continue
                 if r != number and held:
                     yield from shared(number, held)
                     held = []
                 number = r
-                held.append((columns[1][k].as_py(), columns[2][k].as_py(), columns[3][k].as_py()))
+                held.append(tuple(columns[c][k].as_py() for c in range(1, 6)))
         if held:
             yield from shared(number, held)
 
