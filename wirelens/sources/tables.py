@@ -18,10 +18,12 @@ def durable_folder(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: what follows doesn't recompute it, nor is merged with it."""
+    """``df`` written as Parquet to the shared folder and read again, so that lost executors cost no recomputation and
+    what follows isn't merged with what made it. The table is removed when the application ends.
+    """
     spark = df.sparkSession
     path = f"{durable_folder(spark)}/wirelens-{uuid.uuid4().hex}/{label}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     parent = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
     parent.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(parent)
     return spark.read.schema(df.schema).parquet(path)
