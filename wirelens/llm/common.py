@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import math
-import tempfile
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wirelens.sources.tables import durable_folder as shared_folder
+from wirelens.sources.tables import stored as durable
+
+__all__ = ["durable", "let", "lower_ascii", "ranked", "row_key", "shared_folder", "table", "words"]
+
 BLANKS = "[\\x20\\x09-\\x0D]"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 TRIMMED = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -33,28 +36,6 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, set here only where it is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("wirelens.shared.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("wirelens.shared.dir", folder)
-    return folder
-
-
-def durable(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read again, so that lost executors cost no recomputation.
-
-    The table is removed when the application ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/wirelens-{uuid.uuid4().hex}/{label}"
-    df.write.option("compression", "zstd").parquet(path)
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def row_key(doc_id: str = "doc_id", text: str = "text") -> tuple[Column, Column]:
     """Two columns that name a row by content: rows that agree in both are the same document."""
     return F.col(doc_id), F.xxhash64(F.col(text))
