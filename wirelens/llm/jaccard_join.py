@@ -380,7 +380,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
        ``BLOCK`` sets are linked in blocks, dealt in two ways; then every set outside its cluster's largest component
        goes to all blocks, so that no pair but those within that component is left out.
 
-    Texts with the same set are one set from step 3 on. Cases: null texts and those without words have an empty set and
+    Texts with the same set are one set from step 3 on. ``docs`` should be a stored table, whose tasks read the same rows
+    again if they are lost. Cases: null texts and those without words have an empty set and
     link with nothing. Repeated rows and rows with one doc_id are documents of their own, which link if their sets do.
     A component of rows with null doc_id only has a null id. Other columns aren't read. No rows give no rows.
     """
