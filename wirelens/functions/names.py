@@ -13,10 +13,10 @@ RCODES = {
     8: "NXRRSET", 9: "NOTAUTH", 10: "NOTZONE", 16: "BADVERS",
 }
 RR_TYPES = {
-    1: "A", 2: "NS", 5: "CNAME", 6: "SOA", 12: "PTR", 13: "HINFO", 15: "MX", 16: "TXT", 17: "RP", 18: "AFSDB", 24: "SIG",
-    25: "KEY", 28: "AAAA", 29: "LOC", 33: "SRV", 35: "NAPTR", 36: "KX", 37: "CERT", 39: "DNAME", 41: "OPT", 43: "DS",
-    44: "SSHFP", 46: "RRSIG", 47: "NSEC", 48: "DNSKEY", 50: "NSEC3", 51: "NSEC3PARAM", 52: "TLSA", 64: "SVCB",
-    65: "HTTPS", 255: "ANY", 257: "CAA",
+    1: "A", 2: "NS", 5: "CNAME", 6: "SOA", 12: "PTR", 13: "HINFO", 15: "MX", 16: "TXT", 17: "RP", 24: "SIG", 25: "KEY",
+    28: "AAAA", 29: "LOC", 33: "SRV", 35: "NAPTR", 39: "DNAME", 41: "OPT", 43: "DS", 46: "RRSIG", 47: "NSEC", 48: "DNSKEY",
+    50: "NSEC3", 51: "NSEC3PARAM", 52: "TLSA", 59: "CDS", 60: "CDNSKEY", 64: "SVCB", 65: "HTTPS", 252: "AXFR", 255: "ANY",
+    257: "CAA",
 }
 DHCPV4_MESSAGES = {
     1: "DISCOVER", 2: "OFFER", 3: "REQUEST", 4: "DECLINE", 5: "ACK", 6: "NAK", 7: "RELEASE", 8: "INFORM", 9: "FORCERENEW",
@@ -28,13 +28,6 @@ DHCPV6_MESSAGES = {
     15: "LEASEQUERY_REPLY", 16: "LEASEQUERY_DONE", 17: "LEASEQUERY_DATA",
 }
 LEGS = {0: "unspecified", 1: "client_facing", 2: "backend", 3: "recursion_upstream", 4: "unknown"}
-DHCPV4_OPTIONS = {
-    1: "Subnet Mask", 3: "Router", 6: "Domain Server", 12: "Hostname", 15: "Domain Name", 43: "Vendor Specific",
-    50: "Address Request", 51: "Address Time", 52: "Overload", 53: "DHCP Msg Type", 54: "DHCP Server Id",
-    55: "Parameter List", 56: "DHCP Message", 57: "DHCP Max Msg Size", 58: "Renewal Time", 59: "Rebinding Time",
-    60: "Class Id", 61: "Client Id", 66: "Server-Name", 67: "Bootfile-Name", 81: "Client FQDN",
-    82: "Relay Agent Information", 119: "Domain Search", 121: "Classless Static Route Option",
-}
 
 
 def named(number: Column, table: dict[int, str]) -> Column:

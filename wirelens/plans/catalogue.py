@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wirelens.functions import formats, names
+from wirelens.functions import formats, names, options
 from wirelens.operators import analytics, classify, correlate, delivery, identity, project
 from wirelens.plans import packets
 from wirelens.sources import wire as source
@@ -95,6 +95,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "time_formats": _formats,
         "sourcetype_routing": lambda s, d: tx(s, d).select("seq", project.sourcetype({"dhcpv4": "net:dhcp"}, F.lit("dns"), F.col("service_role")).alias("sourcetype"), project.sourcetype({"dhcpv4": "net:dhcp"}, F.lit("dhcpv4"), F.lit("")).alias("dhcp_sourcetype")),
         "rcode_names": lambda s, d: w(s, d).select("seq", names.rcode_name((F.col("seq") % 20).cast("int")).alias("rcode"), names.rr_type_name((F.col("seq") % 300).cast("int")).alias("qtype"), names.dhcpv4_event_type((F.col("seq") % 16).cast("int")).alias("dhcpv4_type"), names.dhcpv6_event_type((F.col("seq") % 20).cast("int")).alias("dhcpv6_type")),
+        "dhcp_option_names": lambda s, d: w(s, d).select("seq", options.dhcpv4_option_name((F.col("seq") % 256).cast("int")).alias("v4"), options.dhcpv6_option_name((F.col("seq") % 150).cast("int")).alias("v6")),
         "recent_events_topn": lambda s, d: delivery.recent(delivery.entries(w(s, d)), 100),
         "stream_lengths": lambda s, d: delivery.entries(w(s, d)).groupBy("stream").agg(F.count(F.lit(1)).alias("entries"), F.min(formats.entry_time(F.col("entry_id"))).alias("first_ms"), F.max(formats.entry_time(F.col("entry_id"))).alias("last_ms")),
         "retention_maxlen": lambda s, d: delivery.retained(delivery.entries(w(s, d)), 1000).select("stream", "entry_id"),
@@ -231,6 +232,7 @@ def oracle_sql() -> dict[str, str]:
         "sourcetype_routing": f"{t} SELECT seq, 'wire:dns' || CASE WHEN service_role <> '' THEN ':' || service_role ELSE '' END AS sourcetype, 'net:dhcp' AS dhcp_sourcetype FROM t",
         "rcode_names": f"""{_W} SELECT seq, {_case('seq % 20', names.RCODES, '(seq % 20)::VARCHAR')} AS rcode, {_case('seq % 300', names.RR_TYPES, "'TYPE' || (seq % 300)")} AS qtype,
             'dhcpv4.' || {_case('seq % 16', v4, "'packet'")} || '.observed' AS dhcpv4_type, 'dhcpv6.' || {_case('seq % 20', v6, "'packet'")} || '.observed' AS dhcpv6_type FROM wire""",
+        "dhcp_option_names": f"""{_W} SELECT seq, {_case('seq % 256', options.DHCPV4_OPTIONS, "''")} AS v4, {_case('seq % 150', options.DHCPV6_OPTIONS, "''")} AS v6 FROM wire""",
         "recent_events_topn": f"{_W}, {_ENTRIES} SELECT * FROM entries ORDER BY observed_ns DESC, seq DESC LIMIT 100",
         "stream_lengths": f"{_W}, {_ENTRIES} SELECT stream, count(*) AS entries, min(observed_ns // 1000000) AS first_ms, max(observed_ns // 1000000) AS last_ms FROM entries GROUP BY 1",
         "retention_maxlen": f"{_W}, {_ENTRIES} SELECT stream, entry_id FROM entries QUALIFY row_number() OVER (PARTITION BY stream ORDER BY observed_ns DESC, seq DESC) <= 1000",
