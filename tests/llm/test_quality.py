@@ -91,6 +91,30 @@ def test_equals_plain_estimates(spark):
     assert all(got[i].kept == (i % 10 != 0) for i in vectors)
 
 
+def test_each_statistic_alone_rejects(spark):
+    rng, rows = random.Random(7), []
+    for i in range(400):
+        words = [f"{rng.choice('abcdefg')}{rng.randint(10000, 99999)}" for _ in range(100)]
+        if i % 20 == 1:
+            words = [w + "lengthened" for w in words]
+        if i % 20 == 2:
+            words[:20] = [w[:-1] + "%" for w in words[:20]]
+        if i % 20 == 3:  # lines of two words, so that no window of three is repeated inside one
+            words[60:80:2], words[61:81:2] = words[:20:2], words[1:21:2]
+        if i % 20 == 4:  # the same words three at a time, in no repeated line
+            words[51:69] = words[:18]
+        lines = [" ".join(words[k : k + 2]) for k in range(0, 100, 2)]
+        if i % 20 == 3:
+            lines = [x for k in range(25) for x in (lines[k], lines[49 - k])]
+        rows.append((i, "\n".join(lines), "aa", "s"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    vectors = {r.doc_id: [r.x1, r.x2, r.x3] for r in q.with_statistics(docs).withColumns(q.transformed()).collect()}
+    assert vectors[3][1] > 2 and vectors[3][0] == vectors[3][2] == 0
+    assert vectors[4][2] > 3 and vectors[4][0] == vectors[4][1] == 0
+    got = {r.doc_id: r.kept for r in q.judged(docs).collect()}
+    assert got == {i: i % 20 not in (1, 2, 3, 4) for i in range(400)}
+
+
 def test_cases(spark):
     rows = [(1, None, None, None), (None, "a " * 60, "x", "y"), (2, " ".join(f"w{i}" for i in range(60_000)), "x", None), (2, "short", "x", "y"), (3, "", "x", "y")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")

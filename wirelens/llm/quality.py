@@ -19,10 +19,11 @@ STEPS = 6
 #: Bins of the squared distance's logarithm, in which a step finds its subset: so many to a factor of e.
 PER_E, LEAST_LOG, BINS = 32, -14.0, 960
 #: Probability that a document of a normal population passes.
-PASS = 1 - 1e-9
+PASS = 0.999
 #: Of each statistic, the least standard deviation that counts: without it a statistic that is zero in most documents would
-#: make any other value an outlier.
-FLOORS = {"x0": 0.06, "x1": 0.4, "x2": 1.0, "x3": 1.0}
+#: make any other value an outlier. 3 % of the mean word length, half a percent of symbols, 0.65 % of lines or words; with
+#: the cutoff, 5.2 of them, so that each statistic alone can reject a document.
+FLOORS = {"x0": 0.03, "x1": 0.4, "x2": 0.5, "x3": 0.5}
 DIMS = list(FLOORS)
 PAIRS = [(i, j) for i in range(len(DIMS)) for j in range(i + 1)]
 STATISTICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
