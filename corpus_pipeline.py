@@ -15,6 +15,8 @@ from wirelens.llm import jaccard_join, line_dedup, mixing, packing, quality
 from wirelens.llm.common import durable
 
 TOKENIZER = "byte_bpe_50k.json"
+#: Target weights of the sources by name; None for their tempered row counts.
+SHARES: dict[str, float] | None = None
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,12 +40,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order of the Pfair mixture of their sources."""
-    return mixing.interleaved(docs)
+    return mixing.interleaved(docs, SHARES)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of all documents, packed into sequences of at most 1024."""
-    return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER), carry=["doc_id", "lang", "source"])
+    """Token ids of all documents, packed into sequences of at most 1024 that follow the mixture.
+
+    Documents have no column for a slot, so slots are computed again: they depend on the rows and ``SHARES`` only.
+    """
+    mixed = mixing.mix(docs.withColumn("_text", F.xxhash64("text")), SHARES, ["doc_id", "_text"])
+    carry = ["doc_id", "lang", "source", "slot", "place"]
+    return packing.pack_documents(mixed, public_tokenizers.path(TOKENIZER), carry=carry, by=["slot", "place"]).drop("slot", "place")
 
 
 STAGES = [

@@ -97,3 +97,17 @@ def test_empty_and_odd_rows(spark):
             now = stage(spark, now, "")
         assert np.all([n is not None for n in [r.sequence_id for r in now.collect()]])
         assert p.STAGES[0][1](spark, rows, "").count() == 0
+
+
+def test_weights_reach_the_sequences(spark, monkeypatch, tmp_path):
+    rows = [(i, "some words " * 100, "en", "ab"[i % 2], 1100) for i in range(600)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/docs")
+    docs, found = spark.read.parquet(f"{tmp_path}/docs"), []
+    for shares in ({"a": 9.0, "b": 1.0}, {"a": 1.0, "b": 9.0}):
+        monkeypatch.setattr(p, "SHARES", shares)
+        out = p.pack_sequences(spark, p.mix_sources(spark, docs, ""), "").collect()
+        assert sorted({r.sequence_id for r in out}) == list(range(1 + max(r.sequence_id for r in out)))
+        early = [r.source for r in sorted(out, key=lambda r: (r.sequence_id, r.offset))][:200]
+        found.append((sorted(r.doc_id for r in out), early.count("a") / 200))
+    assert found[0][0] == found[1][0] == list(range(600))
+    assert found[0][1] > 0.8 and found[1][1] < 0.2

@@ -41,14 +41,20 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> tuple[Column, Column]
     return F.col(doc_id), F.xxhash64(F.col(text))
 
 
-def ranked(df: DataFrame, group: list[str], order: list[str | Column], rank: str, per_task: int = 4096) -> DataFrame:
+def ranked(df: DataFrame, group: list[str], order: list[str | Column], rank: str, per_task: int = 4096, by: str | None = None, step: int = 256) -> DataFrame:
     """``rank``: 0, 1, 2, ... within each group, in the order of a hash of ``order`` and then of ``order``.
 
+    With ``by``, a column of whole numbers, the order is that of ``by`` and then of ``order``, and ``step`` numbers make
+    a bucket.
+
     A group may hold any share of the rows. Its rows are dealt to hash buckets of about ``per_task`` rows, ranked
     there, and shifted by the rows of the buckets before. ``df`` is read three times, so it should be a stored table.
     """
-    buckets = max(1, math.ceil(df.count() / per_task))
-    hashed = df.withColumn("_hash", F.xxhash64(*order)).withColumn("_bucket", F.pmod("_hash", F.lit(buckets)))
+    if by:
+        hashed = df.withColumn("_hash", F.col(by)).withColumn("_bucket", F.floor(F.col(by) / step))
+    else:
+        buckets = max(1, math.ceil(df.count() / per_task))
+        hashed = df.withColumn("_hash", F.xxhash64(*order)).withColumn("_bucket", F.pmod("_hash", F.lit(buckets)))
     sizes = hashed.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(*group, "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))

@@ -88,13 +88,16 @@ def best_fit_plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int,
     return plan
 
 
-def pack(rows: DataFrame, length: str, order: list[str], capacity: int) -> DataFrame:
+def pack(rows: DataFrame, length: str, order: list[str], capacity: int, by: str | None = None) -> DataFrame:
     """``rows`` with ``sequence_id`` and ``offset``: each row's place in a sequence of at most ``capacity``.
 
     Only the count of each length (``capacity`` numbers at most) reaches the driver, which plans runs of equal pieces
     over runs of equal bins; each row finds its place by its rank among the rows of its length. So the packing is best
     fit decreasing over all rows, and no task holds more than a bucket of them. ``rows`` should be a stored table.
 
+    With ``by``, a column of whole numbers, rows of one length are taken in the order of ``by`` and then of ``order``
+    (else of a hash), and sequences are numbered by the first of their rows in that order.
+
     Cases: a length below 1 or above ``capacity`` is an error. Repeated rows are packed once each. Columns named
     ``sequence_id`` or ``offset`` are replaced. No rows give no rows.
     """
@@ -104,30 +107,46 @@ def pack(rows: DataFrame, length: str, order: list[str], capacity: int) -> DataF
     if any(n is None or not 1 <= n <= capacity for n in counts):
         raise ValueError(f"lengths must lie between 1 and {capacity}")
     plan = spark.createDataFrame(best_fit_plan(counts, capacity), PLAN)
-    placed = ranked(rows, [length], order, "_rank").join(
+    placed = ranked(rows, [length], order, "_rank", by=by).join(
         plan, (F.col(length) == F.col("p_length")) & (F.col("_rank") >= F.col("p_from")) & (F.col("_rank") < F.col("p_to"))
     )
     nth = F.col("_rank") - F.col("p_from")
-    return placed.select(
+    placed = placed.select(
         *rows.columns,
         (F.col("p_first") + F.floor(nth / F.col("p_each"))).alias("sequence_id"),
         (F.col("p_offset") + F.pmod(nth, F.col("p_each")) * F.col(length)).alias("offset"),
     )
+    if by is None:
+        return placed
+    placed = durable(placed, "placed")
+    first = placed.groupBy("sequence_id").agg(F.min(F.struct(by, *order)).alias("_first"))
+    first = durable(first.select("sequence_id", "_first.*", F.lit(0).alias("_all")), "sequences")
+    numbers = ranked(first, ["_all"], order, "_number", by=by).select("sequence_id", "_number")
+    return placed.join(numbers, "sequence_id").select(*rows.columns, F.col("_number").alias("sequence_id"), "offset")
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer: str, capacity: int = MOST_TOKENS, end_id: int = END_ID, carry: list[str] | None = None, with_ids: bool = True
+    docs: DataFrame,
+    tokenizer: str,
+    capacity: int = MOST_TOKENS,
+    end_id: int = END_ID,
+    carry: list[str] | None = None,
+    with_ids: bool = True,
+    by: list[str] | None = None,
 ) -> DataFrame:
     """The documents' tokens in packed sequences: a row for each piece, with its place and (if asked for) its ids.
 
     Cases: null or empty text gives one piece, the end id. Texts longer than ``capacity`` are cut, the first piece
     being the shorter one; other texts stay whole. Repeated rows are packed once each. ``carry`` names the document
-    columns to keep (doc_id by default); among them the names of the columns added here are an error.
+    columns to keep (doc_id by default); among them the names of the columns added here are an error. ``by`` names
+    carried columns, the first one of whole numbers, whose order the packing follows where lengths leave it a choice.
     """
     carry = carry or ["doc_id"]
     if clash := set(carry) & {"piece", "start", "length", "ids_crc32", "ids", "sequence_id", "offset"}:
         raise ValueError(f"columns can't be carried: {sorted(clash)}")
     cut = durable(pieces(docs, tokenizer, end_id, capacity, carry, with_ids), "pieces")
+    if by:
+        return pack(cut, "length", [*by[1:], "start"], capacity, by[0])
     return pack(cut, "length", [carry[0], "start", "ids_crc32"], capacity)
 
 
