@@ -3,7 +3,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from wirelens.llm.sharding import Conflict, ShardedTable
+from wirelens.llm.sharding import Conflict, ShardedTable, arrive, op8_sharding
 
 
 @pytest.fixture
@@ -59,3 +59,26 @@ def test_empty(spark, table):
     table.append(spark.range(3).where("id < 0"))
     table.compact()
     assert table.read().columns == ["id"] and table.read().count() == 0
+
+
+def test_shards_near_the_target(spark, table, tmp_path):
+    """An input of many times the target, in row groups that can be split."""
+    docs = spark.range(0, 40_000, 1, 2).select(F.col("id").alias("doc_id"), F.sha2(F.col("id").cast("string"), 512).alias("text"))
+    docs.write.option("parquet.block.size", 64 << 10).parquet(f"{tmp_path}/docs")
+    target, docs = 256 << 10, spark.read.parquet(f"{tmp_path}/docs")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    done = arrive(table, docs, split=target // 4, target=target)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    first = [table.manifest(v)["shards"] for v in (1, 2, 3, 4)]
+    assert 0 < len(first[0]) < len(first[1]) < len(first[2]) < len(first[3])
+    assert all(2 * s["bytes"] <= target for s in first[3])
+    assert done["version"] > 4 and len(done["shards"]) > 8
+    near = [s for s in done["shards"] if target / 2 <= s["bytes"] <= 1.5 * target]
+    assert sum(s["bytes"] for s in near) > 0.75 * sum(s["bytes"] for s in done["shards"])
+    assert rows(table.read()) == rows(docs)
+
+
+def test_query_has_arrivals(spark):
+    out = op8_sharding(spark, "/root/testdata/sf0.001")
+    assert out.first().version >= 4
+    assert sorted(r.doc_id for r in out.collect()) == sorted(r.doc_id for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect())

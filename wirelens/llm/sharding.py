@@ -6,6 +6,8 @@ import json
 import math
 import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,12 +19,28 @@ TARGET_BYTES = 64 << 20
 FANOUT = 4
 #: A claim to a version whose writer was lost before it committed lapses after so many seconds.
 CLAIM_SECONDS = 600
+#: op8's table arrives in so many versions, read in splits of so many bytes, one small shard of each.
+ARRIVALS, SPLIT_BYTES = 4, 8 << 20
 
 
 class Conflict(Exception):
     """Another writer has committed this version first."""
 
 
+@contextmanager
+def reader_splits(spark: SparkSession, most: int, **others: str) -> Iterator[None]:
+    """Files are read in splits of at most ``most`` bytes; Spark's settings are as before afterwards."""
+    conf = {f"spark.sql.files.{k}": v for k, v in {"maxPartitionBytes": str(most), **others}.items()}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
 class ShardedTable:
     """A table of Parquet shards in a folder, read through the newest manifest.
 
@@ -113,15 +131,8 @@ class ShardedTable:
         """
         now = self.manifest()
         while due := self.plan(now, target, fanout):
-            conf = {"spark.sql.files.maxPartitionBytes": str(target), "spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1"}
-            before = {k: self.spark.conf.get(k, None) for k in conf}
-            try:
-                for k, v in conf.items():
-                    self.spark.conf.set(k, v)
+            with reader_splits(self.spark, target, openCostInBytes="0", minPartitionNum="1"):
                 merged = self._write(self._read(now["schema"], due))
-            finally:
-                for k, v in before.items():
-                    self.spark.conf.set(k, v) if v is not None else self.spark.conf.unset(k)
             now = self.commit(now, merged, {s["name"] for s in due}, now["schema"])
             if len(merged) >= len(due):  # nothing got larger
                 break
@@ -154,11 +165,23 @@ class ShardedTable:
                         self.fs.delete(self._path(name), False)
 
 
+def arrive(table: ShardedTable, docs: DataFrame, arrivals: int = ARRIVALS, split: int = SPLIT_BYTES, target: int = TARGET_BYTES) -> dict:
+    """``docs`` appended in ``arrivals`` versions by a hash of doc_id, in shards of bounded size, and then compacted.
+
+    A split of the input makes a shard in each version, so a shard's size doesn't depend on the input's. The table is
+    read once for each arrival. Returns the last manifest.
+    """
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(arrivals))
+    for k in range(arrivals):
+        with reader_splits(table.spark, split, openCostInBytes="0"):
+            table.append(docs.where(part == k))
+    return table.compact(target)
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents appended and compacted: where each one lies, and what its shard holds."""
+    """All documents appended in several arrivals and compacted: where each one lies, and what its shard holds."""
     table = ShardedTable(spark, f"{shared_folder(spark)}/shards-{uuid.uuid4().hex}")
-    table.append(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    done = table.compact()
+    done = arrive(table, spark.read.parquet(f"{sf_dir}/documents.parquet"))
     table.vacuum()
     table.fs.deleteOnExit(table._path(""))
     rows = table.read().select("doc_id", "source", "n_chars", F.col("_metadata.file_name").alias("shard"), F.col("_metadata.file_size").alias("shard_bytes"))
