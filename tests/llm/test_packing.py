@@ -49,11 +49,15 @@ def test_cuts():
 
 
 def test_ids_equal_the_tokenizers():
-    whole = Tokenizer.from_file(PATH)
-    whole.encode_special_tokens = True
-    ours = Encoder(PATH)
-    for text in ["", "Hello  world, it's 12½ x²", "a\x1cb\x85  c \n\n d ", "<|endoftext|>", "日本 α", "ǅa 's'll\t\t"]:
+    """Against the tokenizer as its file gives it, with the strings of added tokens anywhere."""
+    whole, ours, rng = Tokenizer.from_file(PATH), Encoder(PATH), random.Random(4)
+    end = "<|endoftext|>"
+    texts = ["", "Hello  world, it's 12½ x²", "a\x1cb\x85  c \n\n d ", "日本 α", "ǅa 's'll\t\t", end, end * 2, f"hello {end} world", f"in{end}side", f"{end} α", "<|endof text|>", f" {end}\n"]
+    parts = ["hello", " ", "  ", "\n", "it's", "été", "12", "<|", "|>", end, "endoftext", "#", "日本", "\t", "Ab"]
+    texts += ["".join(rng.choices(parts, k=rng.randint(1, 12))) for _ in range(3000)]
+    for text in texts:
         assert np.frombuffer(ours.packed(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert 50256 in np.frombuffer(ours.packed(f"hello {end} world"), "<u4")
 
 
 def test_documents(spark):

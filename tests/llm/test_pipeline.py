@@ -63,7 +63,6 @@ def test_stages_against_brute_force(spark, stages):
     assert table(mixed) == ones and mixed.count() == len(ones)
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     rows, rooms, lengths = packed.collect(), {}, []
     pieces = {}
     for r in rows:

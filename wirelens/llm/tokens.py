@@ -54,10 +54,11 @@ class _Words(dict):
 
 
 class Encoder:
-    """Ids of texts, equal to those of the tokenizer file without special tokens.
+    """Ids of texts, equal to those of the tokenizer file, which adds no special tokens of its own.
 
     Byte-pair merges stay within a word, so a word's ids are the same wherever it stands: each is merged once and
-    remembered. Strings that look like special tokens are ordinary text.
+    remembered. Texts that hold the string of an added token (its id stands for it), and those outside Latin script, go
+    to the tokenizer itself.
     """
 
     def __init__(self, path: str):
@@ -65,19 +66,18 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
             said = json.load(file)
-        special, byte_of = {t["content"] for t in said.get("added_tokens", [])}, _byte_of()
-        ranks = {bytes(byte_of[c] for c in token): i for token, i in said["model"]["vocab"].items() if token not in special}
+        added, byte_of = {t["content"] for t in said.get("added_tokens", [])}, _byte_of()
+        ranks = {bytes(byte_of[c] for c in token): i for token, i in said["model"]["vocab"].items() if token not in added}
         merged = tiktoken.Encoding("words", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={})
         self.words = _Words(merged.encode_ordinary)
         self.split = _splitter().findall
-        self.latin = re.compile(f"[^\\u0000-\\u{LATIN - 1:04x}]")
+        self.others = re.compile("|".join([f"[^\\u0000-\\u{LATIN - 1:04x}]", *map(re.escape, sorted(added))]))
 
     def packed(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
-        if self.latin.search(text):
+        if self.others.search(text):
             return np.asarray(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
