@@ -2,23 +2,31 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wirelens.sources.tables import durable_folder as shared_folder
 from wirelens.sources.tables import stored as durable
 
-__all__ = ["durable", "let", "lower_ascii", "ranked", "row_key", "shared_folder", "table", "words"]
+__all__ = ["durable", "let", "lower_ascii", "ranked", "row_key", "same_keys", "shared_folder", "unused", "words"]
 
 BLANKS = "[\\x20\\x09-\\x0D]"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Groups whose sizes the driver holds to rank their rows.
+MOST_GROUPS = 1 << 16
 TRIMMED = "\x20\x09\x0a\x0b\x0c\x0d"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def unused(columns: list[str], *stems: str) -> list[str]:
+    """Names that begin with the stems and that none of ``columns`` has, whatever its case."""
+    taken, out = {c.lower() for c in columns}, []
+    for stem in stems:
+        name = f"_{stem}"
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def lower_ascii(text: Column) -> Column:
@@ -41,27 +49,41 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> tuple[Column, Column]
     return F.col(doc_id), F.xxhash64(F.col(text))
 
 
-def ranked(df: DataFrame, group: list[str], order: list[str | Column], rank: str, per_task: int = 4096, by: str | None = None, step: int = 256) -> DataFrame:
+def ranked(df: DataFrame, group: str, order: list[str | Column], rank: str, by: str | None = None, per_task: int = 4096) -> DataFrame:
     """``rank``: 0, 1, 2, ... within each group, in the order of a hash of ``order`` and then of ``order``.
 
-    With ``by``, a column of whole numbers, the order is that of ``by`` and then of ``order``, and ``step`` numbers make
-    a bucket.
+    With ``by``, a column of whole numbers from 0, the order is that of ``by`` and then of ``order``.
 
-    A group may hold any share of the rows. Its rows are dealt to hash buckets of about ``per_task`` rows, ranked
-    there, and shifted by the rows of the buckets before. ``df`` is read three times, so it should be a stored table.
+    A group may hold any share of the rows. Its rows are dealt to buckets of about ``per_task`` rows, by hash or by ranges
+    of ``by``, as many as the group's size asks for, ranked there, and shifted by the rows of the buckets before. At most
+    ``MOST_GROUPS`` groups and their sizes reach the driver, and all tasks; more are an error. ``df`` is read three times,
+    so it should be a stored table.
     """
+    hash_, bucket, many, width, size, start, local = unused([*df.columns, rank], "hash", "bucket", "many", "width", "size", "start", "local")
+    top = F.max(by) + 1 if by else F.lit(0)
+    found = df.groupBy(group).agg(F.count(F.lit(1)), top.cast("long")).limit(MOST_GROUPS + 1).collect()
+    if len(found) > MOST_GROUPS:
+        raise ValueError(f"more than {MOST_GROUPS} groups")
+    buckets = [(g, max(1, -(-n // per_task)), m or 0) for g, n, m in found]
+    buckets = [(g, n, max(1, -(-m // n))) for g, n, m in buckets]
+    kind = df.schema[group].dataType.simpleString()
+    facts = df.sparkSession.createDataFrame(buckets, f"`{group}` {kind}, {many} long, {width} long")
+    # at most MOST_GROUPS rows of three values
+    sized = same_keys(df, F.broadcast(facts), [group])
     if by:
-        hashed = df.withColumn("_hash", F.col(by)).withColumn("_bucket", F.floor(F.col(by) / step))
+        hashed = sized.withColumn(hash_, F.col(by)).withColumn(bucket, F.floor(F.col(by) / F.col(width)))
     else:
-        buckets = max(1, math.ceil(df.count() / per_task))
-        hashed = df.withColumn("_hash", F.xxhash64(*order)).withColumn("_bucket", F.pmod("_hash", F.lit(buckets)))
-    sizes = hashed.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(*group, "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    keys = [*group, "_bucket"]
-    starts = starts.select(*[F.col(k).alias(f"_s_{k}") for k in keys], "_start")
-    same = [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys]
-    local = Window.partitionBy(*keys).orderBy("_hash", *order)
-    numbered = hashed.withColumn("_local", F.row_number().over(local))
-    joined = numbered.join(starts, same, "left")
-    return joined.select(*df.columns, (F.col("_start") + F.col("_local") - 1).alias(rank))
+        hashed = sized.withColumn(hash_, F.xxhash64(*order)).withColumn(bucket, F.pmod(hash_, many))
+    hashed = hashed.drop(many, width)
+    keys = [group, bucket]
+    before = Window.partitionBy(group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    starts = hashed.groupBy(*keys).agg(F.count(F.lit(1)).alias(size)).select(*keys, F.coalesce(F.sum(size).over(before), F.lit(0)).alias(start))
+    numbered = hashed.withColumn(local, F.row_number().over(Window.partitionBy(*keys).orderBy(hash_, *order)))
+    return same_keys(numbered, starts, keys).select(*df.columns, (F.col(start) + F.col(local) - 1).alias(rank))
+
+
+def same_keys(rows: DataFrame, facts: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``rows`` with the other columns of ``facts``, which has one row for each value of ``keys`` (nulls are values)."""
+    names = dict(zip(keys, unused([*rows.columns, *facts.columns], *[f"key_{k}" for k in keys]), strict=True))
+    joined = rows.join(facts.withColumnsRenamed(names), [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()], how)
+    return joined.drop(*names.values())

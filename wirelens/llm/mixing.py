@@ -3,34 +3,42 @@
 from __future__ import annotations
 
 import heapq
+import math
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wirelens.llm.common import ranked
+from wirelens.llm.common import durable, ranked, same_keys, unused
 
-#: Slots of a period: weights are whole numbers of them.
-PERIOD = 1000
+#: Default weights are whole numbers of slots of a period of about so many for each source, at least 1024 in all.
+SLOTS_A_SOURCE, LEAST_PERIOD = 64, 1024
+#: Given weights may need a period of so many slots, the most that the driver plans; others are an error.
+MOST_SLOTS = 1 << 20
+MOST_SOURCES = MOST_SLOTS // SLOTS_A_SOURCE
 #: Rows of a block, the unit that is scheduled.
 BLOCK = 16
 #: The exponent that draws the sources' shares together.
 TEMPERATURE = 0.7
 
 
-def whole_weights(shares: dict[str, float], period: int = PERIOD) -> dict[str, int]:
-    """Slots of each source: at least one, in proportion to its share, ``period`` in all (more if there are more
-    sources than slots, which then get one each). Ties go to the source that sorts first."""
-    names = sorted(shares)
-    if not names:
+def whole_weights(shares: dict[str, float | int | str | Fraction]) -> dict[str, int]:
+    """The given weights as whole numbers in the same proportion, exactly; their sum is the period.
+
+    A float counts as the decimal number that it is written as. Weights of no common measure within ``MOST_SLOTS`` can't
+    be kept to by a period that is planned once, so they are an error, as are weights that aren't positive.
+    """
+    exact = {n: Fraction(str(w)) for n, w in shares.items()}
+    if any(w <= 0 for w in exact.values()):
+        raise ValueError("weights must be positive")
+    if not exact:
         return {}
-    period, whole = max(period, len(names)), sum(shares.values())
-    slots = {n: max(1, int(shares[n] / whole * period)) for n in names}
-    by_rest = sorted(names, key=lambda n: (slots[n] - shares[n] / whole * period, n))
-    while (spare := period - sum(slots.values())) > 0:
-        for n in by_rest[:spare]:
-            slots[n] += 1
-    while sum(slots.values()) > period:
-        slots[max(names, key=lambda n: (slots[n], n))] -= 1
+    scale = math.lcm(*(w.denominator for w in exact.values()))
+    whole = {n: int(w * scale) for n, w in exact.items()}
+    common = math.gcd(*whole.values())
+    slots = {n: w // common for n, w in whole.items()}
+    if sum(slots.values()) > MOST_SLOTS:
+        raise ValueError(f"weights need a period of {sum(slots.values())} slots, more than {MOST_SLOTS}: round them to a common measure")
     return slots
 
 
@@ -60,47 +68,77 @@ def pfair_schedule(slots: dict[str, int]) -> list[tuple[str, int, int]]:
     return out
 
 
-def tempered(counts: dict[str, int], temperature: float = TEMPERATURE) -> dict[str, float]:
-    """Each source's rows to the power ``temperature``: target shares that raise small sources."""
-    return {source: float(n) ** temperature for source, n in counts.items()}
+def tempered(counts: dict[str, int], temperature: float = TEMPERATURE) -> dict[str, int]:
+    """Default weights: each source's rows to the power ``temperature``, which raises small sources, as whole slots of a
+    period that grows with the number of sources; at least one slot each."""
+    period = max(LEAST_PERIOD, SLOTS_A_SOURCE * len(counts))
+    whole = sum(n**temperature for n in counts.values())
+    return {source: max(1, round(n**temperature / whole * period)) for source, n in counts.items()}
 
 
-def mix(
-    docs: DataFrame, shares: dict[str, float] | None = None, order: list[str | Column] | None = None, block: int = BLOCK, period: int = PERIOD
-) -> DataFrame:
+def mix(docs: DataFrame, shares: dict[str, float] | None = None, order: list[str | Column] | None = None, block: int = BLOCK) -> DataFrame:
     """``docs`` with ``block`` (of its source, from 0), ``place`` (in the block) and ``slot`` (of the mixture).
 
     ``shares`` names the target weight of each source, a table that the caller keeps small; by default the sources'
     tempered row counts. Sources that it doesn't name get the least weight. In its source a row's rank is that of a
     hash of ``order`` (doc_id by default); ``block`` rows make a block, and a source's k-th block gets the slot of the
     Pfair schedule: whole periods passed, plus the place in the period. So the order needs no sequential pass over the
-    data, and a hot source is ranked in many tasks. In any prefix of slots, each source that isn't used up is less than
-    one block from its share. All rows are kept: once a source is used up, the others go on in their slots.
+    data, and a hot source is ranked in many tasks. In any prefix of slots, however long, each source that isn't used up
+    is less than one block from its share by exactly the given weights. All rows are kept: once a source is used up, the
+    others go on in their slots.
+
+    The driver holds the sources and a period of at most ``MOST_SLOTS`` slots; more of either is an error.
 
     ``docs`` should be a stored table, as it is read several times. Cases: a null source is mixed as the source ''.
-    Repeated rows have a place each. Columns named block, place or slot are replaced. No rows give no rows.
+    Repeated rows have a place each. Columns named block, place or slot are replaced; other names are free. No rows give
+    no rows.
     """
     spark: SparkSession = docs.sparkSession
     docs = docs.drop("block", "place", "slot")
-    named = docs.withColumn("_source", F.coalesce("source", F.lit("")))
-    counts = {r[0]: r[1] for r in named.groupBy("_source").count().collect()}
-    shares = tempered(counts) if shares is None else shares
-    least = min(shares.values(), default=1.0)
-    slots = whole_weights({s: shares.get(s, least) for s in {*counts, *shares}}, period)
-    total = sum(slots.values())
-    schedule = spark.createDataFrame(pfair_schedule(slots), "_source string, _k long, _at long")
-    weights = spark.createDataFrame(sorted(slots.items()), "_source string, _n long")
-    numbered = ranked(named, ["_source"], order or ["doc_id"], "_rank").withColumn("block", F.floor(F.col("_rank") / block))
-    placed = numbered.join(weights, "_source").withColumn("_k", F.pmod("block", F.col("_n"))).join(schedule, ["_source", "_k"])
-    slot = F.floor(F.col("block") / F.col("_n")) * total + F.col("_at")
-    return placed.select(*docs.columns, "block", F.pmod("_rank", F.lit(block)).alias("place"), slot.alias("slot"))
+    source, rank, many, slots_of = unused([*docs.columns, "block", "place", "slot"], "source", "rank", "many", "slots")
+    named = docs.withColumn(source, F.coalesce("source", F.lit("")))
+    counts = {r[0]: r[1] for r in named.groupBy(source).count().limit(MOST_SOURCES + 1).collect()}
+    if len(counts) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources: group them first")
+    if shares is None:
+        slots = whole_weights(tempered(counts))
+    else:
+        least = min(shares.values(), default=1)
+        slots = whole_weights({s: shares.get(s, least) for s in {*counts, *shares}})
+    total, at = sum(slots.values()), {s: [] for s in slots}
+    for name, _, slot in pfair_schedule(slots):
+        at[name].append(slot)
+    schedule = spark.createDataFrame([(s, n, at[s]) for s, n in sorted(slots.items())], f"{source} string, {many} long, {slots_of} array<long>")
+    numbered = ranked(named, source, order or ["doc_id"], rank).withColumn("block", F.floor(F.col(rank) / block))
+    # one row for each source, MOST_SLOTS numbers in all
+    placed = same_keys(numbered, F.broadcast(schedule), [source])
+    slot = F.floor(F.col("block") / F.col(many)) * total + F.get(slots_of, F.pmod("block", F.col(many)).cast("int"))
+    return placed.select(*docs.columns, "block", F.pmod(rank, F.lit(block)).alias("place"), slot.alias("slot"))
+
+
+def places(docs: DataFrame, shares: dict[str, float] | None = None) -> DataFrame:
+    """(doc_id, source, text_hash, at): where the mixture puts each document, ``at`` being its slot and place.
+
+    Only ids, sources and hashes of texts are ranked, stored once. Rows that agree in all three share the first one's
+    place. Nulls are values like others; no rows give no rows.
+    """
+    narrow = durable(docs.select("doc_id", "source", F.xxhash64("text").alias("text_hash")), "narrow")
+    mixed = mix(narrow, shares, ["doc_id", "text_hash"])
+    return mixed.groupBy("doc_id", "source", "text_hash").agg(F.min(F.struct("slot", "place")).alias("at"))
 
 
 def interleaved(docs: DataFrame, shares: dict[str, float] | None = None) -> DataFrame:
-    """The rows of ``docs`` in the order of the mixture: part by part, and in each part row by row."""
-    whole = docs.select("doc_id", "source", F.xxhash64("text").alias("_text"), F.struct("*").alias("_row"))
-    mixed = mix(whole, shares, ["doc_id", "_text"])
-    return mixed.repartitionByRange("slot", "place").sortWithinPartitions("slot", "place").select("_row.*")
+    """The rows of ``docs`` in the order of the mixture within each part; parts are shares of the rows by a hash.
+
+    So each part by itself follows the mixture, and the parts together do when they are read side by side. Ranks are
+    found without the texts, which move once, to the join with their places.
+
+    Cases: those of :func:`places`. Columns of any name pass unchanged.
+    """
+    hash_, at = unused(docs.columns, "text", "at")
+    found = places(docs, shares).withColumnsRenamed({"text_hash": hash_, "at": at})
+    joined = same_keys(docs.withColumn(hash_, F.xxhash64("text")), found.hint("shuffle_hash"), ["doc_id", "source", hash_])
+    return joined.sortWithinPartitions(at).select(*docs.columns)
 
 
 def op9_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
