@@ -46,11 +46,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of all documents, packed into sequences of at most 1024 that follow the mixture.
 
-    Documents have no column for a slot, so slots are computed again: they depend on the rows and ``SHARES`` only.
+    Documents have no column for a slot, so slots are found again: they depend on the rows and ``SHARES`` only.
     """
-    mixed = mixing.mix(docs.withColumn("_text", F.xxhash64("text")), SHARES, ["doc_id", "_text"])
-    carry = ["doc_id", "lang", "source", "slot", "place"]
-    return packing.pack_documents(mixed, public_tokenizers.path(TOKENIZER), carry=carry, by=["slot", "place"]).drop("slot", "place")
+    carry = ["doc_id", "lang", "source"]
+    return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER), carry=carry, follow=mixing.places(docs, SHARES))
 
 
 STAGES = [
