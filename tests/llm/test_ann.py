@@ -62,10 +62,44 @@ def test_best_bin_first():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(2000, 8))
     tree = ann.Tree(x)
-    order = tree.visits(x[5], tree.leaves)
-    assert sorted(order) == list(range(tree.leaves)) and order[0] == tree.assign(x[5:6])[0]
-    assert order[:3] == tree.visits(x[5], 3)
-    assert (tree.assign(x)[:50] == [tree.visits(v, 1)[0] for v in x[:50]]).all()
+    sizes = np.bincount(tree.assign(x), minlength=tree.leaves)
+    order = tree.visits(x[5], tree.leaves, sizes, 0)
+    assert sorted(order) == np.flatnonzero(sizes).tolist() and order[0] == tree.assign(x[5:6])[0]
+    assert order[:3] == tree.visits(x[5], 3, sizes, 0)
+    assert (tree.assign(x)[:50] == [tree.visits(v, 1, sizes, 0)[0] for v in x[:50]]).all()
+    assert sizes[tree.visits(x[5], 1, sizes, 300)].sum() >= 300 > sizes[tree.visits(x[5], 1, sizes, 300)[:-1]].sum()
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_nearest_of_parts(seed):
+    """Met in parts of any size, the nearest are those of all, ties by id."""
+    rng = np.random.default_rng(seed)
+    x, q = rng.integers(-2, 3, (700, 3)).astype(float), rng.integers(-2, 3, (9, 3)).astype(float)
+    near, at = ann.Nearest(q, 20), 0
+    while at < len(x):
+        n = int(rng.integers(1, 90))
+        near.meet(np.arange(9), x[at : at + n], np.arange(at, min(at + n, len(x))))
+        at += n
+        if rng.random() < 0.5:
+            near.settle()
+    rows, ids, scores = near.settle()
+    for k in range(9):
+        want = sorted((-float(v @ q[k]), i) for i, v in enumerate(x))[:20]
+        assert [(-s, i) for s, i in zip(scores[rows == k], ids[rows == k], strict=True)] == want
+
+
+def test_lengths_count():
+    """The nearest point of the lifted vectors is the one of the largest inner product."""
+    rng = np.random.default_rng(3)
+    x, q = rng.normal(size=(500, 6)) * rng.uniform(0.1, 3, (500, 1)), rng.normal(size=(20, 6))
+    lifted = ann.directions(x, np.linalg.norm(x, axis=1).max())
+    far = ((lifted[None] - ann.asked_for(q)[:, None]) ** 2).sum(2)
+    assert (far.argmin(1) == (q @ x.T).argmax(1)).all()
+
+
+def test_pages():
+    page, blocks = ann.pages_of(np.array([5, 5, 0, 3, 25, 1, 10]), 10)
+    assert page.tolist() == [0, 0, 0, 1, 2, 3, 4] and blocks.tolist() == [1, 1, 3, 1, 1]
 
 
 def test_whole_table(spark):
