@@ -1,4 +1,6 @@
-from wirelens.llm.preference import format_preferences
+import duckdb
+
+from wirelens.llm.preference import OP3_SQL, format_preferences, format_sides, op3_chat_preference, with_other_answer
 
 LINE = "pair_id long, chosen boolean, turn long, role string, text string, prompt string"
 
@@ -37,3 +39,31 @@ def test_pairs(spark):
         for text, spans, turns in ((r.chosen, r.chosen_spans, a), (r.rejected, r.rejected_spans, b)):
             assert [text[s.start : s.stop] for s in spans] == [(t or "") + "\n" for role, t in turns if role == "assistant"]
     assert format_preferences(df.where("false")).count() == 0
+
+
+def test_other_answers(spark):
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", "one"), (1, 2, "user", "more"), (1, 3, "assistant", "two"), (1, 4, "user", "end"), (2, 0, "assistant", "other"), (3, 0, "user", None), (4, None, None, None), (4, None, None, None), (None, 0, "assistant", "lost"), (5, 0, "assistant", "same"), (6, 1, "assistant", "same")]
+    df = spark.createDataFrame([(*r, 7) for r in rows], "conv_id long, turn long, role string, text string, chosen int")
+    got = {r.pair_id: ([(t.role, t.text) for t in r.chosen], [(t.role, t.text) for t in r.rejected]) for r in with_other_answer(df).collect()}
+    first = [("user", "q"), ("assistant", "one"), ("user", "more"), ("assistant", "two"), ("user", "end")]
+    assert got == {
+        1: (first, [*first[:3], ("assistant", "other"), ("user", "end")]),
+        2: ([("assistant", "other")], [("assistant", "")]),
+        3: ([("user", None)], [("user", None)]),
+        4: ([(None, None)] * 2, [(None, None)] * 2),
+        5: ([("assistant", "same")], [("assistant", "same")]),
+        6: ([("assistant", "same")], [("assistant", "")]),
+    }
+    shared = {r.pair_id: (r.n_common, r.prompt, r.rejected) for r in format_sides(with_other_answer(df)).collect()}
+    assert shared[1] == (3, render(first[:3]), "<|assistant|>\nother\n<|user|>\nend\n") and shared[5] == (1, "<|assistant|>\nsame\n", "")
+    assert with_other_answer(df.where("false")).count() == 0
+
+
+def test_query_equals_sql_and_shares_prompts(spark):
+    db = duckdb.connect()
+    db.execute("CREATE VIEW conversations AS SELECT * FROM '/root/testdata/sf0.01/conversations.parquet'")
+    want = db.execute(OP3_SQL)
+    names = [c[0] for c in want.description]
+    rows = op3_chat_preference(spark, "/root/testdata/sf0.01").select(*names).collect()
+    assert sorted(map(tuple, rows)) == sorted(want.fetchall())
+    assert sum(r.n_common > 0 for r in rows) > 0.9 * len(rows)

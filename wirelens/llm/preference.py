@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wirelens.llm.common import let
+from wirelens.llm.common import durable, let
 
 TRAINED_ROLE = "assistant"
 
@@ -33,25 +33,23 @@ def _text(turns: Column) -> Column:
     return F.array_join(F.transform(turns, lambda t: rendered(t)), "")
 
 
-def format_preferences(turns: DataFrame) -> DataFrame:
-    """A row for each pair: prompt, both completions and their trained spans.
+def ordered(turns: Column) -> Column:
+    """A conversation's turns (turn, role, text) in the order of these three, nulls first."""
+    return F.sort_array(F.collect_list(turns))
 
-    ``turns`` holds pair_id, chosen (boolean), turn, role and text. A side's turns are taken in the order of turn, then
-    role, then text, nulls first. The longest common prefix of turns (equal role and text; turn numbers don't matter)
-    is rendered once as ``prompt``; ``chosen`` and ``rejected`` hold the rest of each side. The loss mask of a
-    completion is its spans: the assistant's texts, each with the line break that ends it; prompts are never trained.
-
-    One shuffle brings a pair's turns together; a conversation, like a document, is one row, and nothing larger is
-    gathered. Cases: a pair of which one side is missing has no common turn and an empty completion on that side.
-    Identical sides give two empty completions. Rows without pair_id or side belong to no pair and give nothing.
-    Repeated turns stay repeated. Other columns of ``turns`` are not read. No rows give no rows.
+
+def format_sides(pairs: DataFrame) -> DataFrame:
+    """``pairs`` (pair_id, chosen, rejected: arrays of turns in order) as prompt, completions and their trained spans.
+
+    The longest common prefix of turns (equal role and text; turn numbers don't matter) is rendered once as ``prompt``;
+    ``chosen`` and ``rejected`` hold the rest of each side. The loss mask of a completion is the array of its spans: the
+    assistant's texts, each with the line break that ends it; prompts are never trained. Native, without a shuffle.
+
+    Cases: a null side is an empty one. Identical sides give two empty completions. A null role is rendered as
+    ``unknown``, a null text as an empty one, and nulls equal each other. Other columns aren't read.
     """
-    turn = F.struct("turn", "role", "text")
-    sides = (
-        turns.where("pair_id IS NOT NULL AND chosen IS NOT NULL")
-        .groupBy("pair_id")
-        .agg(*[F.sort_array(F.collect_list(F.when(F.col("chosen") == side, turn))).alias(name) for name, side in (("a", True), ("b", False))])
-    )
+    none = F.array().cast("array<struct<turn:long,role:string,text:string>>")
+    sides = pairs.select("pair_id", F.coalesce("chosen", none).alias("a"), F.coalesce("rejected", none).alias("b"))
     same = F.zip_with("a", "b", lambda x, y: x["role"].eqNullSafe(y["role"]) & x["text"].eqNullSafe(y["text"]))
     # zip_with fills the shorter side with nulls, which a turn of nulls would equal
     shorter = F.least(F.size("a"), F.size("b"))
@@ -71,12 +69,47 @@ def format_preferences(turns: DataFrame) -> DataFrame:
     )
 
 
-def op3_chat_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Neighbouring conversations as pairs: of conv_id 2k and 2k + 1 the first is the chosen one."""
-    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(
-        F.floor(F.col("conv_id") / 2).alias("pair_id"), (F.pmod("conv_id", F.lit(2)) == 0).alias("chosen"), "turn", "role", "text"
+def format_preferences(turns: DataFrame) -> DataFrame:
+    """A row for each pair, as :func:`format_sides` makes it, from a row for each turn.
+
+    ``turns`` holds pair_id, chosen (boolean), turn, role and text. A side's turns are taken in the order of turn, then
+    role, then text, nulls first. One shuffle brings a pair's turns together; a conversation, like a document, is one
+    row, and nothing larger is gathered.
+
+    Cases: a pair of which one side is missing has no common turn and an empty completion on that side. Rows without
+    pair_id or side belong to no pair and give nothing. Repeated turns stay repeated. Other columns of ``turns`` are not
+    read. No rows give no rows.
+    """
+    turn = F.struct(F.col("turn").cast("long").alias("turn"), "role", "text")
+    sides = [ordered(F.when(F.col("chosen") == side, turn)).alias(name) for name, side in (("chosen", True), ("rejected", False))]
+    return format_sides(turns.where("pair_id IS NOT NULL AND chosen IS NOT NULL").groupBy("pair_id").agg(*sides))
+
+
+def with_other_answer(turns: DataFrame) -> DataFrame:
+    """(pair_id, chosen, rejected) of each conversation: itself, and itself with its last answer taken from another one.
+
+    ``turns`` holds conv_id, turn, role and text. The rejected side is the same conversation up to its last assistant
+    turn, whose text is that of the last assistant turn of conversation conv_id + 1 (empty if there is none); what
+    follows that turn stays on both sides. So pairs share all turns before that answer.
+
+    Cases: a conversation without an assistant turn has two equal sides. Rows without conv_id give nothing. Repeated
+    turns stay; only the last one is replaced.
+    """
+    turn = F.struct(F.col("turn").cast("long").alias("turn"), "role", "text")
+    whole = durable(turns.where("conv_id IS NOT NULL").groupBy("conv_id").agg(ordered(turn).alias("chosen")), "conversations")
+    at = F.array_position(F.reverse(F.transform("chosen", lambda t: F.coalesce(t["role"], F.lit("")))), F.lit(TRAINED_ROLE)).cast("int")
+    placed = whole.withColumn("last", F.when(at > 0, F.size("chosen") - at))
+    answer = placed.where("last IS NOT NULL").select((F.col("conv_id") - 1).alias("conv_id"), F.get("chosen", F.col("last"))["text"].alias("answer"))
+    replaced = F.transform(
+        "chosen",
+        lambda t, i: F.when(i == F.col("last"), F.struct(t["turn"].alias("turn"), t["role"].alias("role"), F.coalesce("answer", F.lit("")).alias("text"))).otherwise(t),
     )
-    out = format_preferences(turns)
+    return placed.join(answer, "conv_id", "left").select(F.col("conv_id").alias("pair_id"), "chosen", replaced.alias("rejected"))
+
+
+def op3_chat_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation against itself with another one's last answer; spans as text, ``start-stop`` with commas."""
+    out = format_sides(with_other_answer(spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")))
     for side in ("chosen", "rejected"):
         spans = F.array_join(F.transform(f"{side}_spans", lambda s: F.concat(s["start"].cast("string"), F.lit("-"), s["stop"].cast("string"))), ",")
         out = out.withColumn(f"{side}_spans", spans)
@@ -84,11 +117,17 @@ def op3_chat_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP3_SQL = r"""
-WITH t AS (
-  SELECT conv_id // 2 AS pair_id, conv_id % 2 AS side,
-         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS pos,
-         role, text, '<|' || coalesce(role, 'unknown') || '|>' || chr(10) || coalesce(text, '') || chr(10) AS r
-  FROM conversations),
+WITH c0 AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS pos, role, text
+  FROM conversations WHERE conv_id IS NOT NULL),
+l AS (SELECT conv_id, max(pos) AS last FROM c0 WHERE role = 'assistant' GROUP BY 1),
+answer AS (SELECT c0.conv_id - 1 AS conv_id, text AS answer FROM c0 JOIN l ON c0.conv_id = l.conv_id AND c0.pos = l.last),
+u AS (
+  SELECT conv_id AS pair_id, 0 AS side, pos, role, text FROM c0
+  UNION ALL
+  SELECT c0.conv_id, 1, pos, role, CASE WHEN pos = l.last THEN coalesce(answer.answer, '') ELSE text END
+  FROM c0 LEFT JOIN l ON c0.conv_id = l.conv_id LEFT JOIN answer ON c0.conv_id = answer.conv_id),
+t AS (SELECT *, '<|' || coalesce(role, 'unknown') || '|>' || chr(10) || coalesce(text, '') || chr(10) AS r FROM u),
 p AS (SELECT pair_id, (count(*) FILTER (WHERE side = 0))::INT AS n_chosen, (count(*) FILTER (WHERE side = 1))::INT AS n_rejected
       FROM t GROUP BY 1),
 bad AS (
