@@ -29,8 +29,10 @@ def test_cases(spark):
     rows = [(i, f"own {i}\n  {line.upper() if i % 2 else line}\t\nend") for i in range(7)]
     rows += [(6, f"{line}\n\n{line}"), (6, f"{line}\n\n{line}"), (None, line), (None, line), (8, None), (9, ""), (10, "\n\n"), (11, ("x" * 50 + "\n") * 20_000), (12, "short\nshort")]
     rows += [(20 + i, "y" * 39 + ("z" if i < 5 else "")) for i in range(10)]
-    df = spark.createDataFrame([(*r, "c") for r in rows], "doc_id long, text string, n_lines string")
+    others = "_d string, _hash string, _dropped string, _t string, hash string, keeper string, gone string"
+    df = spark.createDataFrame([(*r, "c", *"abcdefg") for r in rows], f"doc_id long, text string, n_lines string, {others}")
     out = dedup_lines(df)
+    assert {tuple(r[c.split()[0]] for c in others.split(", ")) for r in out.collect()} == {tuple("abcdefg")}
     assert sorted(((r.doc_id, r.kept_text, r.n_lines, r.n_dropped) for r in out.collect()), key=str) == brute(rows)
     assert dedup_lines(df.where("false")).count() == 0
 

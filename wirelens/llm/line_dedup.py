@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wirelens.llm.common import TRIMMED, lower_ascii, row_key
+from wirelens.llm.common import TRIMMED, durable, lower_ascii, same_keys, unused
 
 MIN_CHARS = 40
 MIN_DOCUMENTS = 5
@@ -23,45 +23,33 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_documents: int
     points that at least ``min_documents`` distinct documents hold loses its lines everywhere but in the largest
     doc_id that holds it. The other lines keep their order.
 
-    Counting goes through a partial count per task and one count per (key, document), so a line of a third of all
-    documents meets no single task; in the join back its partition is one that Spark splits.
+    Texts are split and hashed once, into a stored table of (key, document, position). Counting goes through a partial
+    count per task and one count per (key, document), so a line of a third of all documents meets no single task. Shared
+    keys are stored too, so that both sides of the join back are plain tables, of which Spark splits a skewed partition.
 
     Cases: null or empty text is one empty line. Rows with one doc_id are one document when counting, and each is cut
     by itself. Rows with null doc_id count as one document, below all others. An empty table gives no rows. Other
-    columns pass unchanged; the names added here replace columns of the same name.
+    columns, of any name, pass unchanged; the three names added here replace columns of the same name.
     """
-    own = ["kept_text", "n_lines", "n_dropped"]
-    docs = docs.drop(*own)
-    doc_id, text_hash = row_key()
+    docs = docs.drop("kept_text", "n_lines", "n_dropped")
     lines = (
-        docs.select(doc_id.alias("_doc"), text_hash.alias("_text"), F.posexplode(F.split("text", "\n", -1)).alias("_pos", "_line"))
-        .select("_doc", "_text", "_pos", line_key(F.col("_line")).alias("_key"))
-        .where(F.char_length("_key") >= min_chars)
-        .select("_doc", "_text", "_pos", F.unhex(F.md5(F.col("_key").cast("binary"))).alias("_hash"))
-    )
-    shared = (
-        lines.select("_hash", F.col("_doc").alias("_d"))
-        .distinct()
-        .groupBy("_hash")
-        .agg(F.count(F.lit(1)).alias("_n"), F.max("_d").alias("_keeper"))
-        .where(F.col("_n") >= min_documents)
-        .select("_hash", "_keeper")
-    )
-    dropped = (
-        lines.join(shared, "_hash")
-        .where(~F.col("_doc").eqNullSafe(F.col("_keeper")))
-        .groupBy("_doc", "_text")
-        .agg(F.collect_set("_pos").alias("_dropped"))
-        .withColumnsRenamed({"_doc": "_d", "_text": "_t"})
+        docs.select(F.col("doc_id").alias("doc"), F.xxhash64("text").alias("text"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+        .select("doc", "text", "pos", line_key(F.col("line")).alias("key"))
+        .where(F.char_length("key") >= min_chars)
+        .select("doc", "text", "pos", F.unhex(F.md5(F.col("key").cast("binary"))).alias("hash"))
     )
+    lines = durable(lines, "lines")
+    holders = lines.select("hash", "doc").distinct().groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.max("doc").alias("keeper"))
+    shared = durable(holders.where(F.col("n") >= min_documents).select("hash", "keeper"), "shared")
+    gone = lines.join(shared, "hash").where(~F.col("doc").eqNullSafe(F.col("keeper"))).groupBy("doc", "text").agg(F.collect_set("pos").alias("gone"))
+    hash_, dropped = unused([*docs.columns, "kept_text", "n_lines", "n_dropped"], "hash", "dropped")
+    gone = gone.select(F.col("doc").alias("doc_id"), F.col("text").alias(hash_), F.col("gone").alias(dropped))
+    joined = same_keys(docs.withColumn(hash_, F.xxhash64("text")), gone, ["doc_id", hash_], "left")
     split = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    joined = docs.withColumn("_hash", text_hash).join(
-        dropped, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("_hash").eqNullSafe(F.col("_t")), "left"
-    )
-    counted = joined.withColumns({"n_lines": F.size(split).cast("long"), "n_dropped": F.coalesce(F.size("_dropped"), F.lit(0)).cast("long")})
+    counted = joined.withColumns({"n_lines": F.size(split).cast("long"), "n_dropped": F.coalesce(F.size(dropped), F.lit(0)).cast("long")})
     left = F.element_at(
         F.transform(
-            F.array(F.struct(split.alias("lines"), F.col("_dropped").alias("gone"))),
+            F.array(F.struct(split.alias("lines"), F.col(dropped).alias("gone"))),
             lambda x: F.array_join(
                 F.transform(F.array_except(F.sequence(F.lit(0), F.size(x["lines"]) - 1), x["gone"]), lambda p: F.get(x["lines"], p)), "\n"
             ),
