@@ -4,11 +4,9 @@ from __future__ import annotations
 
 import json
 import math
-import time
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,8 +15,6 @@ from wirelens.llm.common import shared_folder
 TARGET_BYTES = 64 << 20
 #: A tier holds shards of sizes within this factor; so many of them are merged.
 FANOUT = 4
-#: A claim to a version whose writer was lost before it committed lapses after so many seconds.
-CLAIM_SECONDS = 600
 #: op8's table arrives in so many versions, read in splits of so many bytes, one small shard of each.
 ARRIVALS, SPLIT_BYTES = 4, 8 << 20
 
@@ -27,27 +23,15 @@ class Conflict(Exception):
     """Another writer has committed this version first."""
 
 
-@contextmanager
-def reader_splits(spark: SparkSession, most: int, **others: str) -> Iterator[None]:
-    """Files are read in splits of at most ``most`` bytes; Spark's settings are as before afterwards."""
-    conf = {f"spark.sql.files.{k}": v for k, v in {"maxPartitionBytes": str(most), **others}.items()}
-    before = {k: spark.conf.get(k, None) for k in conf}
-    try:
-        for k, v in conf.items():
-            spark.conf.set(k, v)
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
-
-
 class ShardedTable:
     """A table of Parquet shards in a folder, read through the newest manifest.
 
     A version is a file ``manifest/v<number>.json`` that lists the shards, their bytes and rows. It is written whole
-    under another name and renamed to its own, which fails where it exists; so of two writers one commits and the
-    other sees :class:`Conflict` and its shards stay unlisted. Shards are never changed; a reader of an old version
-    isn't disturbed until :meth:`vacuum`.
+    under another name and then renamed to its own by the file system, in one step that fails if the name is taken; so
+    of several writers one commits, the others see :class:`Conflict`, and their shards stay unlisted. (HDFS and object
+    stores with conditional writes rename so; the local file system, for tests, looks before it renames.) Shards are
+    never changed; a reader of an old version isn't disturbed until :meth:`vacuum`, which also removes what lost writers
+    have left. Files are read in splits of other sizes by sessions of the table's own, so the caller's settings stay.
 
     Cases: an empty frame makes an empty version that keeps its columns. Nulls, repeated rows and any columns pass as
     they are. Rows stay in one shard's order; shards have none.
@@ -85,21 +69,24 @@ class ShardedTable:
         out = self.fs.create(draft, False)
         out.write(json.dumps(new).encode())
         out.close()
-        # file systems that replace on rename are kept from it by claiming the name first
-        claim = self._path(f"manifest/.claim-{new['version']:08d}")
+        context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.fs.getUri(), self.spark._jsc.hadoopConfiguration())
+        never_replace = self.spark._sc._gateway.new_array(getattr(self._jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
         try:
-            self.fs.create(claim, False).close()
-        except Exception as error:
+            context.rename(draft, final, never_replace)
+        except Py4JJavaError as error:
             self.fs.delete(draft, False)
-            if "FileAlreadyExists" in str(error):
-                if not self.fs.exists(final) and time.time() - self.fs.getFileStatus(claim).getModificationTime() / 1000 > CLAIM_SECONDS:
-                    self.fs.delete(claim, False)
+            if "FileAlreadyExistsException" in str(error.java_exception.toString()):
                 raise Conflict(f"version {new['version']} of {self.path} is taken") from error
             raise
-        if self.fs.exists(final) or not self.fs.rename(draft, final):
-            raise Conflict(f"version {new['version']} of {self.path} is taken")
         return new
 
+    def session(self, split: int, **others: str) -> SparkSession:
+        """A session that reads files in splits of at most ``split`` bytes."""
+        own = self.spark.newSession()
+        for name, value in {"maxPartitionBytes": str(split), "openCostInBytes": "0", **others}.items():
+            own.conf.set(f"spark.sql.files.{name}", value)
+        return own
+
     def _write(self, df: DataFrame) -> list[dict]:
         """Each task's rows as a shard; a failed attempt leaves nothing, as Spark commits files by task."""
         folder = f"data/{uuid.uuid4().hex}"
@@ -112,8 +99,8 @@ class ShardedTable:
         shards = self._write(arrivals)
         return self.commit(base, shards, set(), arrivals.schema.json())
 
-    def plan(self, manifest: dict, target: int, fanout: int) -> list[dict]:
-        """The shards to merge: those of each tier that has ``fanout`` shards or more and is below the target size.
+    def plan(self, manifest: dict, target: int, fanout: int) -> list[list[dict]]:
+        """The tiers to merge, smallest shards first: those that have ``fanout`` shards or more, below half the target.
 
         Tier k holds shards from ``target / fanout ** (k + 1)`` to ``target / fanout ** k`` bytes.
         """
@@ -121,39 +108,43 @@ class ShardedTable:
         for shard in manifest["shards"]:
             if shard["bytes"] * 2 <= target:
                 tiers.setdefault(int(math.log(target / max(1, shard["bytes"]), fanout)), []).append(shard)
-        return [s for tier in sorted(tiers) if len(tiers[tier]) >= fanout for s in tiers[tier]]
+        return [tiers[k] for k in sorted(tiers, reverse=True) if len(tiers[k]) >= fanout]
 
     def compact(self, target: int = TARGET_BYTES, fanout: int = FANOUT) -> dict:
-        """Merges tiers of similarly sized shards into files of about ``target`` bytes until no tier is full.
+        """Merges tiers of similarly sized shards into files of up to about ``target`` bytes until no tier is full.
 
-        One job merges all that is due: Spark's reader packs the small files into partitions of the target size, and
-        each becomes a shard. Nothing is shuffled, and a row is rewritten once for each tier it passes.
+        A job merges one tier, the one of the smallest shards that is due, and commits; what it makes may fill a higher
+        tier. Spark's reader packs the small files into partitions of the target size, and each becomes a shard. Nothing
+        is shuffled, and a row is rewritten once for each tier it passes.
         """
-        now = self.manifest()
+        now, reader = self.manifest(), self.session(target, minPartitionNum="1")
         while due := self.plan(now, target, fanout):
-            with reader_splits(self.spark, target, openCostInBytes="0", minPartitionNum="1"):
-                merged = self._write(self._read(now["schema"], due))
-            now = self.commit(now, merged, {s["name"] for s in due}, now["schema"])
-            if len(merged) >= len(due):  # nothing got larger
+            merged = self._write(self._read(now["schema"], due[0], reader))
+            now = self.commit(now, merged, {s["name"] for s in due[0]}, now["schema"])
+            if len(merged) >= len(due[0]):  # nothing got larger
                 break
         return now
 
-    def _read(self, schema: str | None, shards: list[dict]) -> DataFrame:
+    def _read(self, schema: str | None, shards: list[dict], reader: SparkSession | None = None) -> DataFrame:
         from pyspark.sql.types import StructType
 
         if schema is None:
             raise ValueError(f"{self.path} has no version")
         kind = StructType.fromJson(json.loads(schema))
+        reader = reader or self.spark
         if not shards:
-            return self.spark.createDataFrame([], kind)
-        return self.spark.read.schema(kind).parquet(*[f"{self.path}/{s['name']}" for s in shards])
+            return reader.createDataFrame([], kind)
+        return reader.read.schema(kind).parquet(*[f"{self.path}/{s['name']}" for s in shards])
 
     def read(self, version: int | None = None) -> DataFrame:
         manifest = self.manifest(version)
         return self._read(manifest["schema"], manifest["shards"])
 
     def vacuum(self) -> None:
-        """Removes the shard files that the newest version doesn't list; not to be run beside writers."""
+        """Removes shard files that the newest version doesn't list, and drafts; not to be run beside writers."""
+        for name, _ in self._list("manifest"):
+            if name.startswith(".draft-"):
+                self.fs.delete(self._path(f"manifest/{name}"), False)
         listed = {s["name"] for s in self.manifest()["shards"]}
         for folder, _ in self._list("data"):
             own = [f"data/{folder}/{n}" for n, _ in self._list(f"data/{folder}")]
@@ -165,23 +156,24 @@ class ShardedTable:
                         self.fs.delete(self._path(name), False)
 
 
-def arrive(table: ShardedTable, docs: DataFrame, arrivals: int = ARRIVALS, split: int = SPLIT_BYTES, target: int = TARGET_BYTES) -> dict:
-    """``docs`` appended in ``arrivals`` versions by a hash of doc_id, in shards of bounded size, and then compacted.
+def arrive(table: ShardedTable, path: str, arrivals: int = ARRIVALS, split: int = SPLIT_BYTES, target: int = TARGET_BYTES) -> dict:
+    """The Parquet table at ``path`` appended in ``arrivals`` versions by a hash of doc_id, in shards of bounded size, and
+    then compacted.
 
     A split of the input makes a shard in each version, so a shard's size doesn't depend on the input's. The table is
-    read once for each arrival. Returns the last manifest.
+    read once for each arrival. Cases: rows with null doc_id arrive together; an empty table makes empty versions.
+    Returns the last manifest.
     """
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(arrivals))
+    docs, part = table.session(split).read.parquet(path), F.pmod(F.xxhash64("doc_id"), F.lit(arrivals))
     for k in range(arrivals):
-        with reader_splits(table.spark, split, openCostInBytes="0"):
-            table.append(docs.where(part == k))
+        table.append(docs.where(part == k))
     return table.compact(target)
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents appended in several arrivals and compacted: where each one lies, and what its shard holds."""
     table = ShardedTable(spark, f"{shared_folder(spark)}/shards-{uuid.uuid4().hex}")
-    done = arrive(table, spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    done = arrive(table, f"{sf_dir}/documents.parquet")
     table.vacuum()
     table.fs.deleteOnExit(table._path(""))
     rows = table.read().select("doc_id", "source", "n_chars", F.col("_metadata.file_name").alias("shard"), F.col("_metadata.file_size").alias("shard_bytes"))
