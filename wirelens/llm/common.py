@@ -36,7 +36,8 @@ def lower_ascii(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """The words ``[^\\x20\\x09-\\x0D]+`` of a text in order; none for null."""
-    return F.coalesce(F.filter(F.split(text, BLANKS + "+", -1), lambda w: w != ""), F.array().cast("array<string>"))
+    spaced = F.translate(text, TRIMMED, " " * len(TRIMMED))
+    return F.coalesce(F.array_remove(F.split(spaced, " ", -1), ""), F.array().cast("array<string>"))
 
 
 def let(value: Column, body) -> Column:
