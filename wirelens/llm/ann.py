@@ -290,7 +290,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, most: int = NEAREST, recall:
             some = batch.take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays([*some.columns, pa.array(pages, pa.int64()), pa.array(leaves, pa.list_(pa.int64()))], names=["q", "vec", "page", "leaves"])
 
-    routed = durable(wanted.mapInArrow(visit, "q long, vec array<double>, page long, leaves array<long>"), "routed")
+    # queries are few beside their visits, and walking the tree is what takes the time
+    spread = wanted.repartition(2 * spark.sparkContext.defaultParallelism)
+    routed = durable(spread.mapInArrow(visit, "q long, vec array<double>, page long, leaves array<long>"), "routed")
     place = spark.createDataFrame([(i, int(p), int(blocks[p])) for i, p in enumerate(page)], "leaf long, page long, blocks long")
     asks = routed.groupBy("page").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).alias("asks"))
     # a row for each leaf and for each page
