@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 KEY = ["transport", "ip_version", "client_ip", "client_port", "server_ip", "server_port", "dns_id", "qname", "qtype", "qclass"]
 
 
-def transactions(packets: DataFrame, timeout_ns: int, lazy: bool = False, key: list[str] | None = None, order: list[str] | None = None) -> DataFrame:
+def transactions(
+    packets: DataFrame, timeout_ns: int, lazy: bool = False, key: list[str] | None = None, order: list[str] | None = None, carry: list[str] | None = None
+) -> DataFrame:
     """A row for each query (OBSERVED or UNANSWERED) and each response without one (UNMATCHED).
 
     ``packets`` holds kind (query or response), observed_ns, seq and the key. Eager: a query that its key's next packet
@@ -17,6 +19,8 @@ def transactions(packets: DataFrame, timeout_ns: int, lazy: bool = False, key: l
     same, its round trip is marked invalid. The next packet being a query is a collision, none a drain. A gap of just
     the timeout is in time. Round trips are kept where invalid (negative or too long).
 
+    ``carry`` names columns of which the response's value comes along too, as ``response_<name>``.
+
     One shuffle by key; a join would match a response to every query of its key.
     """
     window = Window.partitionBy(*(key or KEY)).orderBy(*(order or ["observed_ns", "seq"]))
@@ -26,6 +30,7 @@ def transactions(packets: DataFrame, timeout_ns: int, lazy: bool = False, key: l
             "next_ns": F.lead("observed_ns").over(window),
             "next_seq": F.lead("seq").over(window),
             "next_rcode": F.lead("rcode").over(window),
+            **{f"next_{c}": F.lead(c).over(window) for c in carry or []},
             "last_kind": F.lag("kind").over(window),
             "last_ns": F.lag("observed_ns").over(window),
         }
@@ -53,29 +58,33 @@ def transactions(packets: DataFrame, timeout_ns: int, lazy: bool = False, key: l
                 "rtt_valid": F.when(is_observed & rtt.between(0, timeout_ns), 1).otherwise(0),
                 "response_seq": F.when(is_observed, F.col("next_seq")).when(F.col("outcome") == "UNMATCHED", F.col("seq")),
                 "rcode": F.when(is_observed, F.col("next_rcode")).when(F.col("outcome") == "UNMATCHED", F.col("rcode")),
+                **{f"response_{c}": F.when(is_observed, F.col(f"next_{c}")).when(F.col("outcome") == "UNMATCHED", F.col(c)) for c in carry or []},
             }
         )
-        .drop("next_kind", "next_ns", "next_seq", "next_rcode", "last_kind", "last_ns")
+        .drop("next_kind", "next_ns", "next_seq", "next_rcode", "last_kind", "last_ns", *[f"next_{c}" for c in carry or []])
     )
 
 
-def transactions_sql(timeout_ns: int, lazy: bool = False) -> str:
-    """The same over the table ``wire``, for DuckDB."""
+#: What the oracle keeps of a packet besides its outcome.
+KEPT = "seq, observed_ns, kind, user_id, transport, ip_version, client_ip, client_port, server_ip, server_port, dns_id, qname, qtype, qclass, message, mac"
+
+
+def transactions_sql(timeout_ns: int, lazy: bool = False, table: str = "wire", key: list[str] = KEY, kept: str = KEPT) -> str:
+    """The same over a table, for DuckDB."""
     in_time = "true" if lazy else f"next_ns - observed_ns <= {timeout_ns}"
     live = "true" if lazy else f"observed_ns - last_ns <= {timeout_ns}"
     late = "false" if lazy else f"next_ns - observed_ns > {timeout_ns}"
-    key = ", ".join(KEY)
+    key = ", ".join(key)
     return f"""
 near AS (
   SELECT *, lead(kind) OVER k AS next_kind, lead(observed_ns) OVER k AS next_ns, lead(seq) OVER k AS next_seq,
     lead(rcode) OVER k AS next_rcode, lag(kind) OVER k AS last_kind, lag(observed_ns) OVER k AS last_ns
-  FROM wire WHERE kind <> 'dhcp' WINDOW k AS (PARTITION BY {key} ORDER BY observed_ns, seq)),
+  FROM {table} WHERE kind <> 'dhcp' WINDOW k AS (PARTITION BY {key} ORDER BY observed_ns, seq)),
 judged AS (
   SELECT *, CASE WHEN kind = 'query' AND next_kind = 'response' AND {in_time} THEN 'OBSERVED' WHEN kind = 'query' THEN 'UNANSWERED'
     WHEN NOT coalesce(last_kind = 'query' AND {live}, false) THEN 'UNMATCHED' END AS outcome FROM near),
 tx AS (
-  SELECT seq, observed_ns, kind, user_id, transport, ip_version, client_ip, client_port, server_ip, server_port, dns_id, qname, qtype,
-    qclass, message, mac, outcome,
+  SELECT {kept}, outcome,
     CASE WHEN outcome <> 'UNANSWERED' THEN '' WHEN next_kind IS NULL THEN 'drain'
       WHEN next_kind = 'query' AND NOT ({late}) THEN 'collision' ELSE 'timeout' END AS cause,
     CASE WHEN outcome = 'OBSERVED' THEN next_ns - observed_ns END AS rtt_ns,

@@ -77,7 +77,8 @@ def decapsulated(packets: DataFrame) -> DataFrame:
 
     status: OK, TRUNCATED (a header or the UDP length reaches past the frame), UNSUPPORTED (not IP, more than two VLAN
     tags, a version that contradicts the ethertype, too many extension headers) or OTHER (no UDP or TCP, later
-    fragments). A payload ends where the IP packet does, or with the frame if that is shorter.
+    fragments). A payload ends where the IP packet does, or with the frame if that is shorter. ``packet`` holds what was
+    seen below the payload; its lengths are those of ``packet_len`` and ``captured_len`` if there are such columns.
     """
     frame = F.col("frame")
     size = F.octet_length(frame)
@@ -121,15 +122,50 @@ def decapsulated(packets: DataFrame) -> DataFrame:
     width = F.when(F.col("ip_version") == 4, 4).otherwise(16)
     source = F.when(F.col("ip_version") == 4, F.col("_ip") + 12).otherwise(F.col("_ip") + 8)
     addressed = fine | (F.col("status") == "OTHER")
+    a = a.withColumns({"_src": address_text(F.when(addressed, piece(frame, source, width))), "_dst": address_text(F.when(addressed, piece(frame, source + width, width)))})
     return a.select(
         *packets.columns, "status", "vlan_ids", "ip_version",
         F.when(udp, "udp").when(tcp, "tcp").alias("transport"),
         mac_text(piece(frame, 6, 6)).alias("src_mac"),
-        address_text(F.when(addressed, piece(frame, source, width))).alias("src_ip"),
-        address_text(F.when(addressed, piece(frame, source + width, width))).alias("dst_ip"),
+        F.col("_src").alias("src_ip"),
+        F.col("_dst").alias("dst_ip"),
         F.when(fine, number(frame, l4, 2)).cast("int").alias("src_port"),
         F.when(fine, number(frame, l4 + 2, 2)).cast("int").alias("dst_port"),
         payload.alias("payload"),
+        F.when(fine, _observation(packets, a)).alias("packet"),
+    )
+
+
+def _observation(packets: DataFrame, a: DataFrame) -> Column:
+    """What was seen of a packet below its payload: link, network and transport; null where there is nothing to tell."""
+    frame, ip, l4 = F.col("frame"), F.col("_ip"), F.col("_l4")
+    is4, udp = F.col("ip_version") == 4, F.col("protocol") == UDP
+    # the traffic class of IPv6 lies across two bytes
+    tos = F.when(is4, number(frame, ip + 1, 1)).otherwise(F.shiftright(number(frame, ip, 2), 4).bitwiseAND(255))
+    size = F.octet_length(frame)
+    known = lambda name, default: F.col(name) if name in packets.columns else default
+    flags = F.when(~udp, number(frame, l4 + 13, 1)).cast("int")
+    tcp = F.when(~udp, F.struct(flags.alias("flags"), F.greatest(F.least(F.col("_end"), size.cast("long")) - l4 - F.shiftright(number(frame, l4 + 12, 1), 4) * 4, F.lit(0)).cast("int").alias("payload_len")))
+    datagram = F.when(udp, F.struct(number(frame, l4 + 4, 2).cast("int").alias("length"), (number(frame, l4 + 6, 2) != 0).alias("checksum_present")))
+    return F.struct(
+        F.col("observed_ns").alias("observed_time_unix_nano") if "observed_ns" in packets.columns else F.lit(0).cast("long").alias("observed_time_unix_nano"),
+        F.struct(
+            mac_text(piece(frame, 6, 6)).alias("src_mac"), mac_text(piece(frame, 0, 6)).alias("dst_mac"), F.col("vlan_ids"), F.col("_kind").cast("int").alias("ethertype"),
+        ).alias("link"),
+        F.struct(
+            F.when(is4, "NETWORK_PROTOCOL_IPV4").otherwise("NETWORK_PROTOCOL_IPV6").alias("protocol"),
+            F.col("_src").alias("src_ip"), F.col("_dst").alias("dst_ip"),
+            F.col("protocol").cast("int").alias("next_header"), number(frame, ip + F.when(is4, 8).otherwise(7), 1).cast("int").alias("ttl_or_hop_limit"),
+            F.shiftright(tos, 2).cast("int").alias("dscp"), tos.bitwiseAND(3).cast("int").alias("ecn"),
+            F.when(is4, number(frame, ip + 6, 2).bitwiseAND(0x2000) != 0).otherwise(F.coalesce(F.col("_x.fragment"), F.lit(False))).alias("fragmented"),
+            F.coalesce(F.col("_fragment"), F.lit(0)).cast("int").alias("fragment_offset"),
+        ).alias("network"),
+        F.struct(
+            F.when(udp, "TRANSPORT_PROTOCOL_UDP").otherwise("TRANSPORT_PROTOCOL_TCP").alias("protocol"), F.col("protocol").cast("int").alias("ip_protocol_number"),
+            number(frame, l4, 2).cast("int").alias("src_port"), number(frame, l4 + 2, 2).cast("int").alias("dst_port"), tcp.alias("tcp"), datagram.alias("udp"),
+        ).alias("transport"),
+        known("packet_len", size).cast("long").alias("packet_len"), known("captured_len", size).cast("long").alias("captured_len"),
+        (known("packet_len", size) > known("captured_len", size)).alias("truncated"),
     )
 
 

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 
 from wirelens.functions.names import RR_TYPES
 
-RECORD = "struct<name:string,type:int,type_name:string,class:int,ttl:long,text:string,malformed:boolean>"
+RECORD = "struct<name:string,type:int,type_name:string,class:int,ttl:long,rdata:binary,text:string,malformed:boolean>"
 MESSAGE = (
     "struct<id:int,qr:boolean,opcode:int,aa:boolean,tc:boolean,rd:boolean,ra:boolean,ad:boolean,cd:boolean,rcode:int,"
-    "questions:array<struct<qname:string,qtype:int,qtype_name:string,qclass:int>>,"
+    "qdcount:int,ancount:int,nscount:int,arcount:int,"
+    "questions:array<struct<qname:string,qname_wire:binary,qtype:int,qtype_name:string,qclass:int>>,"
     f"answers:array<{RECORD}>,authority:array<{RECORD}>,additional:array<{RECORD}>,"
-    "edns:struct<udp_size:int,version:int,do_bit:boolean,options:array<struct<code:int,value:binary>>>,"
+    "edns:struct<udp_size:int,extended_rcode:int,version:int,do_bit:boolean,options:array<struct<code:int,value:binary>>>,"
     "warnings:array<struct<code:string,path:string>>>"
 )
 MAX_NAME, MAX_JUMPS = 255, 128
@@ -89,7 +90,7 @@ def parsed(raw: bytes | None) -> dict | None:
     id_, flags, *counts = unpack_from(">6H", raw)
     bit = lambda k: bool(flags >> k & 1)
     warnings: list[dict] = []
-    out = {"id": id_, "qr": bit(15), "opcode": flags >> 11 & 15, "aa": bit(10), "tc": bit(9), "rd": bit(8), "ra": bit(7), "ad": bit(5), "cd": bit(4), "rcode": flags & 15, "edns": None, "warnings": warnings}
+    out = {"id": id_, "qr": bit(15), "opcode": flags >> 11 & 15, "aa": bit(10), "tc": bit(9), "rd": bit(8), "ra": bit(7), "ad": bit(5), "cd": bit(4), "rcode": flags & 15, **dict(zip(("qdcount", "ancount", "nscount", "arcount"), counts, strict=True)), "edns": None, "warnings": warnings}
     warn = lambda code, path: warnings.append({"code": code, "path": path})
     pos, questions = 12, []
     for i in range(counts[0]):
@@ -108,7 +109,7 @@ def parsed(raw: bytes | None) -> dict | None:
             pos = len(raw)
             break
         kind, class_ = unpack_from(">2H", raw, pos + n)
-        questions.append({"qname": name, "qtype": kind, "qtype_name": RR_TYPES.get(kind, f"TYPE{kind}"), "qclass": class_})
+        questions.append({"qname": name, "qname_wire": raw[pos : pos + n], "qtype": kind, "qtype_name": RR_TYPES.get(kind, f"TYPE{kind}"), "qclass": class_})
         pos += n + 4
     out["questions"] = questions
     for section, count in zip(("answers", "authority", "additional"), counts[1:], strict=True):
@@ -143,11 +144,11 @@ def parsed(raw: bytes | None) -> dict | None:
                         warn("dns_edns_option_overrun", "edns.options")
                     options.append({"code": code, "value": raw[o + 4 : min(pos, o + 4 + length)]})
                     o += 4 + length
-                out["edns"] = {"udp_size": class_, "version": ttl >> 16 & 255, "do_bit": bool(ttl & 0x8000), "options": options}
+                out["edns"] = {"udp_size": class_, "extended_rcode": ttl >> 24, "version": ttl >> 16 & 255, "do_bit": bool(ttl & 0x8000), "options": options}
                 out["rcode"] |= (ttl >> 24) << 4
                 continue
             text, good = rdata_text(raw, kind, at, size)
-            records.append({"name": name, "type": kind, "type_name": RR_TYPES.get(kind, f"TYPE{kind}"), "class": class_, "ttl": ttl, "text": text, "malformed": over or not fine or not good})
+            records.append({"name": name, "type": kind, "type_name": RR_TYPES.get(kind, f"TYPE{kind}"), "class": class_, "ttl": ttl, "rdata": raw[at : at + size], "text": text, "malformed": over or not fine or not good})
     return out
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wirelens.functions.formats import epoch_text, utc_text
+from wirelens.functions.formats import utc_text
 from wirelens.functions.names import DHCPV4_MESSAGES, dhcpv4_event_type, named, rcode_name, rr_type_name
 from wirelens.operators.identity import event_id
 
@@ -36,34 +36,36 @@ def dns_event_type() -> Column:
     return out
 
 
+def dns_values() -> dict[str, Column]:
+    """The wide row's values of a transaction with leg and service_role."""
+    has_query = F.col("outcome") != "UNMATCHED"
+    return {
+        "event_id": event_id(F.lit(HOST), F.lit(INTERFACE), F.col("observed_ns"), frame_of(F.col("kind"), F.col("seq"))),
+        "observed_time": utc_text(F.col("observed_ns")),
+        "source_type": F.lit("dns"),
+        "source_host": F.lit(HOST),
+        "capture_interface": F.lit(INTERFACE),
+        "event_type": dns_event_type(),
+        "src_ip": F.when(has_query, F.col("client_ip")).otherwise(F.col("server_ip")),
+        "dst_ip": F.when(has_query, F.col("server_ip")).otherwise(F.col("client_ip")),
+        "src_mac": F.when(has_query, F.col("mac")),
+        "qname": F.when(has_query, F.col("qname")),
+        "qtype": F.when(has_query, rr_type_name(F.col("qtype"))),
+        "qclass": F.when(has_query, F.col("qclass")),
+        "rcode": F.when(F.col("outcome") != "UNANSWERED", rcode_name(F.col("rcode"))),
+        "rtt_seconds": F.when(F.col("rtt_valid") == 1, F.col("rtt_ns") / 1e9),
+        "rtt_valid": F.col("rtt_valid"),
+        "role": F.col("leg"),
+        "service_role": F.col("service_role"),
+        "client_ip": F.col("client_ip"),
+        "server_ip": F.col("server_ip"),
+    }
+
+
 def wide_dns(tx: DataFrame) -> DataFrame:
     """Wide rows of transactions with leg and service_role. Name, type and class are those of the query, so an
     unmatched response has none; source and destination are those of the query if there is one."""
-    has_query = F.col("outcome") != "UNMATCHED"
-    return wide(
-        tx,
-        {
-            "event_id": event_id(F.lit(HOST), F.lit(INTERFACE), F.col("observed_ns"), frame_of(F.col("kind"), F.col("seq"))),
-            "observed_time": utc_text(F.col("observed_ns")),
-            "source_type": F.lit("dns"),
-            "source_host": F.lit(HOST),
-            "capture_interface": F.lit(INTERFACE),
-            "event_type": dns_event_type(),
-            "src_ip": F.when(has_query, F.col("client_ip")).otherwise(F.col("server_ip")),
-            "dst_ip": F.when(has_query, F.col("server_ip")).otherwise(F.col("client_ip")),
-            "src_mac": F.when(has_query, F.col("mac")),
-            "qname": F.when(has_query, F.col("qname")),
-            "qtype": F.when(has_query, rr_type_name(F.col("qtype"))),
-            "qclass": F.when(has_query, F.col("qclass")),
-            "rcode": F.when(F.col("outcome") != "UNANSWERED", rcode_name(F.col("rcode"))),
-            "rtt_seconds": F.when(F.col("rtt_valid") == 1, F.col("rtt_ns") / 1e9),
-            "rtt_valid": F.col("rtt_valid"),
-            "role": F.col("leg"),
-            "service_role": F.col("service_role"),
-            "client_ip": F.col("client_ip"),
-            "server_ip": F.col("server_ip"),
-        },
-    )
+    return wide(tx, dns_values())
 
 
 def dhcp_messages(wire: DataFrame) -> DataFrame:
@@ -139,11 +141,7 @@ def sourcetype(configured: dict[str, str], source_type: Column, service_role: Co
     return F.when((source_type == "dns") & (F.coalesce(service_role, F.lit("")) != ""), F.concat(base, F.lit(":"), service_role)).otherwise(base)
 
 
-def event_json(wide_rows: DataFrame) -> DataFrame:
-    """(event_id, time, body): each row as JSON, keys in order, without values that are absent."""
+def row_json(wide_rows: DataFrame) -> DataFrame:
+    """(event_id, time, body): each wide row as JSON, keys in order, without values that are absent."""
     fields = [F.when(F.col(c) != F.lit(d), F.col(c)).alias(c) for c, d in sorted(WIDE.items())]
     return wide_rows.select("event_id", F.col("observed_time").alias("time"), F.to_json(F.struct(*fields)).alias("body"))
-
-
-def hec_time(ns: Column) -> Column:
-    return epoch_text(ns)

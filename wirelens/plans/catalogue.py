@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wirelens.functions import formats, names, options
 from wirelens.operators import analytics, classify, correlate, delivery, identity, project
-from wirelens.plans import packets
+from wirelens.plans import from_frames, packets
 from wirelens.sources import wire as source
 from wirelens.streaming import correlator
 
@@ -100,9 +100,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_lengths": lambda s, d: delivery.entries(w(s, d)).groupBy("stream").agg(F.count(F.lit(1)).alias("entries"), F.min(formats.entry_time(F.col("entry_id"))).alias("first_ms"), F.max(formats.entry_time(F.col("entry_id"))).alias("last_ms")),
         "retention_maxlen": lambda s, d: delivery.retained(delivery.entries(w(s, d)), 1000).select("stream", "entry_id"),
         "dead_letter_split": lambda s, d: delivery.dead_letters(delivery.entries(w(s, d))),
-        "hec_json_events": lambda s, d: project.event_json(_wide(s, d)),
         "stream_correlate_available_now": lambda s, d: correlator.run_available_now(s, d, TIMEOUT),
         **packets.queries(),
+        **from_frames.queries(),
     }
 
 
@@ -241,4 +241,5 @@ def oracle_sql() -> dict[str, str]:
             SELECT 'decode_error' AS reason, stream AS origin_stream, entry_id AS origin_id, error FROM e WHERE error IS NOT NULL""",
         "stream_correlate_available_now": f"{t} SELECT seq, outcome, cause, rtt_ns, rtt_valid, response_seq FROM t WHERE cause <> 'drain'",
         **packets.oracle_sql(),
+        **from_frames.oracle_sql(),
     }

@@ -54,6 +54,7 @@ def dhcp4_fixtures() -> dict[str, bytes]:
         "long_option": frames.dhcp4(kind(5) + o(121, long_[:255]) + o(121, long_[255:]) + b"\xff"),
         "overrun": frames.dhcp4(kind(1) + b"\x32\x04\xc0"),
         "no_type": frames.dhcp4(me + b"\xff"),
+        "options": frames.dhcp4(kind(8) + o(60, b"maker") + o(43, b"\1\2ab\1\1c\2\5x") + o(66, b"tftp") + o(67, b"boot.img") + o(81, b"\1\2\3pc") + o(82, o(1, b"p1") + b"\2\x09id") + o(252, b"http://wpad") + b"\xff"),
     }
     return {k: frames.udp(v, ("0.0.0.0", 68), ("255.255.255.255", 67), tags=(100,) if k == "discover" else ()) for k, v in messages.items()}
 
@@ -71,6 +72,7 @@ def dhcp6_fixtures() -> dict[str, bytes]:
         "vendor": b"\x0b\0\0\3" + o(17, struct.pack(">I", 99999) + o(1, b"text") + o(2, bytes.fromhex("deadbeef"))),
         "overrun": b"\1\0\0\4" + o(1, duid) + struct.pack(">2H", 6, 8) + b"\0\x17",
         "short_ia": b"\7\0\0\5" + o(3, b"\0" * 5),
+        "cut_header": b"\1\0\0\6" + o(1, duid) + o(16, struct.pack(">IH", 4242, 3) + b"abc") + b"\0\6\0",
     }
     return {k: frames.udp(v, ("fe80::1", 546), ("ff02::1:2", 547)) for k, v in messages.items()}
 
@@ -106,7 +108,7 @@ def _dhcp4(spark: SparkSession, sf_dir: str) -> DataFrame:
         "fixture", "event_type", "client_key", "transaction_key", "lease_address", "is_relayed", "is_broadcast", "is_renewal",
         F.coalesce("dhcp.subnet_mask", F.lit("")).alias("mask"), F.coalesce("dhcp.hostname", "dhcp.fqdn", F.lit("")).alias("name"), F.array_join("dhcp.search", ";").alias("search"),
         F.size("dhcp.routes").alias("routes"),
-        F.coalesce(F.decode("dhcp.relay.circuit_id", "utf-8"), F.lit("")).alias("circuit"), F.array_join(F.transform("dhcp.warnings", lambda w: F.concat_ws("@", w["code"], w["path"])), ";").alias("warnings"),
+        F.coalesce("dhcp.relay.circuit_id", F.lit("")).alias("circuit"), F.array_join(F.transform("dhcp.warnings", lambda w: F.concat_ws("@", w["code"], w["path"])), ";").alias("warnings"),
     )
 
 
@@ -119,6 +121,18 @@ def _dhcp6(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _dhcp4_more(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts of vendor, relay, boot, proxy and name options."""
+    d = decap.decapsulated(_table(spark, dhcp4_fixtures())).withColumn("d", dhcp.parse4(F.col("payload")))
+    pairs = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws("=", x["code"].cast("string"), x["text"])), ",")
+    text = lambda c: F.coalesce(F.col(f"d.{c}").cast("string"), F.lit(""))
+    return d.select(
+        "fixture", text("tftp_server").alias("tftp"), text("boot_file").alias("boot"), text("proxy").alias("proxy"), text("fqdn_flags").alias("flags"), text("fqdn_rcode2").alias("rcode2"),
+        text("vendor.success").alias("vendor_ok"), F.coalesce(pairs("d.vendor.suboptions"), F.lit("")).alias("vendor"), F.array_join(F.transform("d.vendor.warnings", lambda w: w["code"]), ",").alias("vendor_warnings"),
+        text("relay.remote_id").alias("remote"), F.array_join(F.transform("d.relay.suboptions", lambda x: x["name"]), ",").alias("relay_names"),
+    )
+
+
 def _decap(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = decap.decapsulated(_table(spark, odd_frames()))
     return d.select("fixture", "status", F.array_join(F.col("vlan_ids").cast("array<string>"), ",").alias("vlans"), F.coalesce("src_ip", F.lit("")).alias("src_ip"), F.coalesce("dst_port", F.lit(0)).alias("dst_port"), F.coalesce(F.octet_length("payload"), F.lit(0)).alias("payload"))
@@ -145,7 +159,7 @@ def _roundtrip_dhcp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
-        "decode_dns_fixtures": _dns, "decode_dhcp4_fixtures": _dhcp4, "decode_dhcp6_fixtures": _dhcp6, "decap_fixtures": _decap, "bpf_verdicts": _verdicts,
+        "decode_dns_fixtures": _dns, "decode_dhcp4_fixtures": _dhcp4, "decode_dhcp6_fixtures": _dhcp6, "decode_dhcp4_option_texts": _dhcp4_more, "decap_fixtures": _decap, "bpf_verdicts": _verdicts,
         "frames_roundtrip_dns": _roundtrip_dns, "frames_roundtrip_dhcp": _roundtrip_dhcp,
     }
 
@@ -182,14 +196,24 @@ def oracle_sql() -> dict[str, str]:
                     ("long_option", "ack", "02:00:5e:10:00:01", "0.0.0.0", False, "", "", "", 45, "", ""),
                     ("overrun", "discover", "02:00:5e:10:00:01", "", False, "", "", "", 0, "", "opt_len_overrun@raw_options[1]"),
                     ("no_type", "packet", key, "", False, "", "", "", 0, "", ""),
+                    ("options", "inform", "02:00:5e:10:00:01", "", False, "", "pc", "", 0, "p1", "relay_subopt_len_overrun@decoded.relay_agent_information.suboptions[1]"),
                 ]
             ),
         ),
+        "decode_dhcp4_option_texts": _values(
+            "fixture, tftp, boot, proxy, flags, rcode2, vendor_ok, vendor, vendor_warnings, remote, relay_names",
+            ", ".join(
+                [f"('{f}', '', '', '', {q}, '', '', NULL, '', NULL)" for f, q in [(f, "'', ''") for f in ("discover", "offer", "renewal", "overload", "long_option", "overrun", "no_type")] + [("ack", "'4', '0'")]]
+                + ["('relayed', '', '', '', '', '', '', '', NULL, '0102', 'Agent Circuit ID,Agent Remote ID,Subscriber ID')",
+                   "('options', 'tftp', 'boot.img', 'http://wpad', '1', '3', 'false', '1=ab,1=c', 'vendor_subopt_len_overrun', 'id', 'Agent Circuit ID,Agent Remote ID')"]
+            ),
+        ),
         "decode_dhcp6_fixtures": _values(
             "fixture, message, duid, requested, addresses, options, vendor, warnings",
             """('solicit', 1, '00030001020000000001', '23,24,31', '', 3, '', ''), ('reply', 7, '00030001020000000001', '', '2001:db8::50', 3, '', ''),
             ('relay_forw', 12, '', '', '', 2, '', ''), ('vendor', 11, '', '', '', 1, '74657874,deadbeef', ''),
-            ('overrun', 1, '00030001020000000001', '23', '', 2, '', 'opt_len_overrun'), ('short_ia', 7, '', '', '', 1, '', 'ia_len_short')""",
+            ('overrun', 1, '00030001020000000001', '23', '', 2, '', 'opt_len_overrun'), ('short_ia', 7, '', '', '', 1, '', 'ia_len_short'),
+            ('cut_header', 1, '00030001020000000001', '6', '', 3, '', 'opt_missing_header')""",
         ),
         "decap_fixtures": _values(
             "fixture, status, vlans, src_ip, dst_port, payload",

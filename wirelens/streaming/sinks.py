@@ -58,7 +58,7 @@ def wide_sink(rows: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
 
 def json_sink(rows: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
     """The same rows as JSON lines."""
-    bodies = project.event_json(rows).select(F.col("body").alias("value"))
+    bodies = project.row_json(rows).select(F.col("body").alias("value"))
     return bodies.writeStream.format("text").option("path", folder).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
