@@ -5,7 +5,7 @@ import random
 import pytest
 
 from wirelens.operators.correlate import KEY, transactions
-from wirelens.streaming.correlator import outcomes
+from wirelens.streaming.correlator import outcomes, pending_left, run_once, tick
 
 TIMEOUT = 5_000_000_000
 Q, R = "query", "response"
@@ -22,14 +22,17 @@ def run(spark, rows, **options):
     return sorted((r.seq, r.outcome, r.cause, r.rtt_ns, r.rtt_valid) for r in out)
 
 
+T0, SOON = 7_000_000_000_000, 40_000_000
 SCENARIOS = [
-    ([(1000, Q), (1500, R)], [(0, "OBSERVED", "", 500, 1)]),
-    ([(2000, R)], [(0, "UNMATCHED", "", None, 0)]),
-    ([(1000, Q), (1000 + TIMEOUT + 100, R)], [(0, "UNANSWERED", "timeout", None, 0), (1, "UNMATCHED", "", None, 0)]),
-    ([(1000, Q), (1100, Q), (1200, R)], [(0, "UNANSWERED", "collision", None, 0), (1, "OBSERVED", "", 100, 1)]),
-    ([(1000, Q), (1000 + TIMEOUT, R)], [(0, "OBSERVED", "", TIMEOUT, 1)]),
-    ([(1000, Q), (1100, R), (1200, R)], [(0, "OBSERVED", "", 100, 1), (2, "UNMATCHED", "", None, 0)]),
-    ([(1000, Q)], [(0, "UNANSWERED", "drain", None, 0)]),
+    ([(T0, R)], [(0, "UNMATCHED", "", None, 0)]),
+    ([(T0, Q)], [(0, "UNANSWERED", "drain", None, 0)]),
+    ([(T0, Q), (T0 + SOON, R)], [(0, "OBSERVED", "", SOON, 1)]),
+    ([(T0, Q), (T0, R)], [(0, "OBSERVED", "", 0, 1)]),
+    ([(T0, Q), (T0 + SOON, R), (T0 + 3 * SOON, R)], [(0, "OBSERVED", "", SOON, 1), (2, "UNMATCHED", "", None, 0)]),
+    ([(T0, Q), (T0 + SOON, Q), (T0 + 4 * SOON, R)], [(0, "UNANSWERED", "collision", None, 0), (1, "OBSERVED", "", 3 * SOON, 1)]),
+    ([(T0, Q), (T0 + TIMEOUT, R)], [(0, "OBSERVED", "", TIMEOUT, 1)]),
+    ([(T0, Q), (T0 + TIMEOUT + 1, R)], [(0, "UNANSWERED", "timeout", None, 0), (1, "UNMATCHED", "", None, 0)]),
+    ([(T0, Q), (T0 + 2 * TIMEOUT, Q)], [(0, "UNANSWERED", "timeout", None, 0), (1, "UNANSWERED", "drain", None, 0)]),
 ]
 
 
@@ -67,3 +70,27 @@ def test_batch_equals_stream_state(spark):
             want |= {(o[0], o[1], o[2], o[3], o[4]) for o in out}
             own = own[n:]
     assert got == want
+
+
+def test_stream_times_out_restarts_and_drains(spark, tmp_path):
+    """Packets in several stretches, the query started again for each: timers settle what nothing follows, and a tick the
+    rest; with the causes put together it is what a batch run finds, and no state is left."""
+    rng, step = random.Random(9), TIMEOUT // 3
+    rows = [packet(i, T0 + i * step // 8 + rng.randrange(step // 8), rng.choice([Q, Q, R]), dns_id=rng.randrange(30)) for i in range(300)]
+    rows.append(packet(300, rows[-1][1] + 20 * TIMEOUT, Q, dns_id=99))
+    want = run(spark, rows)
+    folder, left = str(tmp_path), []
+    for k in range(0, len(rows), 100):
+        part = spark.createDataFrame(rows[k : k + 100], FIELDS)
+        part.write.mode("append").parquet(f"{folder}/in")
+        left.append(pending_left(run_once(spark, folder, part.schema, TIMEOUT)))
+    assert left[0] > 0
+    early = {r.seq: r.cause for r in spark.read.parquet(f"{folder}/out").collect()}
+    assert sum(c == "timeout" for c in early.values()) > sum(r[2] == "timeout" for r in want)
+    tick(part).write.mode("append").parquet(f"{folder}/in")
+    assert pending_left(run_once(spark, folder, part.schema, TIMEOUT)) == 0
+    got = sorted((r.seq, r.outcome, r.cause, r.rtt_ns, r.rtt_valid) for r in spark.read.parquet(f"{folder}/out").collect())
+    last = rows[-1][1]
+    late = lambda r: "timeout" if r[2] == "drain" and rows[r[0]][1] + TIMEOUT < last - 1_000_000 else r[2]
+    assert got == [(r[0], r[1], late(r), r[3], r[4]) for r in want]
+    assert {r[2] for r in got} >= {"timeout", "drain", "collision"}

@@ -239,7 +239,8 @@ def oracle_sql() -> dict[str, str]:
         "dead_letter_split": f"""{_W}, {_ENTRIES}, e AS (SELECT *, CASE WHEN encoding <> 'protobuf' THEN 'encoding' WHEN schema <> '{delivery.SCHEMA}' THEN 'schema'
             WHEN payload_kind IS NULL OR payload_kind = 'dhcpv4_lease' THEN 'payload' END AS error FROM entries)
             SELECT 'decode_error' AS reason, stream AS origin_stream, entry_id AS origin_id, error FROM e WHERE error IS NOT NULL""",
-        "stream_correlate_available_now": f"{t} SELECT seq, outcome, cause, rtt_ns, rtt_valid, response_seq FROM t WHERE cause <> 'drain'",
+        "stream_correlate_available_now": f"""{t} SELECT seq, outcome, CASE WHEN cause = 'drain' AND (observed_ns + {TIMEOUT}) // 1000000 + 1 < (SELECT max(observed_ns) // 1000000 FROM wire WHERE kind <> 'dhcp')
+            THEN 'timeout' ELSE cause END AS cause, rtt_ns, rtt_valid, response_seq FROM t""",
         **packets.oracle_sql(),
         **from_frames.oracle_sql(),
     }

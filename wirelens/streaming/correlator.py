@@ -7,12 +7,18 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import StructType
 
 from wirelens.operators.correlate import KEY
 from wirelens.sources.tables import durable_folder
 from wirelens.sources.wire import wire
 
+MILLI = 1_000_000
+#: The time of a packet that ends a stream; no real one comes later.
+DRAIN_NS = 9 * 10**18
 OUT = "seq long, outcome string, cause string, rtt_ns long, rtt_valid int, response_seq long"
 
 
@@ -41,39 +47,69 @@ def outcomes(rows: list[tuple[int, int, str]], pending: tuple[int, int] | None,
     return out, pending
 
 
-def correlated(packets: DataFrame, timeout_ns: int) -> DataFrame:
+def tick(packets: DataFrame) -> DataFrame:
+    """One packet of no kind, later than all others: with it the stream's time passes everything that waits."""
+    none = [F.lit(DRAIN_NS if f.name == "observed_ns" else "tick" if f.name == "kind" else None).cast(f.dataType).alias(f.name) for f in packets.schema]
+    return packets.sparkSession.range(1).select(*none)
+
+
+def correlated(packets: DataFrame, timeout_ns: int, lateness: str = "0 seconds", key: list[str] | None = None) -> DataFrame:
     """Settled outcomes of a stream of packets, in arrival order within each micro-batch.
 
-    The state of a key is at most one pending query, whatever arrives. Queries that nothing follows stay pending; a
-    batch run over the same packets reports them as drained.
+    The state of a key is at most one pending query, with a timer at the first millisecond that finds it timed out. The
+    stream's time is the latest packet's less ``lateness``; packets that are older are left out. A query that nothing
+    follows is unanswered once its timer has passed: for timeout, or, if a :func:`tick` made it pass, for drain. So after
+    a tick no state is left.
     """
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         pending = tuple(state.get) if state.exists else None
-        rows = [r for b in batches for r in zip(b["observed_ns"].tolist(), b["seq"].tolist(), b["kind"].tolist(), strict=True)]
-        out, pending = outcomes(rows, pending, timeout_ns)
+        if state.hasTimedOut:
+            drained = state.getCurrentWatermarkMs() >= DRAIN_NS // MILLI
+            out, pending = [(pending[1], "UNANSWERED", "drain" if drained else "timeout", None, 0, None)], None
+        else:
+            rows = [r for b in batches for r in zip(b["observed_ns"].tolist(), b["seq"].tolist(), b["kind"].tolist(), strict=True) if r[2] != "tick"]
+            out, pending = outcomes(rows, pending, timeout_ns)
         if pending is not None:
             state.update(pending)
+            state.setTimeoutTimestamp(max((pending[0] + timeout_ns) // MILLI + 1, state.getCurrentWatermarkMs() + 1))
         elif state.exists:
             state.remove()
-        if not out:
-            return
-        frame = pd.DataFrame(out, columns=["seq", "outcome", "cause", "rtt_ns", "rtt_valid", "response_seq"])
-        yield frame.astype({"rtt_ns": "Int64", "response_seq": "Int64"})
+        if out:
+            frame = pd.DataFrame(out, columns=["seq", "outcome", "cause", "rtt_ns", "rtt_valid", "response_seq"])
+            yield frame.astype({"rtt_ns": "Int64", "response_seq": "Int64"})
 
-    live = packets.where("kind IN ('query', 'response')")
-    return live.groupBy(*KEY).applyInPandasWithState(update, OUT, "ns long, seq long", "append", GroupStateTimeout.NoTimeout)
+    live = packets.where("kind IN ('query', 'response', 'tick')").withColumn("event_time", F.timestamp_micros(F.expr("observed_ns div 1000")))
+    timed = live.withWatermark("event_time", lateness)
+    return timed.groupBy(*(key or KEY)).applyInPandasWithState(update, OUT, "ns long, seq long", "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def run_available_now(spark: SparkSession, sf_dir: str, timeout_ns: int) -> DataFrame:
-    """The wire as a file stream, correlated until it is used up, into a Parquet sink with its own checkpoint."""
-    folder = f"{durable_folder(spark)}/stream-{uuid.uuid4().hex}"
-    packets = wire(spark, sf_dir)
-    packets.repartition(4).write.parquet(f"{folder}/in")
-    stream = spark.readStream.schema(packets.schema).option("maxFilesPerTrigger", 10_000).parquet(f"{folder}/in")
+def run_once(spark: SparkSession, folder: str, schema: StructType, timeout_ns: int) -> StreamingQuery:
+    """Correlates what has arrived in ``folder``/in since the last run, into ``folder``/out; the checkpoint carries on."""
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 10_000).parquet(f"{folder}/in")
     query = (
         correlated(stream, timeout_ns).writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint")
         .outputMode("append").trigger(availableNow=True).start()
     )
     query.awaitTermination()
+    return query
+
+
+def pending_left(query: StreamingQuery) -> int:
+    """Keys with a pending query after the last micro-batch."""
+    return sum(s["numRowsTotal"] for s in (query.lastProgress or {"stateOperators": []})["stateOperators"])
+
+
+def run_available_now(spark: SparkSession, sf_dir: str, timeout_ns: int, arrivals: int = 4) -> DataFrame:
+    """The wire as a file stream that arrives in ``arrivals`` stretches of time, each correlated by a query that starts
+    again from the checkpoint, and is drained at last."""
+    folder = f"{durable_folder(spark)}/stream-{uuid.uuid4().hex}"
+    packets = wire(spark, sf_dir).where("kind <> 'dhcp'")
+    first, last = packets.agg(F.min("observed_ns"), F.max("observed_ns")).first()
+    edges = [first - 1 + (last - first + 1) * k // arrivals for k in range(arrivals + 1)] if first is not None else []
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        packets.where((F.col("observed_ns") > a) & (F.col("observed_ns") <= b)).write.mode("append").parquet(f"{folder}/in")
+        run_once(spark, folder, packets.schema, timeout_ns)
+    tick(packets).write.mode("append").parquet(f"{folder}/in")
+    run_once(spark, folder, packets.schema, timeout_ns)
     return spark.read.schema(OUT).parquet(f"{folder}/out")
