@@ -87,6 +87,42 @@ def test_large_clusters(spark, monkeypatch):
     assert run(spark, rows) == brute(rows)
 
 
+@pytest.mark.parametrize("seed", [5, 6])
+def test_links_across_components_are_all_found(spark, monkeypatch, seed):
+    """Large clusters of which the blocks find nothing: all links come from the holders of prefix tokens."""
+    monkeypatch.setattr(j, "BLOCK", 7)
+    monkeypatch.setattr(j, "_linked", lambda rows: rows.sparkSession.createDataFrame([], "a long, b long"))
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(200)]
+    texts = []
+    for _ in range(6):  # chains and stars of near copies that share a passage
+        base = words[:30] + rng.choices(words, k=60)
+        for _ in range(15):
+            texts.append(" ".join(base))
+            base = list(base)
+            base[rng.randrange(30, 90)] = rng.choice(words)
+    rows = [(i, t) for i, t in enumerate(texts)]
+    got, want = run(spark, rows), brute(rows)
+    # clusters too small for blocks stay unlinked here; these have no set above the bound
+    assert got == want
+
+
+def test_a_cluster_without_a_main_component(spark, monkeypatch):
+    """Many small groups in one cluster: the pairs that meet are those of a token, not those of the cluster."""
+    monkeypatch.setattr(j, "BLOCK", 50)
+    met = []
+    real = j.durable
+    monkeypatch.setattr(j, "durable", lambda df, label: (lambda t: (met.append(t.count()) if label == "pairs" else None, t)[1])(real(df, label)))
+    rows = []
+    phrase = lambda g: [f"p{g}.{i}" for i in range(6)]
+    for g in range(150):  # groups of three near copies; two texts of neighbouring groups share a phrase, so all are one cluster
+        base = [f"g{g}.{i}" for i in range(60)]
+        for more in (phrase(g), phrase(g - 1), []):
+            rows.append((len(rows), " ".join([*base, *more])))
+    assert run(spark, rows) == brute(rows)
+    assert met and max(met) < 3 * len(rows)
+
+
 def test_linker_equals_brute_force(monkeypatch):
     monkeypatch.setattr(j, "CHUNK", 2)
     rows = corpus(4)
@@ -96,7 +132,7 @@ def test_linker_equals_brute_force(monkeypatch):
     for (doc, _), s in zip(rows, sets, strict=True):
         n = counts[np.searchsorted(tokens, s)]
         if len(s):
-            held.append((doc, len(s), s[n > 1].tobytes(), n[n > 1].astype("<u2").tobytes(), doc, True))
+            held.append((doc, len(s), s[n > 1].tobytes(), n[n > 1].astype("<u2").tobytes(), doc))
     root = {doc: doc for doc, _ in rows}
     for a, b in j.Linker(held).links():
         old, new = max(root[a], root[b]), min(root[a], root[b])
@@ -109,9 +145,9 @@ def test_cases(spark):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "same words"), (4, "same words"), (5, "SAME words"), (None, "same  words"), (None, "alone here"), (7, long), (6, long + " end"), (8, None)]
     assert run(spark, rows) == brute(rows)
     assert run(spark, [(None, None)][:0]) == []
-    docs = spark.createDataFrame([(*r, "k") for r in rows], "doc_id long, text string, n string")
+    docs = spark.createDataFrame([(*r, "k", "a", "b") for r in rows], "doc_id long, text string, n string, _kept string, _nth string")
     kept = sorted(j.keep_first(docs).collect(), key=str)
-    assert kept[0].__fields__ == ["doc_id", "text", "n"]
+    assert kept[0].__fields__ == ["doc_id", "text", "n", "_kept", "_nth"] and {(r._kept, r._nth) for r in kept} == {("a", "b")}
     assert sorted(r.doc_id for r in kept if r.doc_id is not None) == [1, 2, 3, 4, 6, 8]
     assert sum(r.doc_id is None for r in kept) == 2
 

@@ -27,8 +27,8 @@ def components(edges: DataFrame) -> DataFrame:
     """(a, b): each node of ``edges`` (a, b: long) that isn't the least of its component, with that least node.
 
     Each round is a few aggregations and joins over the edges, whose number never grows beyond nodes plus edges; the
-    number of rounds grows with the logarithm of the longest path. A star's hub is aggregated in parts, and its
-    partition in the join is one that Spark splits.
+    number of rounds grows with the logarithm of the longest path. A star's hub is aggregated in parts; in the joins with
+    what was aggregated its edges are one partition, which streams through one task.
     """
     now, before = durable(edges.where("a <> b").select("a", "b").distinct(), "edges"), None
     while True:

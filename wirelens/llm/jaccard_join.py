@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wirelens.llm.common import durable
+from wirelens.llm.common import durable, unused
 from wirelens.llm.components import components
 from wirelens.llm.shingles import fingerprint, mixed, shingle_sets
 
@@ -234,12 +234,11 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Linker:
     """Links among the sets of one task, found through their prefixes; sets that are connected already aren't compared."""
 
-    def __init__(self, rows: list[tuple[int, int, bytes, bytes, int, bool]]):
-        """rows: uid, n, tokens, counts, component so far, whether to look for all its partners (else for those that do)."""
+    def __init__(self, rows: list[tuple[int, int, bytes, bytes, int]]):
+        """rows: uid, n, tokens, counts, component so far."""
         rows = sorted(rows, key=lambda r: (r[1], r[0]))
         self.uid = [r[0] for r in rows]
         self.n = np.array([r[1] for r in rows], dtype=np.int64)
-        self.active = np.array([r[5] for r in rows], dtype=bool)
         tokens = [np.frombuffer(r[2], dtype="<u8") for r in rows]
         counts = [np.frombuffer(r[3], dtype="<u2") for r in rows]
         self.cut = np.concatenate([[0], np.cumsum([len(t) for t in tokens])])
@@ -272,7 +271,6 @@ class Linker:
         """uid pairs that, with the components so far, connect whatever links connect."""
         out = []
         index: list[dict[int, list[int]]] = [{} for _ in range(ORDERS)]
-        # a set looks for smaller ones before it, so passive ones must look for active ones too
         for x in range(len(self.uid)):
             n = int(self.n[x])
             own = self.token[self.cut[x] : self.cut[x + 1]]
@@ -288,8 +286,6 @@ class Linker:
                 if found is None:
                     found, shared = np.unique(near, return_counts=True)
                     fits = (DENOMINATOR * self.n[found] >= NUMERATOR * n) & (self.label[found] != self.label[x])
-                    if not self.active[x]:
-                        fits &= self.active[found]
                     found, shared = found[fits], shared[fits]
                     found = found[np.argsort(-shared, kind="stable")]
                 else:
@@ -334,27 +330,58 @@ def _link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _linked(rows: DataFrame) -> DataFrame:
-    """Links among rows (cluster, block, uid, n, tokens, counts, component, active) of a cluster and block."""
-    dealt = rows.select("cluster", "block", "uid", "n", "tokens", "counts", "component", "active").repartition("cluster", "block")
+    """Links among rows (cluster, block, uid, n, tokens, counts, component) of a cluster and block."""
+    dealt = rows.select("cluster", "block", "uid", "n", "tokens", "counts", "component").repartition("cluster", "block")
     return dealt.sortWithinPartitions("cluster", "block").mapInArrow(_link, "a long, b long")
 
 
-def _block_pairs(known: DataFrame) -> DataFrame:
-    """Rows of large clusters, dealt so that each set outside its cluster's main component meets every other set.
+def _orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shared tokens of sets as numbers, and their prefixes under the orders after the first."""
+    for batch in batches:
+        columns: list[list] = [[], [], [], [], []]
+        for uid, n, tokens, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            own, held = np.frombuffer(tokens, dtype="<u8"), np.frombuffer(counts, dtype="<u2")
+            reach, keys = max(0, prefix(n) - (n - len(own))), order_keys(own, held)
+            values = own.view(np.int64)
+            for column, value in zip(columns, (uid, n, values, *(values[k[:reach]] for k in keys[1:])), strict=True):
+                column.append(value)
+        kinds = [pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * ORDERS]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["uid", "n", "t", *[f"p{k}" for k in range(1, ORDERS)]])
+
+
+def _across(known: DataFrame, able: DataFrame) -> DataFrame:
+    """Links (a, b) between sets of large clusters that aren't connected yet, without bringing a cluster together.
 
-    Sets of the main component make home blocks, the others guest blocks, of about ``BLOCK`` sets each. A task gets one
-    guest block with one home block, or two guest blocks.
+    Under the first order the holders of a prefix token meet, but only across components: those outside the component
+    that most of the token's holders belong to meet the holders of other components. Pairs are numbers until they share
+    a prefix token under each of the other orders too; what is left is verified by its sets. Both sides of each join are
+    stored tables, so Spark splits a token that many hold.
     """
-    guests = known.groupBy("cluster").agg(F.ceil(F.count_if("outside") / BLOCK).alias("guests"), F.ceil(F.count_if(~F.col("outside")) / BLOCK).alias("homes"))
-    own = F.pmod(F.xxhash64("uid", F.lit(2)), F.when(F.col("outside"), F.col("guests")).otherwise(F.col("homes")))
-    rows = known.join(guests, "cluster").where("guests > 0").withColumn("own", own)
-    all_guests, all_homes = F.sequence(F.lit(0).cast("long"), F.col("guests") - 1), F.sequence(F.lit(0).cast("long"), F.greatest(F.col("homes"), F.lit(1)) - 1)
-    at_home = F.transform(all_guests, lambda g: F.concat_ws("x", F.lit("home"), F.col("own"), g))
-    abroad = F.concat(
-        F.transform(all_homes, lambda h: F.concat_ws("x", F.lit("home"), h, F.col("own"))),
-        F.transform(all_guests, lambda g: F.concat_ws("x", F.lit("guest"), F.least(g, F.col("own")), F.greatest(g, F.col("own")))),
-    )
-    return rows.withColumns({"block": F.explode(F.when(F.col("outside"), abroad).otherwise(at_home)), "active": F.col("outside")})
+    posts = able.join(known.select("uid", "component"), "uid")
+    sets = durable(posts.select("uid", "n", "tokens", "counts").mapInArrow(_orders, f"uid long, n long, t array<long>, {', '.join(f'p{k} array<long>' for k in range(1, ORDERS))}"), "orders")
+    posts = posts.select("uid", "n", "component", "own", F.posexplode("prefix").alias("pos", "token"))
+    posts = durable(posts.select("token", "uid", "n", "component", (F.col("pos") < F.col("own")).alias("own")), "posts")
+    parts = posts.groupBy("token", "component").agg(F.count(F.lit(1)).alias("held"))
+    main = parts.groupBy("token").agg(F.max_by("component", F.struct("held", "component")).alias("main"), F.count(F.lit(1)).alias("parts"))
+    main = durable(main.where("parts > 1").select("token", "main"), "main")
+    outside = posts.join(main, "token").where("component <> main").select("token", *[F.col(c).alias(f"o_{c}") for c in ("uid", "n", "component", "own")])
+    smaller = (F.col("o_n") < F.col("n")) | ((F.col("o_n") == F.col("n")) & (F.col("o_uid") < F.col("uid")))
+    fits = (DENOMINATOR * F.least("o_n", "n") >= NUMERATOR * F.greatest("o_n", "n")) & F.when(smaller, F.col("o_own")).otherwise(F.col("own"))
+    met = durable(outside, "outside").join(posts, "token").where((F.col("o_component") != F.col("component")) & fits)
+    pairs = durable(met.select(F.least("o_uid", "uid").alias("a"), F.greatest("o_uid", "uid").alias("b")).distinct(), "pairs")
+
+    def beside(rows: DataFrame, columns: list[str]) -> DataFrame:
+        for side in ("a", "b"):
+            rows = rows.join(sets.select(F.col("uid").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
+        return rows
+
+    filters = [f"p{k}" for k in range(1, ORDERS)]
+    shared = beside(pairs, filters)
+    for name in filters:
+        shared = shared.where(F.arrays_overlap(f"{name}_a", f"{name}_b"))
+    whole = beside(durable(shared.select("a", "b"), "candidates"), ["n", "t"])
+    both = F.size(F.array_intersect("t_a", "t_b"))
+    return whole.where((NUMERATOR + DENOMINATOR) * both >= NUMERATOR * (F.col("n_a") + F.col("n_b"))).select("a", "b")
 
 
 def shared_sets(docs: DataFrame) -> DataFrame:
@@ -377,8 +404,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
        candidate at all. 3. Texts that share prefix tokens form clusters; a task gets a cluster's sets once. There a
        candidate has to share a prefix token under each of several orders, and is then verified by its whole set. Sets
        that are connected already aren't compared, so copies are never expanded into pairs. 4. Clusters of more than
-       ``BLOCK`` sets are linked in blocks, dealt in two ways; then every set outside its cluster's largest component
-       goes to all blocks, so that no pair but those within that component is left out.
+       ``BLOCK`` sets are linked in blocks, dealt in two ways, which connects nearly all that links connect; then the
+       holders of each prefix token meet across components (:func:`_across`), so that no link is left out.
 
     Texts with the same set are one set from step 3 on. ``docs`` should be a stored table, whose tasks read the same rows
     again if they are lost. Cases: null texts and those without words have an empty set and
@@ -405,21 +432,16 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     def dealt(seed: int, frame: DataFrame) -> DataFrame:
         return frame.withColumn("block", F.pmod(F.xxhash64("uid", F.lit(seed)), blocks))
 
-    single = rows.withColumns({"component": F.col("uid"), "active": F.lit(True)})
-    links = durable(_linked(dealt(0, single)), "links")
+    links = durable(_linked(dealt(0, rows.withColumn("component", F.col("uid")))), "links")
     large = rows.where(F.col("size") > BLOCK)
     if large.limit(1).count():
-        for last in (False, True):
+
+        def known() -> DataFrame:
             done = components(links).withColumnsRenamed({"a": "uid", "b": "component"})
-            known = large.join(done, "uid", "left").withColumn("component", F.coalesce("component", "uid"))
-            if not last:
-                more = _linked(dealt(1, known).withColumn("active", F.lit(True)))
-            else:
-                by_size = known.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("own"))
-                most = by_size.groupBy("cluster").agg(F.max(F.struct("own", "component")).alias("m")).select("cluster", F.col("m.component").alias("main"))
-                known = known.join(most, "cluster").withColumn("outside", F.col("component") != F.col("main"))
-                more = _linked(_block_pairs(known))
-            links = durable(links.unionByName(more), "links")
+            return large.join(done, "uid", "left").withColumn("component", F.coalesce("component", "uid"))
+
+        links = durable(links.unionByName(_linked(dealt(1, known()))), "links")
+        links = durable(links.unionByName(_across(known(), able)), "links")
     joined = components(links).withColumnsRenamed({"a": "uid", "b": "root"})
     # a class is known by the first of its texts that kept its shared tokens
     named = able.select("fp", "uid").join(joined, "uid", "left").select("fp", F.coalesce("root", "uid").alias("root"))
@@ -431,15 +453,16 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """Of each component the document with the least doc_id, all columns kept.
+    """Of each component the document with the least doc_id, all columns, of any name, kept.
 
     Of rows with that doc_id one stays, the one whose text's hash is least. Rows with null doc_id stay.
     """
-    ids = jaccard_components(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    kept = docs.where("doc_id IS NOT NULL").join(ids, F.col("doc_id") == F.col("_kept")).drop("_kept")
+    kept, nth = unused(docs.columns, "kept", "nth")
+    ids = jaccard_components(docs).where("doc_id = component_id").select(F.col("doc_id").alias(kept)).distinct()
+    found = docs.where("doc_id IS NOT NULL").join(ids, F.col("doc_id") == F.col(kept)).drop(kept)
     one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    kept = kept.withColumn("_nth", F.row_number().over(one)).where("_nth = 1").drop("_nth")
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    found = found.withColumn(nth, F.row_number().over(one)).where(F.col(nth) == 1).drop(nth)
+    return found.unionByName(docs.where("doc_id IS NULL"))
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
