@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wirelens.sources.tables import stored
+
 HOUR_NS = 3600 * 1_000_000_000
 
 
@@ -18,11 +20,46 @@ def outcome_counts(tx: DataFrame) -> DataFrame:
     return tx.groupBy("leg", "outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
-def rtt_percentiles(tx: DataFrame) -> DataFrame:
-    """Exact percentiles of valid round trips by leg, in seconds."""
-    at = F.percentile("rtt_ns", F.array(F.lit(0.5), F.lit(0.9), F.lit(0.99)))
-    out = tx.where("rtt_valid = 1").groupBy("leg").agg(F.count(F.lit(1)).alias("n"), at.alias("p"))
-    return out.select("leg", "n", *[F.round(F.get("p", F.lit(i)) / 1e9, 6).alias(name) for i, name in enumerate(("p50", "p90", "p99"))])
+def rtt_percentiles(tx: DataFrame, width_ns: int = 1_000_000_000) -> DataFrame:
+    """Exact percentiles (interpolated) of valid round trips by leg, in seconds.
+
+    Round trips are counted in bins of ``width_ns``, whose number the timeout bounds; the bins' running counts tell which
+    of them hold the wanted ranks, and only their rows are ranked. So no task gets all round trips of a leg.
+    """
+    trips = stored(tx.where("rtt_valid = 1").select("leg", "rtt_ns", F.expr(f"rtt_ns div {width_ns}").alias("bin")), "trips")
+    upto = Window.partitionBy("leg").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    bins = trips.groupBy("leg", "bin").agg(F.count(F.lit(1)).alias("own")).withColumn("upto", F.sum("own").over(upto))
+    bins = bins.withColumns({"n": F.max("upto").over(Window.partitionBy("leg")), "first": F.col("upto") - F.col("own")})
+    names = {"p50": 0.5, "p90": 0.9, "p99": 0.99}
+    wanted = F.array(*[F.struct(F.lit(name).alias("name"), (F.lit(p) * (F.col("n") - 1)).alias("at")) for name, p in names.items()])
+    ends = F.explode(F.array(F.floor("w.at"), F.ceil("w.at"))).alias("rank")
+    ranks = bins.select("leg", "bin", "n", "first", "upto", F.explode(wanted).alias("w")).select("leg", "bin", "n", "first", "upto", "w.name", "w.at", ends)
+    ranks = stored(ranks.where("rank >= first AND rank < upto").distinct(), "ranks")
+    local = Window.partitionBy("leg", "bin").orderBy("rtt_ns")
+    held = trips.join(ranks.select("leg", "bin").distinct(), ["leg", "bin"], "left_semi").withColumn("nth", F.row_number().over(local) - 1)
+    found = held.join(ranks, ["leg", "bin"]).where("nth = rank - first")
+    low, high = F.min("rtt_ns"), F.max("rtt_ns")
+    value = low + (high - low) * F.max(F.col("at") - F.floor("at"))
+    each = found.groupBy("leg", "n", "name").agg(F.round(value / 1e9, 6).alias("value"))
+    return each.groupBy("leg", "n").agg(*[F.max(F.when(F.col("name") == name, F.col("value"))).alias(name) for name in names])
+
+
+def average_rtt(tx: DataFrame) -> DataFrame:
+    """Whole nanoseconds of an average valid round trip by leg, 0 where there is none."""
+    valid = F.when(F.col("rtt_valid") == 1, F.col("rtt_ns"))
+    sums = tx.groupBy("leg").agg(F.count(valid).alias("n"), F.coalesce(F.sum(valid), F.lit(0)).alias("total"))
+    return sums.select("leg", "n", F.coalesce(F.expr("total div nullif(n, 0)"), F.lit(0)).alias("average_ns"))
+
+
+def lag(entries: DataFrame, cursors: list[tuple[str, str, int]]) -> DataFrame:
+    """(group, streams, lag): of each consumer group the entries after its cursors, over all its streams.
+
+    ``cursors`` (group, stream, last sequence number read) is the caller's small configuration. Entries are counted once
+    by stream and cursor, not once for each group.
+    """
+    places = entries.sparkSession.createDataFrame(cursors, "`group` string, stream string, cursor long")
+    ahead = entries.join(F.broadcast(places), "stream").groupBy("group", "stream").agg(F.count_if(F.col("seq") > F.col("cursor")).alias("lag"))
+    return ahead.groupBy("group").agg(F.count(F.lit(1)).alias("streams"), F.sum("lag").alias("lag"))
 
 
 def error_rate(tx: DataFrame) -> DataFrame:

@@ -107,14 +107,20 @@ def dimensions(values: dict[str, Column]) -> Column:
     return F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull() & (e["value"] != "")))
 
 
-def metric_points(tx: DataFrame, dhcp: DataFrame, enabled: list[str] | None = None) -> DataFrame:
+#: Dimensions that can be turned off or on, and those that are on.
+OPTIONAL, USUAL = {"cf_server_ip", "cf_qtype", "cf_client_key"}, frozenset({"cf_server_ip", "cf_qtype"})
+
+
+def metric_points(tx: DataFrame, dhcp: DataFrame, enabled: list[str] | None = None, chosen: frozenset[str] | set[str] = USUAL) -> DataFrame:
     """(observed_ns, name, value, dims): counts of transactions and DHCP events, and round trips in seconds.
 
-    ``enabled`` lists the metrics to emit; none or an empty list means all.
+    ``enabled`` lists the metrics to emit; none or an empty list means all. ``chosen`` names the optional dimensions that
+    points have; the client's key has as many values as there are clients and is usually off.
     """
+    on = lambda dims: {k: v for k, v in dims.items() if k not in OPTIONAL or k in chosen}
     observed = F.col("outcome") == "OBSERVED"
     short = {"cf_role": F.col("leg"), "cf_service_role": F.col("service_role")}
-    full = short | {"cf_rcode": rcode_name(F.col("rcode")), "cf_qtype": rr_type_name(F.col("qtype")), "cf_server_ip": F.col("server_ip")}
+    full = on(short | {"cf_rcode": rcode_name(F.col("rcode")), "cf_qtype": rr_type_name(F.col("qtype")), "cf_server_ip": F.col("server_ip")})
 
     def point(name: str, value: Column, dims: dict[str, Column], when: Column) -> Column:
         return F.when(when, F.struct(F.lit(name).alias("name"), value.cast("double").alias("value"), dimensions(dims).alias("dims")))
@@ -126,8 +132,8 @@ def metric_points(tx: DataFrame, dhcp: DataFrame, enabled: list[str] | None = No
         point("dns.unmatched_total", F.lit(1), short, F.col("outcome") == "UNMATCHED"),
     )
     dns = tx.select("observed_ns", F.explode(F.array_compact(points)).alias("p")).select("observed_ns", "p.*")
-    dims = {"source_type": F.lit("dhcpv4"), "cf_message_type": named(F.col("message"), DHCPV4_MESSAGES), "cf_is_relayed": F.when(F.col("is_relayed") == 1, "true").otherwise("false")}
-    leases = dhcp.select("observed_ns", F.lit("dhcp.events_total").alias("name"), F.lit(1.0).alias("value"), dimensions(dims).alias("dims"))
+    dims = {"source_type": F.lit("dhcpv4"), "cf_client_key": F.col("mac"), "cf_message_type": named(F.col("message"), DHCPV4_MESSAGES), "cf_is_relayed": F.when(F.col("is_relayed") == 1, "true").otherwise("false")}
+    leases = dhcp.select("observed_ns", F.lit("dhcp.events_total").alias("name"), F.lit(1.0).alias("value"), dimensions(on(dims)).alias("dims"))
     both = dns.unionByName(leases)
     return both.where(F.col("name").isin(enabled)) if enabled else both
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,9 +43,13 @@ def _final(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.newest(twice, ["source_type", "observed_time", "event_id"], "version").drop("version")
 
 
-def _points(enabled: list[str] | None):
+#: Consumer groups and the last packets that they have read of each stream.
+CURSORS = [("rows", "events.dns", 400), ("rows", "events.dhcpv4", 900), ("metrics", "events.dns", 0), ("events", "events.dhcpv4", 1 << 40)]
+
+
+def _points(enabled: list[str] | None, chosen: frozenset[str] = project.USUAL):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        points = project.metric_points(tx(spark, sf_dir), _dhcp(spark, sf_dir), enabled)
+        points = project.metric_points(tx(spark, sf_dir), _dhcp(spark, sf_dir), enabled, chosen)
         dims = F.array_join(F.transform(F.map_entries("dims"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
         return points.select("observed_ns", "name", "value", dims.alias("dims"))
 
@@ -83,6 +88,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "wide_row_dedup_final": _final,
         "metric_points": _points(None),
         "metric_points_allowlist": _points(["dns.rtt_seconds", "dhcp.events_total"]),
+        "metric_points_dimensions": _points(None, frozenset({"cf_client_key"})),
+        "average_rtt_by_leg": lambda s, d: analytics.average_rtt(tx(s, d)),
+        "stream_lag": lambda s, d: analytics.lag(delivery.entries(w(s, d)), CURSORS),
         "rtt_percentiles_by_role": lambda s, d: analytics.rtt_percentiles(tx(s, d)),
         "dns_error_rate_by_tier": lambda s, d: analytics.error_rate(tx(s, d)),
         "unanswered_rate_hourly": lambda s, d: analytics.unanswered_rate(tx(s, d)),
@@ -160,6 +168,7 @@ _POINTS = f"""points AS (
   UNION ALL SELECT observed_ns, 'dns.unmatched_total', 1.0, {_SHORT} FROM t WHERE outcome = 'UNMATCHED'
   UNION ALL SELECT observed_ns, 'dhcp.events_total', 1.0, 'cf_is_relayed=' || CASE WHEN is_relayed = 1 THEN 'true' ELSE 'false' END ||
     ',cf_message_type=' || {_MESSAGE} || ',source_type=dhcpv4' FROM dhcp)"""
+_OTHER_POINTS = re.sub(r"'cf_qtype=' \|\| CASE.*? END \|\| ',cf_rcode=", "'cf_rcode=", _POINTS).replace("|| ',cf_server_ip=' || server_ip", "").replace("'cf_is_relayed=' ||", "'cf_client_key=' || mac || ',cf_is_relayed=' ||")
 _FORCED = "(outcome <> 'OBSERVED' OR coalesce(rcode, 0) <> 0 OR qtype NOT IN (1, 28))"
 
 
@@ -209,6 +218,10 @@ def oracle_sql() -> dict[str, str]:
         "wide_row_dedup_final": f"{t}, {_DHCP}, {wide} SELECT DISTINCT * REPLACE ('capture-02' AS source_host) FROM wide",
         "metric_points": f"{t}, {_DHCP}, {_POINTS} SELECT * FROM points",
         "metric_points_allowlist": f"{t}, {_DHCP}, {_POINTS} SELECT * FROM points WHERE name IN ('dns.rtt_seconds', 'dhcp.events_total')",
+        "metric_points_dimensions": f"{t}, {_DHCP}, {_OTHER_POINTS} SELECT * FROM points",
+        "average_rtt_by_leg": f"{t} SELECT leg, count(*) FILTER (WHERE rtt_valid = 1) AS n, coalesce((sum(rtt_ns) FILTER (WHERE rtt_valid = 1))::BIGINT // nullif(count(*) FILTER (WHERE rtt_valid = 1), 0), 0) AS average_ns FROM t GROUP BY 1",
+        "stream_lag": f"""{_W}, {_ENTRIES}, c AS (SELECT * FROM (VALUES {', '.join(map(str, CURSORS))}) AS v(g, stream, cursor)), l AS (SELECT g, stream, count(*) FILTER (WHERE seq > cursor) AS lag
+            FROM entries JOIN c USING (stream) GROUP BY ALL) SELECT g AS "group", count(*) AS streams, sum(lag)::BIGINT AS lag FROM l GROUP BY 1""",
         "rtt_percentiles_by_role": f"""{t} SELECT leg, count(*) AS n, round(quantile_cont(rtt_ns::DOUBLE, 0.5) / 1e9, 6) AS p50, round(quantile_cont(rtt_ns::DOUBLE, 0.9) / 1e9, 6) AS p90,
             round(quantile_cont(rtt_ns::DOUBLE, 0.99) / 1e9, 6) AS p99 FROM t WHERE rtt_valid = 1 GROUP BY leg""",
         "dns_error_rate_by_tier": f"""{t} SELECT service_role, count(*) AS n, count(*) FILTER (WHERE rcode <> 0) AS errors,

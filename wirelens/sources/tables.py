@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def durable_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, set here only where it is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Only a local master may leave it unset, as in
+    tests; on a cluster a folder of this machine would be one that executors don't see."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("wirelens.shared.dir", None)
     if not folder:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("wirelens.shared.dir", folder)
     return folder
