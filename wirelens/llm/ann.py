@@ -15,9 +15,9 @@ from wirelens.llm.common import durable
 
 NEAREST = 20
 #: The tree is fitted on at most so many vectors, those with the least hashes.
-SAMPLE = 20_000
+SAMPLE = 50_000
 #: Children of a node, and the most sampled vectors of a leaf.
-BRANCHES, LEAF = 16, 16
+BRANCHES, LEAF = 32, 8
 #: Recall to be reached on at most so many calibration queries, against all vectors.
 RECALL, CALIBRATION = 0.95, 200
 #: Vectors, and queries, that meet in one task.
@@ -99,20 +99,27 @@ class Tree:
         From a priority queue of open branches, always the one whose centre is nearest to the query goes on down to a
         leaf, its siblings joining the queue. Leaves without rows aren't counted.
         """
-        out, queue, tick, rows = [], [(0.0, 0, 0)], 0, 0
-        while queue and (len(out) < most or rows < least):
-            _, _, node = heapq.heappop(queue)
+        out: list[int] = []
+        queue: list[tuple] = []
+        rows = tick = node = 0
+        while len(out) < most or rows < least:
             while self.leaf[node] < 0:
                 far = self.squares[node] - 2 * (self.centres[node] @ q)
-                first = int(far.argmin())
-                for j, (d, child) in enumerate(zip(far.tolist(), self.children[node], strict=True)):
-                    if j != first:
-                        tick += 1
-                        heapq.heappush(queue, (d, tick, child))
-                node = self.children[node][first]
+                order = np.argsort(far, kind="stable")
+                if len(order) > 1:  # of the siblings the nearest stands for all
+                    tick += 1
+                    heapq.heappush(queue, (far[order[1]], tick, node, far, order, 1))
+                node = self.children[node][order[0]]
             if sizes[self.leaf[node]]:
                 out.append(self.leaf[node])
                 rows += sizes[self.leaf[node]]
+            if not queue:
+                break
+            _, _, parent, far, order, at = heapq.heappop(queue)
+            node = self.children[parent][order[at]]
+            if at + 1 < len(order):
+                tick += 1
+                heapq.heappush(queue, (far[order[at + 1]], tick, parent, far, order, at + 1))
         return out
 
 
