@@ -50,10 +50,11 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> tuple[Column, Column]
     return F.col(doc_id), F.xxhash64(F.col(text))
 
 
-def ranked(df: DataFrame, group: str, order: list[str | Column], rank: str, by: str | None = None, per_task: int = 4096) -> DataFrame:
+def ranked(df: DataFrame, group: str, order: list[str | Column], rank: str, by: str | None = None, per_task: int = 4096, step: int | None = None) -> DataFrame:
     """``rank``: 0, 1, 2, ... within each group, in the order of a hash of ``order`` and then of ``order``.
 
-    With ``by``, a column of whole numbers from 0, the order is that of ``by`` and then of ``order``.
+    With ``by``, a column of whole numbers from 0, the order is that of ``by`` and then of ``order``; ``step`` numbers make a
+    bucket, which is for numbers that few rows share but that aren't spread evenly.
 
     A group may hold any share of the rows. Its rows are dealt to buckets of about ``per_task`` rows, by hash or by ranges
     of ``by``, as many as the group's size asks for, ranked there, and shifted by the rows of the buckets before. At most
@@ -66,7 +67,7 @@ def ranked(df: DataFrame, group: str, order: list[str | Column], rank: str, by:
     if len(found) > MOST_GROUPS:
         raise ValueError(f"more than {MOST_GROUPS} groups")
     buckets = [(g, max(1, -(-n // per_task)), m or 0) for g, n, m in found]
-    buckets = [(g, n, max(1, -(-m // n))) for g, n, m in buckets]
+    buckets = [(g, n, step or max(1, -(-m // n))) for g, n, m in buckets]
     kind = df.schema[group].dataType.simpleString()
     facts = df.sparkSession.createDataFrame(buckets, f"`{group}` {kind}, {many} long, {width} long")
     # at most MOST_GROUPS rows of three values

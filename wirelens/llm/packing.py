@@ -11,6 +11,8 @@ from wirelens.llm.common import durable, ranked, same_keys, unused
 from wirelens.llm.tokens import pieces
 
 MOST_TOKENS = 1024
+#: Sequences that begin within so many numbers of an order are numbered in one task.
+NUMBERS = 256
 END_ID = 2
 #: Columns of a piece.
 PIECE = ["piece", "start", "length", "ids_crc32", "ids", "sequence_id", "offset"]
@@ -127,7 +129,7 @@ def pack(rows: DataFrame, length: str, order: list[str], capacity: int, by: str
     placed = durable(placed, "placed")
     begins = placed.groupBy("sequence_id").agg(F.min(F.struct(by, *order)).alias(first))
     begins = durable(begins.select("sequence_id", f"{first}.*", F.lit(0).alias(all_)), "sequences")
-    numbers = ranked(begins, all_, order, number, by=by).select("sequence_id", number)
+    numbers = ranked(begins, all_, order, number, by=by, step=NUMBERS).select("sequence_id", number)
     return placed.join(numbers, "sequence_id").select(*rows.columns, F.col(number).alias("sequence_id"), "offset")
 
 
