@@ -1,4 +1,5 @@
 import random
+import uuid
 
 from wirelens.operators import delivery, project
 from wirelens.plans.catalogue import _wide
@@ -50,3 +51,24 @@ def test_three_sinks_of_one_stream(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(observed_date" in day._jdf.queryExecution().toString()
     assert spark.read.text(f"{tmp_path}/json").count() == n
     assert spark.read.parquet(f"{tmp_path}/dead").count() == delivery.dead_letters(delivery.entries(wire(spark, SF))).count()
+
+
+def test_collector_sink_isolates_rejected_lines(spark, tmp_path):
+    lines = [f"line {i}" if i % 40 else f"bad {i}" for i in range(1, 201)]
+    spark.createDataFrame([(x,) for x in lines], "line string").repartition(3).write.parquet(f"{tmp_path}/in")
+    (tmp_path / "posted").mkdir()
+    folder = str(tmp_path)
+
+    def post(batch):
+        if any(x.startswith("bad") for x in batch):
+            return 400
+        with open(f"{folder}/posted/{uuid.uuid4().hex}", "w") as file:
+            file.write("\n".join(batch))
+        return 200
+
+    stream = spark.readStream.schema("line string").parquet(f"{tmp_path}/in")
+    sinks.collector_sink(stream, post, f"{tmp_path}/rejected", f"{tmp_path}/checkpoint").awaitTermination()
+    posted = [x for f in (tmp_path / "posted").iterdir() for x in f.read_text().split("\n")]
+    assert sorted(posted) == sorted(x for x in lines if not x.startswith("bad"))
+    rejected = spark.read.parquet(f"{tmp_path}/rejected").collect()
+    assert sorted(r.payload for r in rejected) == sorted(x for x in lines if x.startswith("bad")) and {r.reason for r in rejected} == {"hec_rejected"}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -41,6 +42,31 @@ def deliver(lines: list[str], post: Callable[[list[str]], int | None], sleep: Ca
             open_ += [batch[half:], batch[:half]]
 
 
+def delivered(lines: DataFrame, post: Callable[[list[str]], int | None], size: int = 500) -> DataFrame:
+    """Posts the column ``line``, ``size`` lines at a time in each task, and gives the lines that were rejected.
+
+    A task that is run again posts its lines again: delivery is at least once.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            held = frame["line"].tolist()
+            for k in range(0, len(held), size):
+                yield pd.DataFrame({"line": list(deliver(held[k : k + size], post))}, dtype="object")
+
+    return lines.select("line").mapInPandas(run, "line string")
+
+
+def collector_sink(lines: DataFrame, post: Callable[[list[str]], int | None], folder: str, checkpoint: str) -> StreamingQuery:
+    """A stream of lines to a collector. What it rejects is kept in ``folder``/batch=<n> before the batch counts as done."""
+
+    def write(batch: DataFrame, n: int) -> None:
+        kept = delivered(batch, post).select(F.lit("hec_rejected").alias("reason"), F.col("line").alias("payload"))
+        kept.write.mode("overwrite").parquet(f"{folder}/batch={n}")
+
+    return lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def write_wide(rows: DataFrame, path: str) -> None:
     """Rows by day, within a day in the order of the table's key, which gives files narrow ranges to prune by."""
     dated = rows.withColumn("observed_date", F.substring("observed_time", 1, 10))
