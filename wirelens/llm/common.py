@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from wirelens.sources.tables import durable_folder as shared_folder
 from wirelens.sources.tables import stored as durable
 
-__all__ = ["durable", "let", "lower_ascii", "ranked", "row_key", "same_keys", "shared_folder", "unused", "words"]
+__all__ = ["durable", "let", "lower_ascii", "ranked", "same_keys", "shared_folder", "unused", "words"]
 
-BLANKS = "[\\x20\\x09-\\x0D]"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Groups whose sizes the driver holds to rank their rows.
 MOST_GROUPS = 1 << 16
@@ -45,11 +44,6 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def row_key(doc_id: str = "doc_id", text: str = "text") -> tuple[Column, Column]:
-    """Two columns that name a row by content: rows that agree in both are the same document."""
-    return F.col(doc_id), F.xxhash64(F.col(text))
-
-
 def ranked(df: DataFrame, group: str, order: list[str | Column], rank: str, by: str | None = None, per_task: int = 4096, step: int | None = None) -> DataFrame:
     """``rank``: 0, 1, 2, ... within each group, in the order of a hash of ``order`` and then of ``order``.
 
