@@ -27,7 +27,6 @@ DHCPV6_MESSAGES = {
     10: "RECONFIGURE", 11: "INFORMATION_REQUEST", 12: "RELAY_FORW", 13: "RELAY_REPL", 14: "LEASEQUERY",
     15: "LEASEQUERY_REPLY", 16: "LEASEQUERY_DONE", 17: "LEASEQUERY_DATA",
 }
-LEGS = {0: "unspecified", 1: "client_facing", 2: "backend", 3: "recursion_upstream", 4: "unknown"}
 
 
 def named(number: Column, table: dict[int, str]) -> Column:
