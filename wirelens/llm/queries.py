@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wirelens.llm import ann, jaccard_join, language_id, line_dedup, mixing, packing, preference, quality, sharding, url_filter
+from wirelens.llm import ann, jaccard_join, language_id, line_dedup, mixing, packing, preference, quality, sharding, token_counts, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sharding": sharding.op8_sharding,
         "op9_pfair_mixing": mixing.op9_pfair_mixing,
         "op10_nearest_neighbours": ann.op10_nearest_neighbours,
+        "op11_token_counts": token_counts.op11_token_counts,
     }
 
 

@@ -33,7 +33,7 @@ def _splitter() -> re.Pattern:
     )
 
 
-def _byte_of() -> dict[str, int]:
+def byte_of() -> dict[str, int]:
     """The byte that each character of a byte-level vocabulary stands for."""
     plain = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     others = [b for b in range(256) if b not in set(plain)]
@@ -68,8 +68,8 @@ class Encoder:
         self.whole = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             said = json.load(file)
-        added, byte_of = {t["content"] for t in said.get("added_tokens", [])}, _byte_of()
-        ranks = {bytes(byte_of[c] for c in token): i for token, i in said["model"]["vocab"].items() if token not in added}
+        added, bytes_ = {t["content"] for t in said.get("added_tokens", [])}, byte_of()
+        ranks = {bytes(bytes_[c] for c in token): i for token, i in said["model"]["vocab"].items() if token not in added}
         merged = tiktoken.Encoding("words", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={})
         self.words = _Words(merged.encode_ordinary)
         self.split = _splitter().findall
