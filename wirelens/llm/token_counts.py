@@ -24,8 +24,8 @@ MOST_TOKENS = 512
 SLICE_CHARS, BLOCK_BYTES = 2_000_000, 500_000
 #: Characters of a chunk of the splitter, and at its end those that usually tell its last state.
 CHUNK, TAIL = 256, 16
-#: Longer words are read one byte after another.
-LONG_WORD = 512
+#: Longer words are read one byte after another, with a look at the number of transitions every so many bytes.
+LONG_WORD, LOOK = 512, 65536
 #: Transitions that a worker remembers; beyond, it forgets all between two blocks and compiles anew what it meets.
 MOST_TRANSITIONS = 1 << 19
 
@@ -198,7 +198,7 @@ class Merger:
         for at, byte in enumerate(word):
             found = self.step(state << 8 | byte)
             state, count = found >> 8, count + (found & 255) - 128
-            if at % 65536 == 65535 and len(self.path) > MOST_TRANSITIONS:
+            if at % LOOK == 0 and len(self.path) > MOST_TRANSITIONS:
                 facts = self.facts[state]
                 self.forget()
                 state = self.states.setdefault(facts, len(self.facts))
