@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wirelens.llm import ann, jaccard_join, language_id, line_dedup, mixing, packing, preference, quality, sharding, spelling, token_counts, url_filter
+from wirelens.llm import ann, jaccard_join, language_id, line_dedup, mixing, packing, preference, quality, repair, sharding, spelling, token_counts, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,8 +23,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_nearest_neighbours": ann.op10_nearest_neighbours,
         "op11_token_counts": token_counts.op11_token_counts,
         "op12_spelling_variants": spelling.op12_spelling_variants,
+        "op13_conversation_repair": repair.op13_conversation_repair,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": line_dedup.OP2_SQL, "op3_chat_preference": preference.OP3_SQL, "op12_spelling_variants": spelling.OP12_SQL}
+    return {
+        "op2_line_dedup": line_dedup.OP2_SQL,
+        "op3_chat_preference": preference.OP3_SQL,
+        "op12_spelling_variants": spelling.OP12_SQL,
+        "op13_conversation_repair": repair.OP13_SQL,
+    }
