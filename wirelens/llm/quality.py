@@ -273,7 +273,7 @@ def shrunken(found: DataFrame) -> DataFrame:
 
 
 def judged(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, counts, base_failed, kept, distance) of each row of ``docs``; the texts are left out.
+    """(doc_id, lang, source, text_hash, counts, base_failed, kept, distance) of each row of ``docs``; the texts are left out.
 
     A document is kept if it passes the base limits and its squared Mahalanobis distance, under the estimate of its
     language and source, is within the cutoff. The estimates rest on all documents that pass the base limits.
@@ -282,7 +282,7 @@ def judged(docs: DataFrame) -> DataFrame:
     the base limits in a group where all do has no distance. Repeated rows count and are judged each. Only doc_id, text,
     lang and source are read, so other columns may have any name. An empty table gives no rows.
     """
-    narrow = docs.select("doc_id", "text", F.coalesce("lang", F.lit("\x00")).alias("g_lang"), F.coalesce("source", F.lit("\x00")).alias("g_source"))
+    narrow = docs.select("doc_id", "text", "lang", "source", F.coalesce("lang", F.lit("\x00")).alias("g_lang"), F.coalesce("source", F.lit("\x00")).alias("g_source"))
     counted = with_statistics(narrow.withColumn("text_hash", F.xxhash64("text"))).drop("text")
     stored = durable(counted.withColumns(transformed()).withColumn("pick", F.xxhash64("doc_id", "text_hash")), "statistics")
     found = durable(estimates(stored.where(~F.col("base_failed"))), "estimates")
@@ -290,18 +290,19 @@ def judged(docs: DataFrame) -> DataFrame:
     few = chosen.limit(SENT + 1).count() <= SENT
     out = attached(stored, chosen, ["g_lang", "g_source"], few, "left").withColumn("distance", _distance() / consistency())
     kept = ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cutoff())
-    return out.select("doc_id", "text_hash", *STATISTICS, "base_failed", kept.alias("kept"), "distance")
+    return out.select("doc_id", "lang", "source", "text_hash", *STATISTICS, "base_failed", kept.alias("kept"), "distance")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that :func:`judged` keeps, with all their columns, of any name.
 
-    Cases: those of :func:`judged`; of rows that agree in doc_id and text but not in language or source, one rejected row
-    rejects all. No rows give no rows.
+    Cases: those of :func:`judged`; each row is judged by itself, by its own text, language and source. No rows give no rows.
     """
-    gone_id, gone_hash = unused(docs.columns, "id", "hash")
-    gone = judged(docs).where(~F.col("kept")).select(F.col("doc_id").alias(gone_id), F.col("text_hash").alias(gone_hash)).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col(gone_id)) & F.xxhash64("text").eqNullSafe(F.col(gone_hash)), "left_anti")
+    facts = ["doc_id", "lang", "source", "text_hash"]
+    named = dict(zip(facts, unused(docs.columns, "id", "lang", "source", "hash"), strict=True))
+    gone = judged(docs).where(~F.col("kept")).select(*facts).distinct().withColumnsRenamed(named)
+    same = [(F.xxhash64("text") if c == "text_hash" else F.col(c)).eqNullSafe(F.col(n)) for c, n in named.items()]
+    return docs.join(gone, same, "left_anti")
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
