@@ -1,4 +1,3 @@
-import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -82,13 +81,34 @@ def test_run(spark, stages):
     assert sorted((r.doc_id, r.start, r.length) for r in out.collect()) == sorted((r.doc_id, r.start, r.length) for r in stages[-1].collect())
 
 
+def test_repeated_and_missing_ids(spark, tmp_path):
+    """Rows are judged, kept and packed each by itself, whatever their ids; other columns of any name pass unchanged."""
+    prose = lambda k: " ".join(f"word{(k * 7919 + i * i) % 4001}" for i in range(90))
+    junk = "buy now " * 60
+    rows = [(k // 2, prose(k), "en", "web", 1, "n") for k in range(40)]  # two unlike texts for each id
+    rows += [(None, prose(100 + k), "en", "web", 1, "n") for k in range(3)] + [(None, prose(100), "en", "web", 1, "n")]
+    rows += [(7, junk, "en", "web", 1, "n"), (7, None, None, None, None, "n"), (None, "", "en", "web", 0, "n"), (50, prose(0), "en", "web", 1, "n")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _hash string"
+    now = spark.createDataFrame(rows, schema)
+    for k, (name, stage) in enumerate(p.STAGES[:-1]):
+        stage(spark, now, "").write.parquet(f"{tmp_path}/{k}")
+        now = spark.read.parquet(f"{tmp_path}/{k}")
+        assert now.columns == ["doc_id", "text", "lang", "source", "n_chars", "_hash"], name
+    kept = sorted(((r.doc_id, r.text) for r in now.collect()), key=str)
+    assert kept == sorted([r[:2] for r in rows[:43]], key=str)  # all but junk, blank rows and what repeats a text
+    packed = p.pack_sequences(spark, now, "").collect()
+    assert sorted((str(r.doc_id) for r in packed if r.piece == 0), key=str) == sorted((str(r[0]) for r in rows[:43]), key=str)
+
+
 def test_empty_and_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, None, None, None), (None, "a b", "x", None, 3), (2, "", None, "s", 0), (2, "", None, "s", 0)], "doc_id long, text string, lang string, source string, n_chars long")
-    for rows in (docs, docs.where("false")):
+    for rows, left in ((docs, [None, 1, 2, 2]), (docs.where("false"), [])):
         now = rows
-        for name, stage in p.STAGES[1:]:
+        for _, stage in p.STAGES[1:]:
             now = stage(spark, now, "")
-        assert np.all([n is not None for n in [r.sequence_id for r in now.collect()]])
+        packed = now.collect()
+        assert sorted((r.doc_id for r in packed), key=str) == sorted(left, key=str) and all(r.sequence_id is not None for r in packed)
+        assert sum(r.length for r in packed) == (6 if left else 0)
         assert p.STAGES[0][1](spark, rows, "").count() == 0
 
 

@@ -23,17 +23,23 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node has one edge down at most, and nodes that have one are nobody's lower end."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+    seen = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return not seen.where("down > 1 OR (down = 1 AND up = 1)").limit(1).count()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(a, b): each node of ``edges`` (a, b: long) that isn't the least of its component, with that least node.
 
     Each round is a few aggregations and joins over the edges, whose number never grows beyond nodes plus edges; the
-    number of rounds grows with the logarithm of the longest path. A star's hub is aggregated in parts; in the joins with
-    what was aggregated its edges are one partition, which streams through one task.
+    number of rounds grows with the logarithm of the longest path. Edges that are the stars of an earlier call beside a few
+    new ones take hardly any. A star's hub is aggregated in parts; in the joins with what was aggregated its edges are
+    one partition, which streams through one task unless Spark splits it.
     """
-    now, before = durable(edges.where("a <> b").select("a", "b").distinct(), "edges"), None
-    while True:
-        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before:
-            return now
-        before = state
+    ordered = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    now = durable(ordered.distinct(), "edges")
+    while not _stars(now):
         now = durable(_small_star(_large_star(now)), "edges")
+    return now

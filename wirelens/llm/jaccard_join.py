@@ -10,10 +10,10 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wirelens.llm.common import durable, unused
+from wirelens.llm.common import TRIMMED, durable, unused
 from wirelens.llm.components import components
 from wirelens.llm.shingles import fingerprint, mixed, shingle_sets
 
@@ -42,15 +42,16 @@ def own_prefix(n: int) -> int:
 
 
 def order_keys(tokens: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
-    """Ranks of a set's shared tokens under each order: rare tokens first, ties by a different hash in each.
+    """Ranks of a set's shared tokens under each order, ties by a different hash in each.
 
-    The last order sees the counts' powers of two only, so that it deals common tokens out most differently. Tokens of
-    one set alone come first in all of them.
+    Rare tokens first, common tokens first, and by a hash of the number of holders. Tokens of one passage have about the same
+    number of holders, so each order puts another of a text's passages first: texts that have one passage in common share
+    a prefix under one order, hardly ever under all. Tokens of one set alone come first in all of them.
     """
-    coarse = np.log2(counts.astype(np.float64)).astype(np.int64)
-    rarity = [counts, counts, coarse]
+    wide = counts.astype(np.int64)
     with np.errstate(over="ignore"):
-        return [np.lexsort((mixed(tokens + np.uint64(k + 1)), rarity[k])) for k in range(ORDERS)]
+        classes = [wide, -wide, mixed(counts.astype(np.uint64) + np.uint64(ORDERS + 1))]
+        return [np.lexsort((mixed(tokens + np.uint64(k + 1)), classes[k])) for k in range(ORDERS)]
 
 
 def part_of(slices: np.ndarray, parts: int) -> np.ndarray:
@@ -70,8 +71,8 @@ def _unpacked(data: bytes, dtype: str) -> np.ndarray:
     return np.frombuffer(_decompressor.decompress(data), dtype=dtype)
 
 
-DEALT = pa.schema([("range", pa.int32()), ("slice", pa.int64()), ("tokens", pa.binary()), ("tops", pa.binary()), ("owners", pa.binary()), ("owner_tops", pa.binary()), ("doc_id", pa.list_(pa.int64())), ("n", pa.list_(pa.int64())), ("fp", pa.list_(pa.binary()))])
-DEALT_SQL = "range int, slice long, tokens binary, tops binary, owners binary, owner_tops binary, doc_id array<long>, n array<long>, fp array<binary>"
+DEALT = pa.schema([("range", pa.int32()), ("slice", pa.int64()), ("tokens", pa.binary()), ("tops", pa.binary()), ("owners", pa.binary()), ("owner_tops", pa.binary()), ("doc_id", pa.list_(pa.int64())), ("text", pa.list_(pa.int64())), ("n", pa.list_(pa.int64())), ("fp", pa.list_(pa.binary()))])
+DEALT_SQL = "range int, slice long, tokens binary, tops binary, owners binary, owner_tops binary, doc_id array<long>, text array<long>, n array<long>, fp array<binary>"
 
 
 def _deal(ranges: int):
@@ -88,7 +89,7 @@ def _deal(ranges: int):
         slice_ = TaskContext.get().partitionId() << 24
         sent: set[bytes] = set()
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
+            ids, texts, hashes = batch.column(0), batch.column(1), batch.column(2)
             at = 0
             while at < batch.num_rows:
                 held, chars, first = [], 0, at
@@ -105,7 +106,7 @@ def _deal(ranges: int):
                         new.append(k)
                 if len(sent) > 200_000:  # forgetting only sends some sets again
                     sent.clear()
-                out: list[list] = [[-1 - int(part_of(slice_, ranges))], [slice_], [None], [None], [None], [None], [ids.slice(first, at - first).to_pylist()], [[len(s) for s in sets]], [names]]
+                out: list[list] = [[-1 - int(part_of(slice_, ranges))], [slice_], [None], [None], [None], [None], [ids.slice(first, at - first).to_pylist()], [hashes.slice(first, at - first).to_pylist()], [[len(s) for s in sets]], [names]]
                 if new:
                     tokens = np.concatenate([sets[k] for k in new])
                     owners = np.repeat(np.array(new, dtype=np.uint16), [len(sets[k]) for k in new])
@@ -116,7 +117,7 @@ def _deal(ranges: int):
                     owner = owners.astype("<u2").view(np.uint8).reshape(-1, 2)
                     for r in np.flatnonzero(np.diff(cut)):
                         a, b = cut[r], cut[r + 1]
-                        values = (int(r), slice_, low[a:b, :6].tobytes(), _packed(low[a:b, 6]), owner[a:b, 0].tobytes(), _packed(owner[a:b, 1]), None, None, None)
+                        values = (int(r), slice_, low[a:b, :6].tobytes(), _packed(low[a:b, 6]), owner[a:b, 0].tobytes(), _packed(owner[a:b, 1]), None, None, None, None)
                         for column, value in zip(out, values, strict=True):
                             column.append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, DEALT.types, strict=True)], names=DEALT.names)
@@ -125,8 +126,8 @@ def _deal(ranges: int):
     return deal
 
 
-SHARED = pa.schema([("part", pa.int64()), ("owner", pa.binary()), ("tokens", pa.binary()), ("counts", pa.binary()), ("doc_id", pa.list_(pa.int64())), ("n", pa.list_(pa.int64())), ("fp", pa.list_(pa.binary()))])
-SHARED_SQL = "part long, owner binary, tokens binary, counts binary, doc_id array<long>, n array<long>, fp array<binary>"
+SHARED = pa.schema([("part", pa.int64()), ("owner", pa.binary()), ("tokens", pa.binary()), ("counts", pa.binary()), ("doc_id", pa.list_(pa.int64())), ("text", pa.list_(pa.int64())), ("n", pa.list_(pa.int64())), ("fp", pa.list_(pa.binary()))])
+SHARED_SQL = "part long, owner binary, tokens binary, counts binary, doc_id array<long>, text array<long>, n array<long>, fp array<binary>"
 
 
 def _count(ranges: int, parts: int):
@@ -154,7 +155,7 @@ def _count(ranges: int, parts: int):
         edge = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
         columns: list[list] = [[] for _ in SHARED]
         for a, b in zip(edge[:-1], edge[1:], strict=True):
-            values = (int(part[a]), _packed(np.diff(owners[a:b], prepend=0)), tokens[a:b].tobytes(), _packed(count[a:b]), None, None, None)
+            values = (int(part[a]), _packed(np.diff(owners[a:b], prepend=0)), tokens[a:b].tobytes(), _packed(count[a:b]), None, None, None, None)
             for column, value in zip(columns, values, strict=True):
                 column.append(value)
         if columns[0]:
@@ -169,7 +170,7 @@ def _count(ranges: int, parts: int):
                 if r < 0:
                     slice_ = columns[1][k].as_py()
                     # the slice stands where other rows have the owners of shared tokens
-                    values = ([int(part_of(slice_, parts))], [slice_.to_bytes(8, "little")], [None], [None], *([columns[c][k].as_py()] for c in (6, 7, 8)))
+                    values = ([int(part_of(slice_, parts))], [slice_.to_bytes(8, "little")], [None], [None], *([columns[c][k].as_py()] for c in (6, 7, 8, 9)))
                     yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, SHARED.types, strict=True)], names=SHARED.names)
                     continue
                 if r != number and held:
@@ -183,8 +184,8 @@ def _count(ranges: int, parts: int):
     return count
 
 
-SETS = pa.schema([("uid", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("fp", pa.binary()), ("tokens", pa.binary()), ("counts", pa.binary()), ("prefix", pa.list_(pa.int64())), ("own", pa.int32())])
-SETS_SQL = "uid long, doc_id long, n long, fp binary, tokens binary, counts binary, prefix array<long>, own int"
+SETS = pa.schema([("uid", pa.int64()), ("doc_id", pa.int64()), ("text", pa.int64()), ("n", pa.int64()), ("fp", pa.binary()), ("tokens", pa.binary()), ("counts", pa.binary()), ("prefix", pa.list_(pa.int64())), ("own", pa.int32())])
+SETS_SQL = "uid long, doc_id long, text long, n long, fp binary, tokens binary, counts binary, prefix array<long>, own int"
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,24 +200,24 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.concatenate([_unpacked(r[2], "<u2") for r in rows] or [np.zeros(0, np.uint16)])
         order = np.lexsort((tokens, owners))
         owners, tokens, counts = owners[order], tokens[order], counts[order]
-        for slice_, (ids, sizes, names) in sorted(slices.items()):
+        for slice_, (ids, hashes, sizes, names) in sorted(slices.items()):
             columns: list[list] = [[] for _ in SETS]
             uids = (slice_ << 16) + np.arange(len(ids))
             begin, end = np.searchsorted(owners, uids), np.searchsorted(owners, uids, "right")
-            for uid, doc, n, name, a, b in zip(uids.tolist(), ids, sizes, names, begin, end, strict=True):
+            for uid, doc, hash_, n, name, a, b in zip(uids.tolist(), ids, hashes, sizes, names, begin, end, strict=True):
                 alone = n - int(b - a)
                 reach = prefix(n) - alone
-                row = [uid, doc, n, name, None, None, None, None]
+                row = [uid, doc, hash_, n, name, None, None, None, None]
                 if n and reach > 0 and b > a:
                     first = order_keys(tokens[a:b], counts[a:b])[0][:reach]
-                    row[4:] = [tokens[a:b].tobytes(), counts[a:b].tobytes(), tokens[a:b][first].view(np.int64).tolist(), max(0, own_prefix(n) - alone)]
+                    row[5:] = [tokens[a:b].tobytes(), counts[a:b].tobytes(), tokens[a:b][first].view(np.int64).tolist(), max(0, own_prefix(n) - alone)]
                 for column, value in zip(columns, row, strict=True):
                     column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, SETS.types, strict=True)], names=SETS.names)
 
     part, slices, rows = None, {}, []
     for batch in batches:
-        columns = [batch.column(k) for k in range(7)]
+        columns = [batch.column(k) for k in range(len(SHARED))]
         for k in range(batch.num_rows):
             own = columns[0][k].as_py()
             if own != part and part is not None:
@@ -224,7 +225,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 slices, rows = {}, []
             part = own
             if columns[4][k].is_valid:
-                slices[int.from_bytes(columns[1][k].as_py(), "little")] = tuple(columns[c][k].as_py() for c in (4, 5, 6))
+                slices[int.from_bytes(columns[1][k].as_py(), "little")] = tuple(columns[c][k].as_py() for c in (4, 5, 6, 7))
             else:
                 rows.append(tuple(columns[c][k].as_py() for c in (1, 2, 3)))
     if part is not None:
@@ -244,7 +245,12 @@ class Linker:
         self.cut = np.concatenate([[0], np.cumsum([len(t) for t in tokens])])
         self.ranks = [order_keys(t, c) for t, c in zip(tokens, counts, strict=True)]
         known, self.token = np.unique(np.concatenate(tokens), return_inverse=True)
+        self.reach = [(max(0, prefix(n) - (n - len(t))), max(0, own_prefix(n) - (n - len(t)))) for n, t in zip(self.n.tolist(), tokens, strict=True)]
+        # of each order after the first, the tokens of each set's own prefix, one set after another
+        self.starts = np.concatenate([[0], np.cumsum([mine for _, mine in self.reach])])
+        self.fronts = [np.concatenate([self.token[self.cut[i] : self.cut[i + 1]][r[k][: self.reach[i][1]]] for i, r in enumerate(self.ranks)]) for k in range(1, ORDERS)]
         self.mark = np.zeros(len(known), dtype=bool)
+        self.verified = 0  # candidates left by the filters
         roots: dict[int, int] = {}
         self.label = np.array([roots.setdefault(r[4], i) for i, r in enumerate(rows)], dtype=np.int64)
         self.members = {int(k): [] for k in set(self.label.tolist())}
@@ -257,43 +263,37 @@ class Linker:
         self.label[moved] = keep
         self.members[keep] += moved
 
-    def common(self, x: int, others: np.ndarray) -> np.ndarray:
-        """Sizes of the intersections of x with the others."""
-        own = self.token[self.cut[x] : self.cut[x + 1]]
+    def _marked(self, own: np.ndarray, values: np.ndarray, cut: np.ndarray, others: np.ndarray) -> np.ndarray:
+        """How many of the tokens ``own`` are among the ``values`` of each of the others, none of which is empty."""
         self.mark[own] = True
-        lengths = self.cut[others + 1] - self.cut[others]
-        at = np.repeat(self.cut[others] - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())
-        sizes = np.add.reduceat(self.mark[self.token[at]].astype(np.int64), np.concatenate([[0], np.cumsum(lengths)[:-1]]))
+        lengths = cut[others + 1] - cut[others]
+        first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+        at = np.repeat(cut[others] - first, lengths) + np.arange(lengths.sum())
+        sizes = np.add.reduceat(self.mark[values[at]].astype(np.int64), first)
         self.mark[own] = False
         return sizes
 
+    def common(self, x: int, others: np.ndarray) -> np.ndarray:
+        """Sizes of the intersections of x with the others."""
+        return self._marked(self.token[self.cut[x] : self.cut[x + 1]], self.token, self.cut, others)
+
     def links(self) -> list[tuple[int, int]]:
         """uid pairs that, with the components so far, connect whatever links connect."""
         out = []
-        index: list[dict[int, list[int]]] = [{} for _ in range(ORDERS)]
+        index: dict[int, list[int]] = {}
         for x in range(len(self.uid)):
             n = int(self.n[x])
             own = self.token[self.cut[x] : self.cut[x + 1]]
-            alone = n - len(own)
-            reach, mine = max(0, prefix(n) - alone), max(0, own_prefix(n) - alone)
-            found = None
-            for k in range(ORDERS):
-                lists = [index[k][t] for t in own[self.ranks[x][k][:reach]].tolist() if t in index[k]]
-                near = np.array([y for ys in lists for y in ys], dtype=np.int64)
-                if not len(near):
-                    found = near
-                    break
-                if found is None:
-                    found, shared = np.unique(near, return_counts=True)
-                    fits = (DENOMINATOR * self.n[found] >= NUMERATOR * n) & (self.label[found] != self.label[x])
-                    found, shared = found[fits], shared[fits]
-                    found = found[np.argsort(-shared, kind="stable")]
-                else:
-                    flag = np.zeros(len(self.uid), dtype=bool)
-                    flag[near] = True
-                    found = found[flag[found]]
-                if not len(found):
-                    break
+            reach, mine = self.reach[x]
+            met = [index[t] for t in own[self.ranks[x][0][:reach]].tolist() if t in index]
+            found, shared = np.unique(np.array([y for ys in met for y in ys], dtype=np.int64), return_counts=True)
+            fits = (DENOMINATOR * self.n[found] >= NUMERATOR * n) & (self.label[found] != self.label[x])
+            found, shared = found[fits], shared[fits]
+            found = found[np.argsort(-shared, kind="stable")]
+            for k in range(1, ORDERS):
+                if len(found):
+                    found = found[self._marked(own[self.ranks[x][k][:reach]], self.fronts[k - 1], self.starts, found) > 0]
+            self.verified += len(found)
             while len(found):
                 some, found = found[:CHUNK], found[CHUNK:]
                 both = self.common(x, some)
@@ -303,9 +303,8 @@ class Linker:
                         out.append((self.uid[y], self.uid[x]))
                         self.join(x, y)
                 found = found[self.label[found] != self.label[x]]
-            for k in range(ORDERS):
-                for t in own[self.ranks[x][k][:mine]].tolist():
-                    index[k].setdefault(t, []).append(x)
+            for t in own[self.ranks[x][0][:mine]].tolist():
+                index.setdefault(t, []).append(x)
         return out
 
 
@@ -385,38 +384,24 @@ def _across(known: DataFrame, able: DataFrame) -> DataFrame:
 
 
 def shared_sets(docs: DataFrame) -> DataFrame:
-    """A stored row for each document: uid, doc_id, n (size of its set), fp (its set's name) and, if it may have a
-    partner, its shared tokens and its prefix."""
+    """A stored row for each document: uid, doc_id, text (its hash), n (size of its set), fp (its set's name) and, if it may
+    have a partner, its shared tokens and its prefix."""
     chars = docs.agg(F.sum(F.char_length("text"))).first()[0] or 0
     ranges = max(LEAST_RANGES, 1 << math.ceil(math.log2(max(1, chars / CHARS_PER_TOKEN / RANGE_TOKENS))))
-    dealt = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_deal(ranges), DEALT_SQL)
+    dealt = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("hash")).mapInArrow(_deal(ranges), DEALT_SQL)
     counted = dealt.repartition("range").sortWithinPartitions("range").mapInArrow(_count(ranges, ranges), SHARED_SQL)
     sets = counted.repartition("part").sortWithinPartitions("part").mapInArrow(_gather, SETS_SQL)
     return durable(sets, "sets")
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of each document; ``component_id`` is the least doc_id that links reach.
-
-    1. Every distinct 5-word shingle is hashed and dealt by its hash; the ranges count each one's holders, and only
-       shingles that several texts hold go back to these texts. 2. Under an order that puts rare shingles first, two
-       linked sets share a token of their prefixes (of which those of one text alone are a part), so most texts have no
-       candidate at all. 3. Texts that share prefix tokens form clusters; a task gets a cluster's sets once. There a
-       candidate has to share a prefix token under each of several orders, and is then verified by its whole set. Sets
-       that are connected already aren't compared, so copies are never expanded into pairs. 4. Clusters of more than
-       ``BLOCK`` sets are linked in blocks, dealt in two ways, which connects nearly all that links connect; then the
-       holders of each prefix token meet across components (:func:`_across`), so that no link is left out.
-
-    Texts with the same set are one set from step 3 on. ``docs`` should be a stored table, whose tasks read the same rows
-    again if they are lost. Cases: null texts and those without words have an empty set and
-    link with nothing. Repeated rows and rows with one doc_id are documents of their own, which link if their sets do.
-    A component of rows with null doc_id only has a null id. Other columns aren't read. No rows give no rows.
-    """
+def _grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of :func:`shared_sets`, and each set's (fp, root, least): its component, and its least document as
+    (null id?, doc_id, hash of the text)."""
     spark = docs.sparkSession
     sets = shared_sets(docs)
     gc.collect()
     spark._jvm.System.gc()  # the postings' shuffle files are the largest; they go now, not when the driver's heap is full
-    classes = sets.where("n > 0").groupBy("fp").agg(F.min("uid").alias("rep"), F.min("doc_id").alias("least"))
+    classes = sets.where("n > 0").groupBy("fp").agg(F.min("uid").alias("rep"), F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "text")).alias("least"))
     first = sets.where("prefix IS NOT NULL").groupBy("fp").agg(F.min("uid").alias("uid")).select("uid")
     able = sets.where("prefix IS NOT NULL").join(first, "uid")
     postings = able.select("uid", F.posexplode("prefix").alias("pos", "token"), "own").select("uid", "token", (F.col("pos") < F.col("own")).alias("own"))
@@ -432,37 +417,62 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     def dealt(seed: int, frame: DataFrame) -> DataFrame:
         return frame.withColumn("block", F.pmod(F.xxhash64("uid", F.lit(seed)), blocks))
 
-    links = durable(_linked(dealt(0, rows.withColumn("component", F.col("uid")))), "links")
+    found = components(_linked(dealt(0, rows.withColumn("component", F.col("uid")))))
     large = rows.where(F.col("size") > BLOCK)
     if large.limit(1).count():
 
         def known() -> DataFrame:
-            done = components(links).withColumnsRenamed({"a": "uid", "b": "component"})
-            return large.join(done, "uid", "left").withColumn("component", F.coalesce("component", "uid"))
+            return large.join(found.withColumnsRenamed({"a": "uid", "b": "component"}), "uid", "left").withColumn("component", F.coalesce("component", "uid"))
 
-        links = durable(links.unionByName(_linked(dealt(1, known()))), "links")
-        links = durable(links.unionByName(_across(known(), able)), "links")
-    joined = components(links).withColumnsRenamed({"a": "uid", "b": "root"})
+        # what is connected already is a star for each component, so each call has little left to do
+        found = components(found.unionByName(_linked(dealt(1, known()))))
+        found = components(found.unionByName(_across(known(), able)))
+    joined = found.withColumnsRenamed({"a": "uid", "b": "root"})
     # a class is known by the first of its texts that kept its shared tokens
     named = able.select("fp", "uid").join(joined, "uid", "left").select("fp", F.coalesce("root", "uid").alias("root"))
-    grouped = classes.join(named, "fp", "left").withColumn("root", F.coalesce("root", "rep"))
-    ids = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_class = grouped.join(ids, "root").select("fp", "component_id")
+    return sets, classes.join(named, "fp", "left").select("fp", "least", F.coalesce("root", "rep").alias("root"))
+
+
+def jaccard_components(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of each document; ``component_id`` is the least doc_id that links reach.
+
+    1. Every distinct 5-word shingle is hashed and dealt by its hash; the ranges count each one's holders, and only
+       shingles that several texts hold go back to these texts. 2. Under an order that puts rare shingles first, two
+       linked sets share a token of their prefixes (of which those of one text alone are a part), so most texts have no
+       candidate at all. 3. Texts that share prefix tokens form clusters; a task gets a cluster's sets once. There a
+       candidate has to share a prefix token under each of several orders (:func:`order_keys`), and is then verified by its
+       whole set. Sets that are connected already aren't compared, so copies are never expanded into pairs. 4. Clusters
+       of more than ``BLOCK`` sets are linked in blocks, dealt in two ways, which connects nearly all that links connect;
+       then the holders of each prefix token meet across components (:func:`_across`), so that no link is left out.
+
+    Texts with the same set are one set from step 3 on. ``docs`` should be a stored table, whose tasks read the same rows
+    again if they are lost. Cases: null texts and those without words have an empty set and
+    link with nothing. Repeated rows and rows with one doc_id are documents of their own, which link if their sets do.
+    A component of rows with null doc_id only has a null id. Other columns aren't read. No rows give no rows.
+    """
+    sets, grouped = _grouped(docs)
+    ids = grouped.groupBy("root").agg(F.min("least").alias("least"))
+    by_class = grouped.select("fp", "root").join(ids, "root").select("fp", F.col("least.doc_id").alias("component_id"))
     out = sets.select("doc_id", "n", "fp").join(by_class, "fp", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """Of each component the document with the least doc_id, all columns, of any name, kept.
+    """One row of each component of :func:`jaccard_components`, all columns, of any name, kept: the one with the least doc_id
+    (nulls last), then with the least hash of its text.
 
-    Of rows with that doc_id one stays, the one whose text's hash is least. Rows with null doc_id stay.
+    Cases: rows are documents of their own whatever their ids, so unrelated texts of one doc_id, or without one, all stay.
+    Of rows equal in doc_id and text any one stays. A text without words links with nothing, so each such row stays. No
+    rows give no rows.
     """
-    kept, nth = unused(docs.columns, "kept", "nth")
-    ids = jaccard_components(docs).where("doc_id = component_id").select(F.col("doc_id").alias(kept)).distinct()
-    found = docs.where("doc_id IS NOT NULL").join(ids, F.col("doc_id") == F.col(kept)).drop(kept)
-    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    found = found.withColumn(nth, F.row_number().over(one)).where(F.col(nth) == 1).drop(nth)
-    return found.unionByName(docs.where("doc_id IS NULL"))
+    none, id_, hash_, own = unused(docs.columns, "none", "id", "hash", "own")
+    _, grouped = _grouped(docs)
+    best = grouped.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.doc_id").alias(id_), F.col("least.text").alias(hash_)).distinct()
+    wordless = F.coalesce(F.btrim("text", F.lit(TRIMMED)), F.lit("")) == ""
+    marked = docs.withColumns({own: F.xxhash64("text"), none: wordless})
+    found = marked.where(~F.col(none)).join(best, F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & (F.col(own) == F.col(hash_)))
+    # copies are dropped in each task before they meet
+    return found.dropDuplicates([id_, own]).unionByName(marked.where(none), allowMissingColumns=True).select(*docs.columns)
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
