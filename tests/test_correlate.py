@@ -51,6 +51,40 @@ def test_arrival_order_gives_negative_round_trips(spark):
     assert run(spark, rows, order=["seq"]) == [(0, "OBSERVED", "", -1000, 0)]
 
 
+@pytest.mark.parametrize("lazy,order", [(False, None), (True, None), (False, ["seq"])])
+def test_slices_equal_the_whole_key(spark, lazy, order):
+    """Packets of one key cut into slices of any width, with gaps of many slices, ties and nulls in key and order."""
+    draw, rows, ns = random.Random(4), [], -3 * TIMEOUT
+    for i in range(600):
+        ns += draw.choice([0, 1, SOON, TIMEOUT // 2, TIMEOUT, TIMEOUT + 1, 40 * TIMEOUT])
+        rows.append(packet(i, ns + draw.choice([0, 0, -SOON]), draw.choice([Q, R]), dns_id=draw.choice([1, 1, 1, 1, 2, None])))
+    rows.append(packet(600, None, Q))
+    want = run(spark, rows, lazy=lazy, order=order)
+    for width in (1, SOON, TIMEOUT, 1000 * TIMEOUT) if order is None else (1, 7, 10_000):
+        assert run(spark, rows, lazy=lazy, order=order, slice_width=width) == want
+    carried = transactions(spark.createDataFrame(rows, FIELDS), TIMEOUT, carry=["qname", "dns_id"], slice_width=TIMEOUT)
+    whole = transactions(spark.createDataFrame(rows, FIELDS), TIMEOUT, carry=["qname", "dns_id"])
+    assert carried.columns == whole.columns and sorted(map(str, carried.collect())) == sorted(map(str, whole.collect()))
+    assert run(spark, [], slice_width=5) == []
+
+
+def test_a_hot_key_runs_in_many_tasks(spark):
+    from pyspark.sql import functions as F
+
+    packets = spark.range(80_000).select(
+        F.col("id").alias("seq"), (F.col("id") * SOON).alias("observed_ns"), F.when(F.col("id") % 3 == 0, Q).otherwise(R).alias("kind"), F.lit(0).alias("rcode"), F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("client")
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = {}
+        for width in (None, 1000 * SOON):
+            found = transactions(packets, TIMEOUT, key=["client"], slice_width=width)
+            sizes[width] = sorted(r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sizes[None][-1] > 3 * sizes[None][4] and sizes[1000 * SOON][-1] < 2 * sizes[1000 * SOON][4]
+
+
 def test_every_key_column_counts(spark):
     other = [{"dns_id": 2}, {"qname": "b.example"}, {"qtype": 28}, {"client_port": 4001}, {"transport": "tcp"}]
     rows = [packet(0, 1000, Q)] + [packet(i + 1, 1100, R, **o) for i, o in enumerate(other)]

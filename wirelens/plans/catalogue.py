@@ -28,6 +28,17 @@ def _transactions(lazy: bool):
     return lambda s, d: tx(s, d, lazy).select("seq", "outcome", "cause", "rtt_ns", "rtt_valid", "response_seq", "rcode", "client_ip", "server_ip", "qname", "qtype")
 
 
+#: Slices of a key's packets, where one key may have a large share of them.
+DAY = 24 * 3600 * formats.NANO
+
+
+def _hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions where half of all packets have one key, worked on in slices of a day."""
+    one = source.wire(spark, sf_dir).withColumn("client", F.when(F.col("user_id") % 2 == 0, F.lit(-1).cast("long")).otherwise(F.col("user_id")))
+    found = correlate.transactions(one, TIMEOUT, key=["client"], slice_width=DAY)
+    return found.select("seq", "outcome", "cause", "rtt_ns", "rtt_valid", "response_seq", "rcode", "client")
+
+
 def _dhcp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project.dhcp_messages(source.wire(spark, sf_dir))
 
@@ -75,6 +86,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "dns_transactions_eager": _transactions(False),
         "dns_transactions_lazy": _transactions(True),
+        "dns_transactions_hot_key": _hot,
         "dns_outcome_counts_by_role": lambda s, d: analytics.outcome_counts(tx(s, d)),
         "dns_leg_classification": lambda s, d: w(s, d).where("kind <> 'dhcp'").select("seq", classify.leg(source.LOCAL, source.BACKEND).alias("leg")),
         "dns_service_role": lambda s, d: tx(s, d).select("seq", "leg", "service_role"),
@@ -205,6 +217,8 @@ def oracle_sql() -> dict[str, str]:
     return {
         "dns_transactions_eager": f"{t} SELECT {columns} FROM t",
         "dns_transactions_lazy": f"{_tx_sql(True)} SELECT {columns} FROM t",
+        "dns_transactions_hot_key": f"""{_W}, hot AS (SELECT *, CASE WHEN user_id % 2 = 0 THEN -1 ELSE user_id END AS client FROM wire),
+            {correlate.transactions_sql(TIMEOUT, table='hot', key=['client'], kept=correlate.KEPT + ', client')} SELECT seq, outcome, cause, rtt_ns, rtt_valid, response_seq, rcode, client FROM tx""",
         "dns_outcome_counts_by_role": f"{t} SELECT leg, outcome, count(*) AS n FROM t GROUP BY ALL",
         "dns_leg_classification": f"{_W} SELECT seq, {_LEG} AS leg FROM wire WHERE kind <> 'dhcp'",
         "dns_service_role": f"{t} SELECT seq, leg, service_role FROM t",
