@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from wirelens.functions import formats, names
 from wirelens.operators import correlate, events, project
 from wirelens.plans import packets
-from wirelens.sources import frames
+from wirelens.sources import frames, pcap_source
 from wirelens.sources import wire as source
-from wirelens.sources.tables import stored
+from wirelens.sources.tables import new_path, stored
 
 TIMEOUT = 6 * 3600 * formats.NANO
 SOURCETYPES = {"dhcpv4": "net:dhcp"}
@@ -29,6 +29,22 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.capped(stored(events.dns_events(tx), "events"))
 
 
+#: Bytes of a range where captures are read back: small, so that every file is cut in several.
+SMALL_RANGE = 64 << 10
+
+
+def _capture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wire's frames as capture files, written and read again."""
+    pcap_source.register(spark)
+    path = new_path(spark, "capture")
+    frames.dns_frames(source.wire(spark, sf_dir)).select("observed_ns", "frame").write.format(pcap_source.NAME).mode("append").save(path)
+    return spark.read.format(pcap_source.NAME).option("rangeBytes", SMALL_RANGE).load(path)
+
+
+def _captured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _capture(spark, sf_dir).select("observed_ns", "packet_len", "captured_len", "flags", F.sha2("frame", 256).alias("frame_sha256"), "error")
+
+
 def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.wide_rows(transactions(spark, sf_dir))
 
@@ -64,7 +80,7 @@ def _counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"wide_row_dns_from_frames": _wide, "hec_json_events": _lines, "wide_row_dhcp_from_frames": _dhcp_wide, "wide_row_dhcp_fixtures": _dhcp_fixtures, "dhcp_counters": _counters}
+    return {"capture_roundtrip": _captured, "wide_row_dns_from_frames": _wide, "hec_json_events": _lines, "wide_row_dhcp_from_frames": _dhcp_wide, "wide_row_dhcp_fixtures": _dhcp_fixtures, "dhcp_counters": _counters}
 
 
 def _hex(value: str, digits: int) -> str:
@@ -211,6 +227,7 @@ def oracle_sql() -> dict[str, str]:
     ]
     values = ", ".join(f"('{f}', '{s}', '{s}.{e}.observed', '{ip}', '{t}', '{c}', '{q}', '{a}', {r})" for f, s, e, ip, t, c, q, a, r in rows)
     return {
+        "capture_roundtrip": f"{_TX} SELECT observed_ns, octet_length(frame)::INT AS packet_len, octet_length(frame)::INT AS captured_len, 0 AS flags, sha256(frame) AS frame_sha256, NULL::VARCHAR AS error FROM k",
         "wide_row_dns_from_frames": f"{_TX} {_WIDE}",
         "hec_json_events": _LINES,
         "wide_row_dhcp_from_frames": _dhcp_sql(),

@@ -22,13 +22,19 @@ def durable_folder(spark: SparkSession) -> str:
     return folder
 
 
+def new_path(spark: SparkSession, label: str) -> str:
+    """A path in the shared folder that nothing has used; what is written there is removed when the application ends."""
+    path = f"{durable_folder(spark)}/wirelens-{uuid.uuid4().hex}/{label}"
+    parent = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
+    parent.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(parent)
+    return path
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again, so that lost executors cost no recomputation and
     what follows isn't merged with what made it. The table is removed when the application ends.
     """
     spark = df.sparkSession
-    path = f"{durable_folder(spark)}/wirelens-{uuid.uuid4().hex}/{label}"
+    path = new_path(spark, label)
     df.write.option("compression", "zstd").parquet(path)
-    parent = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
-    parent.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(parent)
     return spark.read.schema(df.schema).parquet(path)
