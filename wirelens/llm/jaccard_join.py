@@ -465,14 +465,16 @@ def keep_first(docs: DataFrame) -> DataFrame:
     Of rows equal in doc_id and text any one stays. A text without words links with nothing, so each such row stays. No
     rows give no rows.
     """
-    none, id_, hash_, own = unused(docs.columns, "none", "id", "hash", "own")
+    none, row, own = unused(docs.columns, "none", "row", "own")
     _, grouped = _grouped(docs)
-    best = grouped.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.doc_id").alias(id_), F.col("least.text").alias(hash_)).distinct()
+    # a row is known by the hash of its id and of its text's hash, so that the join deals rows out evenly, whatever they share
+    known = lambda id_, text: F.xxhash64(F.coalesce(id_.cast("string"), F.lit("")), text)
+    best = grouped.groupBy("root").agg(F.min("least").alias("least")).select(known(F.col("least.doc_id"), F.col("least.text")).alias(row)).distinct()
     wordless = F.coalesce(F.btrim("text", F.lit(TRIMMED)), F.lit("")) == ""
-    marked = docs.withColumns({own: F.xxhash64("text"), none: wordless})
-    found = marked.where(~F.col(none)).join(best, F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & (F.col(own) == F.col(hash_)))
-    # copies are dropped in each task before they meet
-    return found.dropDuplicates([id_, own]).unionByName(marked.where(none), allowMissingColumns=True).select(*docs.columns)
+    marked = docs.withColumns({own: known(F.col("doc_id").cast("long"), F.xxhash64("text")), none: wordless})
+    found = marked.where(~F.col(none)).join(best, F.col(own) == F.col(row))
+    # rows are where the join has brought them, so repeated ones are dropped there
+    return found.dropDuplicates([own]).drop(row).unionByName(marked.where(none)).select(*docs.columns)
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
