@@ -5,7 +5,7 @@ import random
 import pytest
 
 from wirelens.operators.correlate import KEY, transactions
-from wirelens.streaming.correlator import outcomes, pending_left, run_once, tick
+from wirelens.streaming.correlator import correlated, outcomes, pending_left, run_once, tick
 
 TIMEOUT = 5_000_000_000
 Q, R = "query", "response"
@@ -117,14 +117,83 @@ def test_stream_times_out_restarts_and_drains(spark, tmp_path):
     for k in range(0, len(rows), 100):
         part = spark.createDataFrame(rows[k : k + 100], FIELDS)
         part.write.mode("append").parquet(f"{folder}/in")
-        left.append(pending_left(run_once(spark, folder, part.schema, TIMEOUT)))
+        left.append(pending_left(run_once(spark, folder, part.schema, TIMEOUT, "0 seconds")))
     assert left[0] > 0
     early = {r.seq: r.cause for r in spark.read.parquet(f"{folder}/out").collect()}
     assert sum(c == "timeout" for c in early.values()) > sum(r[2] == "timeout" for r in want)
     tick(part).write.mode("append").parquet(f"{folder}/in")
-    assert pending_left(run_once(spark, folder, part.schema, TIMEOUT)) == 0
+    assert pending_left(run_once(spark, folder, part.schema, TIMEOUT, "0 seconds")) == 0
     got = sorted((r.seq, r.outcome, r.cause, r.rtt_ns, r.rtt_valid) for r in spark.read.parquet(f"{folder}/out").collect())
     last = rows[-1][1]
     late = lambda r: "timeout" if r[2] == "drain" and rows[r[0]][1] + TIMEOUT < last - 1_000_000 else r[2]
     assert got == [(r[0], r[1], late(r), r[3], r[4]) for r in want]
     assert {r[2] for r in got} >= {"timeout", "drain", "collision"}
+
+
+def arrive(spark, folder, rows, name="in"):
+    part = spark.createDataFrame(rows, FIELDS).coalesce(1)
+    part.write.mode("append").parquet(f"{folder}/{name}")
+    return part
+
+
+def found(spark, folder):
+    return sorted((r.seq, r.outcome, r.cause, r.rtt_ns, r.rtt_valid) for r in spark.read.parquet(f"{folder}/out").collect())
+
+
+def causes(want, rows, late):
+    """A batch run's rows with the cause that a stream gives: what timed out before the last packet came isn't drained."""
+    last = max(r[1] for r in rows) - late
+    ns = {r[0]: r[1] for r in rows}
+    return [(s, o, "timeout" if c == "drain" and ns[s] + TIMEOUT < last - 1_000_000 else c, *r) for s, o, c, *r in want]
+
+
+def test_packets_out_of_order_over_micro_batches_equal_the_batch_form(spark, tmp_path):
+    """Packets shuffled within the lateness, in several micro-batches, across a restart, give what the batch form gives."""
+    rng = random.Random(3)
+    rows = [packet(i, T0 + i * TIMEOUT // 6, rng.choice([Q, R]), dns_id=rng.randrange(5)) for i in range(120)]
+    mixed = sorted(rows, key=lambda r: r[1] + rng.randrange(20 * TIMEOUT // 6))
+    for k in range(0, 120, 30):
+        part = arrive(spark, tmp_path, mixed[k : k + 30])
+        if k in (30, 90):  # two files in one run, in micro-batches of their own
+            run_once(spark, str(tmp_path), part.schema, TIMEOUT, "20 seconds", files=1)
+    tick(part).write.mode("append").parquet(f"{tmp_path}/in")
+    assert pending_left(run_once(spark, str(tmp_path), part.schema, TIMEOUT, "20 seconds")) == 0
+    assert found(spark, tmp_path) == causes(run(spark, rows), rows, 4 * TIMEOUT)
+
+
+def test_late_packets_are_given_and_a_stream_goes_on_after_a_tick(spark, tmp_path):
+    first = [packet(0, T0, Q), packet(1, T0 + 10 * TIMEOUT, Q, dns_id=2)]
+    part = arrive(spark, tmp_path, first)
+    run_once(spark, str(tmp_path), part.schema, TIMEOUT, "0 seconds")
+    arrive(spark, tmp_path, [packet(2, T0 + SOON, R), packet(3, T0 + 10 * TIMEOUT + SOON, R, dns_id=2)])
+    run_once(spark, str(tmp_path), part.schema, TIMEOUT, "0 seconds")
+    tick(part, T0 + 12 * TIMEOUT).write.mode("append").parquet(f"{tmp_path}/in")
+    assert pending_left(run_once(spark, str(tmp_path), part.schema, TIMEOUT, "0 seconds")) == 0
+    arrive(spark, tmp_path, [packet(4, T0 + 13 * TIMEOUT, Q), packet(5, T0 + 13 * TIMEOUT + SOON, R)])
+    run_once(spark, str(tmp_path), part.schema, TIMEOUT, "0 seconds")
+    tick(part).write.mode("append").parquet(f"{tmp_path}/in")
+    run_once(spark, str(tmp_path), part.schema, TIMEOUT, "0 seconds")
+    assert found(spark, tmp_path) == [
+        (0, "UNANSWERED", "timeout", None, 0), (1, "OBSERVED", "", SOON, 1), (2, "LATE", "", None, 0), (4, "OBSERVED", "", SOON, 1),
+    ]
+    with pytest.raises(ValueError, match="caller's choice"):
+        correlated(spark.readStream.schema(part.schema).parquet(f"{tmp_path}/in"), TIMEOUT)
+
+
+def test_several_streams_of_which_one_is_far_behind(spark, tmp_path):
+    """Queries come on one stream, responses on another, long after: nothing is late, as time is that of the stream behind."""
+    rng = random.Random(8)
+    rows = [packet(i, T0 + i * TIMEOUT // 5, rng.choice([Q, R]), dns_id=rng.randrange(3)) for i in range(80)]
+    folder, inputs = str(tmp_path), {"fast": "0 seconds", "slow": "2 seconds"}
+    fast, slow = ([r for r in rows if r[2] == kind] for kind in (Q, R))
+    part = arrive(spark, folder, fast, "fast")
+    arrive(spark, folder, slow[:5], "slow")
+    run_once(spark, folder, part.schema, TIMEOUT, "", inputs)
+    for k in range(5, len(slow), 20):
+        arrive(spark, folder, slow[k : k + 20], "slow")
+        run_once(spark, folder, part.schema, TIMEOUT, "", inputs)
+    for name in inputs:
+        tick(part).write.mode("append").parquet(f"{folder}/{name}")
+    run_once(spark, folder, part.schema, TIMEOUT, "", inputs)
+    got, want = found(spark, folder), run(spark, rows)
+    assert [(r[0], r[1], r[3], r[4]) for r in got] == [(r[0], r[1], r[3], r[4]) for r in want]

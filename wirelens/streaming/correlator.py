@@ -1,4 +1,4 @@
-"""Streaming correlation: the pending query of each key as state."""
+"""Streaming correlation: the pending query of each key, and packets whose order isn't settled yet, as state."""
 
 from __future__ import annotations
 
@@ -19,6 +19,8 @@ from wirelens.sources.wire import wire
 MILLI = 1_000_000
 #: The time of a packet that ends a stream; no real one comes later.
 DRAIN_NS = 9 * 10**18
+#: No packet's time lies behind this; a watermark that does was moved by such a tick, whatever the lateness.
+LAST_NS = 8 * 10**18
 OUT = "seq long, outcome string, cause string, rtt_ns long, rtt_valid int, response_seq long"
 
 
@@ -47,48 +49,95 @@ def outcomes(rows: list[tuple[int, int, str]], pending: tuple[int, int] | None,
     return out, pending
 
 
-def tick(packets: DataFrame) -> DataFrame:
-    """One packet of no kind, later than all others: with it the stream's time passes everything that waits."""
-    none = [F.lit(DRAIN_NS if f.name == "observed_ns" else "tick" if f.name == "kind" else None).cast(f.dataType).alias(f.name) for f in packets.schema]
+def tick(packets: DataFrame, at_ns: int = DRAIN_NS) -> DataFrame:
+    """One packet of no kind at a time: with it the stream's time passes everything that waits until then.
+
+    At ``DRAIN_NS``, later than all real packets, it ends the stream: what waits is drained, and packets that come all the same
+    are late. A stream that goes on is drained by a tick at its last packet's time and the timeout, and what waits is then
+    unanswered for timeout.
+    """
+    none = [F.lit(at_ns if f.name == "observed_ns" else "tick" if f.name == "kind" else None).cast(f.dataType).alias(f.name) for f in packets.schema]
     return packets.sparkSession.range(1).select(*none)
 
 
-def correlated(packets: DataFrame, timeout_ns: int, lateness: str = "0 seconds", key: list[str] | None = None) -> DataFrame:
-    """Settled outcomes of a stream of packets, in arrival order within each micro-batch.
+def timed(packets: DataFrame, lateness: str) -> DataFrame:
+    """A stream of packets that moves the watermark, none of which Spark leaves out, however late it comes.
 
-    The state of a key is at most one pending query, with a timer at the first millisecond that finds it timed out. The
-    stream's time is the latest packet's less ``lateness``; packets that are older are left out. A query that nothing
-    follows is unanswered once its timer has passed: for timeout, or, if a :func:`tick` made it pass, for drain. So after
-    a tick no state is left.
+    Each packet comes as two rows: one with its time, which moves the watermark and goes no further, and one without, which
+    is never too old.
+    """
+    at = F.timestamp_micros(F.expr("observed_ns div 1000"))
+    rows = packets.withColumn("event_time", F.explode(F.array(F.lit(None).cast("timestamp"), at)))
+    return rows.withWatermark("event_time", lateness).where("event_time IS NULL")
+
+
+STATE = "pending_ns long, pending_seq long, held_ns array<long>, held_seq array<long>, held_kind array<string>"
+
+
+def correlated(packets: DataFrame | list[tuple[DataFrame, str]], timeout_ns: int, lateness: str | None = None, key: list[str] | None = None) -> DataFrame:
+    """Settled outcomes of a stream of packets, or of several, each with its own lateness.
+
+    The stream's time is the latest packet's less ``lateness``, of several streams the one that is furthest behind
+    (``spark.sql.streaming.multipleWatermarkPolicy`` min, Spark's own). Packets are held until that time has passed them and
+    settled in the order of their times, so what comes out of order within ``lateness`` gives what a batch run gives. A packet
+    that is older than the stream's time when it arrives can't be put in order any more: it is given as ``LATE``, with its seq,
+    and settles nothing. So every packet is in one row as query, response or LATE.
+
+    A key's state is its pending query and the packets that are held, with a timer at the first millisecond that settles one of
+    them. A query that nothing follows is unanswered once its timer has passed: for timeout, or, if a last
+    :func:`tick` made it pass, for drain. After such a tick no state is left.
     """
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pending = tuple(state.get) if state.exists else None
-        if state.hasTimedOut:
-            drained = state.getCurrentWatermarkMs() >= DRAIN_NS // MILLI
-            out, pending = [(pending[1], "UNANSWERED", "drain" if drained else "timeout", None, 0, None)], None
-        else:
-            rows = [r for b in batches for r in zip(b["observed_ns"].tolist(), b["seq"].tolist(), b["kind"].tolist(), strict=True) if r[2] != "tick"]
-            out, pending = outcomes(rows, pending, timeout_ns)
-        if pending is not None:
-            state.update(pending)
-            state.setTimeoutTimestamp(max((pending[0] + timeout_ns) // MILLI + 1, state.getCurrentWatermarkMs() + 1))
+        now = state.getCurrentWatermarkMs()
+        ns, seq, *held = state.get if state.exists else (None, None, [], [], [])
+        pending, waiting, out = None if ns is None else (ns, seq), list(zip(*held, strict=True)), []
+        if not state.hasTimedOut:
+            for b in batches:
+                for row in zip(b["observed_ns"].tolist(), b["seq"].tolist(), b["kind"].tolist(), strict=True):
+                    if row[2] == "tick":
+                        continue
+                    if row[0] // MILLI < now:
+                        out.append((row[1], "LATE", "", None, 0, None))
+                    else:
+                        waiting.append(row)
+        settled, pending = outcomes([r for r in waiting if r[0] // MILLI < now], pending, timeout_ns)
+        out += settled
+        waiting = sorted(r for r in waiting if r[0] // MILLI >= now)
+        if pending is not None and (pending[0] + timeout_ns) // MILLI < now:
+            out.append((pending[1], "UNANSWERED", "drain" if now > LAST_NS // MILLI else "timeout", None, 0, None))
+            pending = None
+        timers = [r[0] // MILLI for r in waiting[:1]] + ([(pending[0] + timeout_ns) // MILLI] if pending else [])
+        if timers:
+            state.update((*(pending or (None, None)), *([r[k] for r in waiting] for k in range(3))))
+            state.setTimeoutTimestamp(max(min(timers), now) + 1)
         elif state.exists:
             state.remove()
         if out:
             frame = pd.DataFrame(out, columns=["seq", "outcome", "cause", "rtt_ns", "rtt_valid", "response_seq"])
             yield frame.astype({"rtt_ns": "Int64", "response_seq": "Int64"})
 
-    live = packets.where("kind IN ('query', 'response', 'tick')").withColumn("event_time", F.timestamp_micros(F.expr("observed_ns div 1000")))
-    timed = live.withWatermark("event_time", lateness)
-    return timed.groupBy(*(key or KEY)).applyInPandasWithState(update, OUT, "ns long, seq long", "append", GroupStateTimeout.EventTimeTimeout)
+    if not isinstance(packets, list):
+        if lateness is None:
+            raise ValueError("how late packets may come is the caller's choice")
+        packets = [(packets, lateness)]
+    several = [timed(p.where("kind IN ('query', 'response', 'tick')"), late) for p, late in packets]
+    whole = several[0]
+    for more in several[1:]:
+        whole = whole.unionByName(more)
+    return whole.groupBy(*(key or KEY)).applyInPandasWithState(update, OUT, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+
 
+def run_once(spark: SparkSession, folder: str, schema: StructType, timeout_ns: int, lateness: str, inputs: dict[str, str] | None = None, files: int = 10_000) -> StreamingQuery:
+    """Correlates what has arrived in ``folder``/in since the last run, into ``folder``/out; the checkpoint carries on.
 
-def run_once(spark: SparkSession, folder: str, schema: StructType, timeout_ns: int) -> StreamingQuery:
-    """Correlates what has arrived in ``folder``/in since the last run, into ``folder``/out; the checkpoint carries on."""
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 10_000).parquet(f"{folder}/in")
+    ``inputs`` names several streams, as folders beside it with their own lateness; each has its own offsets in the checkpoint.
+    A micro-batch takes at most ``files`` files of each.
+    """
+    read = lambda name: spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/{name}")
+    streams = [(read(name), late) for name, late in (inputs or {"in": lateness}).items()]
     query = (
-        correlated(stream, timeout_ns).writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint")
+        correlated(streams, timeout_ns).writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint")
         .outputMode("append").trigger(availableNow=True).start()
     )
     query.awaitTermination()
@@ -96,20 +145,20 @@ def run_once(spark: SparkSession, folder: str, schema: StructType, timeout_ns: i
 
 
 def pending_left(query: StreamingQuery) -> int:
-    """Keys with a pending query after the last micro-batch."""
+    """Keys with a pending query or held packets after the last micro-batch."""
     return sum(s["numRowsTotal"] for s in (query.lastProgress or {"stateOperators": []})["stateOperators"])
 
 
 def run_available_now(spark: SparkSession, sf_dir: str, timeout_ns: int, arrivals: int = 4) -> DataFrame:
     """The wire as a file stream that arrives in ``arrivals`` stretches of time, each correlated by a query that starts
-    again from the checkpoint, and is drained at last."""
+    again from the checkpoint, and is drained at last. Stretches follow each other in time, so none comes late."""
     folder = f"{durable_folder(spark)}/stream-{uuid.uuid4().hex}"
     packets = wire(spark, sf_dir).where("kind <> 'dhcp'")
     first, last = packets.agg(F.min("observed_ns"), F.max("observed_ns")).first()
     edges = [first - 1 + (last - first + 1) * k // arrivals for k in range(arrivals + 1)] if first is not None else []
     for a, b in zip(edges[:-1], edges[1:], strict=True):
         packets.where((F.col("observed_ns") > a) & (F.col("observed_ns") <= b)).write.mode("append").parquet(f"{folder}/in")
-        run_once(spark, folder, packets.schema, timeout_ns)
+        run_once(spark, folder, packets.schema, timeout_ns, "0 seconds")
     tick(packets).write.mode("append").parquet(f"{folder}/in")
-    run_once(spark, folder, packets.schema, timeout_ns)
+    run_once(spark, folder, packets.schema, timeout_ns, "0 seconds")
     return spark.read.schema(OUT).parquet(f"{folder}/out")
