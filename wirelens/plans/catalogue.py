@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from wirelens.functions import formats, names, options
 from wirelens.operators import analytics, classify, correlate, delivery, identity, project
-from wirelens.plans import from_frames, packets
+from wirelens.plans import from_events, from_frames, packets
 from wirelens.sources import wire as source
 from wirelens.streaming import correlator
 
@@ -123,6 +123,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_correlate_available_now": lambda s, d: correlator.run_available_now(s, d, TIMEOUT),
         **packets.queries(),
         **from_frames.queries(),
+        **from_events.queries(),
     }
 
 
@@ -270,4 +271,5 @@ def oracle_sql() -> dict[str, str]:
             THEN 'timeout' ELSE cause END AS cause, rtt_ns, rtt_valid, response_seq FROM t""",
         **packets.oracle_sql(),
         **from_frames.oracle_sql(),
+        **from_events.oracle_sql(),
     }
