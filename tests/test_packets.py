@@ -6,10 +6,12 @@ import struct
 from pyspark.sql import functions as F
 
 from wirelens.functions import formats
-from wirelens.operators import decap, dhcp, dns, identity
+from wirelens.operators import decap, dhcp, dns, events, identity
 from wirelens.plans import packets
-from wirelens.sources import frames
+from wirelens.sources import frames, rich_frames
 from wirelens.sources.pcap import read_pcap
+from wirelens.sources.tables import stored
+from wirelens.sources.wire import BACKEND, LOCAL, SERVICE_ROLES
 
 
 def payloads():
@@ -92,3 +94,19 @@ def test_pcap(spark, tmp_path):
         ("a.pcap", 0, 1_000_002_000, 3, 3, 0, None), ("a.pcap", 1, 1_000_003_000, 3000, 2048, 1, None), ("b.pcap", 0, 5_000_000_007, 9, 2, 1, None),
         ("c.pcap", 0, None, None, None, None, "no Ethernet capture"), ("d.pcap", 0, None, None, None, None, "no classic pcap file"),
     ]
+
+
+def test_size_cap(spark):
+    """Events that are too long lose their raw payloads, those that still are go; what isn't measured is never too long."""
+    rows = rich_frames.rows(spark, "/root/testdata/sf0.001").where("seq % 3 = 0")
+    messages = stored(events.dns_messages(rich_frames.dns(rows)), "messages")
+    found = stored(events.dns_events(stored(events.dns_transactions(messages, LOCAL, BACKEND, SERVICE_ROLES, 10**9), "tx")), "events")
+    sized = found.select("seq", F.octet_length(events.event_json(found)).alias("n"), F.octet_length("event.dns_transaction.response.raw_dns_payload").alias("raw"), events._most_bytes().alias("most")).collect()
+    assert len(sized) > 300 and all(r.most >= r.n for r in sized)
+    lengths = sorted(r.n for r in sized)
+    for largest in (lengths[-1], lengths[len(lengths) // 2], lengths[0], lengths[0] - 60, 10):
+        want = {r.seq: r.n > largest for r in sized if r.n <= largest or r.n - 4 * -(-r.raw // 3) <= largest}
+        got = events.capped(found, largest).select("seq", "event.dns_transaction.response.raw_payload_truncated", F.col("event.dns_transaction.response.raw_dns_payload").isNull().alias("gone")).collect()
+        assert {r.seq: r.gone for r in got} == want and all(r.raw_payload_truncated == r.gone for r in got)
+    cut = events.capped(found, lengths[len(lengths) // 2]).where("event.dns_transaction.response.raw_payload_truncated")
+    assert 0 < cut.count() < len(sized)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wirelens.functions.slots import slot
+
 SCHEMA, ENCODING = "wire.v1.Event", "protobuf"
 
 
@@ -48,3 +50,35 @@ def retained(rows: DataFrame, most: int) -> DataFrame:
 def recent(rows: DataFrame, most: int) -> DataFrame:
     """The newest entries over all streams, as a top-k report."""
     return rows.orderBy(F.desc("observed_ns"), F.desc("seq")).limit(most)
+
+
+def bucket_of(entry_id: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(entry_id), F.lit(buckets))
+
+
+def keep_by_id(rows: DataFrame, path: str, buckets: int = 1024) -> None:
+    """Entries as a table to read single ones of: folders by a hash of the id, in each the order of ids, which gives row groups
+    narrow ranges, and a Bloom filter for each row group."""
+    dealt = rows.withColumn("bucket", bucket_of(F.col("entry_id"), buckets)).repartition("bucket").sortWithinPartitions("bucket", "entry_id")
+    dealt.write.mode("overwrite").partitionBy("bucket").option("parquet.bloom.filter.enabled#entry_id", "true").option("parquet.enable.dictionary#entry_id", "false").parquet(path)
+
+
+def read_by_id(spark: SparkSession, path: str, ids: list[str], buckets: int = 1024) -> DataFrame:
+    """The entries of a few ids, from a table of :func:`keep_by_id`: only their buckets are listed and read, and of these the
+    row groups that may hold them. Ids that there aren't give no row; an id that is held twice gives both."""
+    if not ids:
+        return spark.read.parquet(path).where("false").drop("bucket")
+    numbers = spark.range(1).select(*[bucket_of(F.lit(i), buckets).alias(f"b{k}") for k, i in enumerate(ids)]).first()
+    return spark.read.parquet(path).where(F.col("bucket").isin(*set(numbers)) & F.col("entry_id").isin(*ids)).drop("bucket")
+
+
+def stream_keys(wire: DataFrame) -> DataFrame:
+    """(seq, key) of the streams that packets go to: with the client as hash tag, with an empty or an open one, or with none."""
+    seq, client = F.col("seq"), F.col("client_ip")
+    forms = [F.concat(F.lit("events:{"), client, F.lit("}:"), seq.cast("string")), F.concat(F.lit("events:"), F.col("qname"), F.lit(":"), seq.cast("string")), F.concat(F.lit("{}events:{"), client, F.lit("}")), F.concat(F.lit("events:{"), client), F.concat(F.lit("é{ü"), F.col("qname"), F.lit("}{"), seq.cast("string"), F.lit("}"))]
+    return wire.select("seq", F.element_at(F.array(*forms), (seq % len(forms) + 1).cast("int")).alias("key"))
+
+
+def slotted(rows: DataFrame) -> DataFrame:
+    """``rows`` with the ``slot`` of their ``key``."""
+    return rows.withColumn("slot", slot(F.col("key")))

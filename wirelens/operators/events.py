@@ -18,6 +18,9 @@ INSTANCE, METHOD = "capture-01-1", "pcap-replay"
 #: An event whose JSON is longer loses its raw payloads, and is dropped if that doesn't help.
 LARGEST = 8192
 LEG_NAMES = {"client_facing": "DNS_LEG_CLIENT_FACING", "backend": "DNS_LEG_BACKEND", "recursion_upstream": "DNS_LEG_RECURSION_UPSTREAM", "unknown": "DNS_LEG_UNKNOWN"}
+#: What parts of an event's JSON come to at most: all that has a fixed size; a warning; a question but for its name, of which a
+#: character takes up to 6; a record with three names of 255; and a byte of the payload, raw and as options.
+FIXED_BYTES, WARNING_BYTES, QUESTION_BYTES, RECORD_BYTES, PAYLOAD_BYTES = 4000, 200, 300, 5500, 16
 #: Numbers of 64 bits, which JSON holds as strings.
 LONG = {"observed_time_unix_nano", "ingest_time_unix_nano", "rtt_nanos", "packet_len", "captured_len"}
 
@@ -180,11 +183,24 @@ def event_json(events: DataFrame) -> Column:
     return F.to_json(shown(F.col("event"), events.schema["event"].dataType))
 
 
+def _most_bytes() -> Column:
+    """No DNS event's JSON is longer than this: a fixed part, parts of questions, bytes and warnings by their lengths, and what a
+    record may come to, whose compressed names can be far longer than its bytes."""
+    most = F.lit(FIXED_BYTES) + WARNING_BYTES * F.coalesce(F.size("event.dns_transaction.parser_warnings"), F.lit(0))
+    for side in ("query", "response"):
+        message = F.col(f"event.dns_transaction.{side}")
+        asked = F.aggregate(message["questions"], F.lit(0), lambda n, q: n + QUESTION_BYTES + 6 * F.char_length(q["qname"]))
+        records = F.size(message["answers"]) + F.size(message["authority"]) + F.size(message["additional"])
+        most += F.coalesce(asked + RECORD_BYTES * records + PAYLOAD_BYTES * F.octet_length(message["raw_dns_payload"]), F.lit(0))
+    return most
+
+
 def capped(events: DataFrame, largest: int = LARGEST) -> DataFrame:
     """Stored ``events`` of DNS whose JSON has at most ``largest`` bytes. Longer ones lose their raw payloads and say so;
-    those that would still be longer are left out. The record has no wire form here, so its JSON is what is measured."""
+    those that would still be longer are left out. The record has no wire form here, so its JSON is what is measured; it
+    is only made of events that may be too long (:func:`_most_bytes`)."""
     raw = lambda side: F.coalesce(F.ceil(F.octet_length(f"event.dns_transaction.{side}.raw_dns_payload") / 3) * 4, F.lit(0))
-    sized = events.withColumns({"_size": F.octet_length(event_json(events)), "_raw": raw("query") + raw("response")})
+    sized = events.withColumns({"_size": F.when(_most_bytes() > largest, F.octet_length(event_json(events))).otherwise(0), "_raw": raw("query") + raw("response")})
     fits = sized.where((F.col("_size") <= largest) | (F.col("_size") - F.col("_raw") <= largest))
     less = F.col("event")
     for side in ("query", "response"):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable
 
@@ -12,7 +13,8 @@ from wirelens.functions import formats, names, options
 from wirelens.operators import analytics, classify, correlate, delivery, identity, project
 from wirelens.plans import from_events, from_frames, packets
 from wirelens.sources import wire as source
-from wirelens.streaming import correlator
+from wirelens.sources.tables import new_path
+from wirelens.streaming import correlator, stats
 
 TIMEOUT = 6 * 3600 * formats.NANO
 SAMPLE = 10
@@ -39,6 +41,23 @@ def _hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("seq", "outcome", "cause", "rtt_ns", "rtt_valid", "response_seq", "rcode", "client")
 
 
+def _by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The oldest and the newest entry, and one that there isn't, read by their ids from a table made for that."""
+    rows, path = delivery.entries(source.wire(spark, sf_dir)), new_path(spark, "entries")
+    delivery.keep_by_id(rows, path, 64)
+    at = F.struct("observed_ns", "seq")
+    ids = list(rows.agg(F.min_by("entry_id", at), F.max_by("entry_id", at)).first())
+    return delivery.read_by_id(spark, path, [*ids, "0-0"], 64)
+
+
+def _stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(metric, n): the totals of the last line of a run with restarts, each of which counts on from the one before."""
+    seen: list = []
+    correlator.run_available_now(spark, sf_dir, TIMEOUT, seen=seen)
+    totals = [json.loads(line)["total"] for line in stats.lines(seen)]
+    return spark.createDataFrame(sorted(totals[-1].items()) if totals else [], "metric string, n long")
+
+
 def _dhcp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project.dhcp_messages(source.wire(spark, sf_dir))
 
@@ -121,6 +140,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "retention_maxlen": lambda s, d: delivery.retained(delivery.entries(w(s, d)), 1000).select("stream", "entry_id"),
         "dead_letter_split": lambda s, d: delivery.dead_letters(delivery.entries(w(s, d))),
         "stream_correlate_available_now": lambda s, d: correlator.run_available_now(s, d, TIMEOUT),
+        "entry_slots": lambda s, d: delivery.slotted(delivery.stream_keys(w(s, d))),
+        "entry_by_id": _by_id,
+        "stream_stats_lines": _stats,
         **packets.queries(),
         **from_frames.queries(),
         **from_events.queries(),
@@ -269,6 +291,14 @@ def oracle_sql() -> dict[str, str]:
             SELECT 'decode_error' AS reason, stream AS origin_stream, entry_id AS origin_id, error FROM e WHERE error IS NOT NULL""",
         "stream_correlate_available_now": f"""{t} SELECT seq, outcome, CASE WHEN cause = 'drain' AND (observed_ns + {TIMEOUT}) // 1000000 + 1 < (SELECT max(observed_ns) // 1000000 FROM wire WHERE kind <> 'dhcp')
             THEN 'timeout' ELSE cause END AS cause, rtt_ns, rtt_valid, response_seq FROM t""",
+        "entry_slots": f"""{_W}, k AS (SELECT seq, ['events:{{' || client_ip || '}}:' || seq, 'events:' || qname || ':' || seq, '{{}}events:{{' || client_ip || '}}', 'events:{{' || client_ip, 'é{{ü' || qname || '}}{{' || seq || '}}'][seq % 5 + 1] AS key FROM wire),
+            b AS (SELECT seq, key, hex(encode(coalesce(nullif(regexp_extract(key, '^[^{{]*[{{]([^}}]+)[}}]', 1), ''), key))) AS h FROM k),
+            c AS (SELECT seq, key, list_reduce([0::BIGINT] || list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT),
+              lambda crc, o: list_reduce([xor(crc, o << 8)] || range(8), lambda v, i: CASE WHEN v & 32768 > 0 THEN xor((v << 1) & 65535, 4129) ELSE (v << 1) & 65535 END)) AS crc FROM b)
+            SELECT seq, key, (crc % 16384)::INT AS slot FROM c""",
+        "entry_by_id": f"""{_W}, {_ENTRIES} SELECT stream, entry_id, schema, encoding, payload_kind, seq, observed_ns FROM entries
+            WHERE (observed_ns, seq) IN (SELECT min((observed_ns, seq)) FROM entries UNION ALL SELECT max((observed_ns, seq)) FROM entries)""",
+        "stream_stats_lines": f"""{t}, n AS (SELECT lower(outcome) AS metric, count(*) AS n FROM t GROUP BY 1 UNION ALL SELECT 'late', 0 UNION ALL SELECT 'rtt_valid', count(*) FILTER (WHERE rtt_valid = 1) FROM t) SELECT metric, n FROM n""",
         **packets.oracle_sql(),
         **from_frames.oracle_sql(),
         **from_events.oracle_sql(),

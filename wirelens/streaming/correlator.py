@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 from wirelens.operators.correlate import KEY
 from wirelens.sources.tables import durable_folder
 from wirelens.sources.wire import wire
+from wirelens.streaming import stats
 
 MILLI = 1_000_000
 #: The time of a packet that ends a stream; no real one comes later.
@@ -71,7 +72,7 @@ def timed(packets: DataFrame, lateness: str) -> DataFrame:
     return rows.withWatermark("event_time", lateness).where("event_time IS NULL")
 
 
-STATE = "pending_ns long, pending_seq long, held_ns array<long>, held_seq array<long>, held_kind array<string>"
+STATE = "pending array<long>, held_ns array<long>, held_seq array<long>, held_kind array<string>"
 
 
 def correlated(packets: DataFrame | list[tuple[DataFrame, str]], timeout_ns: int, lateness: str | None = None, key: list[str] | None = None) -> DataFrame:
@@ -90,8 +91,8 @@ def correlated(packets: DataFrame | list[tuple[DataFrame, str]], timeout_ns: int
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         now = state.getCurrentWatermarkMs()
-        ns, seq, *held = state.get if state.exists else (None, None, [], [], [])
-        pending, waiting, out = None if ns is None else (ns, seq), list(zip(*held, strict=True)), []
+        first, *held = state.get if state.exists else ([], [], [], [])
+        pending, waiting, out = tuple(first) or None, list(zip(*held, strict=True)), []
         if not state.hasTimedOut:
             for b in batches:
                 for row in zip(b["observed_ns"].tolist(), b["seq"].tolist(), b["kind"].tolist(), strict=True):
@@ -109,7 +110,7 @@ def correlated(packets: DataFrame | list[tuple[DataFrame, str]], timeout_ns: int
             pending = None
         timers = [r[0] // MILLI for r in waiting[:1]] + ([(pending[0] + timeout_ns) // MILLI] if pending else [])
         if timers:
-            state.update((*(pending or (None, None)), *([r[k] for r in waiting] for k in range(3))))
+            state.update((list(pending or ()), *([r[k] for r in waiting] for k in range(3))))
             state.setTimeoutTimestamp(max(min(timers), now) + 1)
         elif state.exists:
             state.remove()
@@ -137,7 +138,7 @@ def run_once(spark: SparkSession, folder: str, schema: StructType, timeout_ns: i
     read = lambda name: spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/{name}")
     streams = [(read(name), late) for name, late in (inputs or {"in": lateness}).items()]
     query = (
-        correlated(streams, timeout_ns).writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint")
+        stats.observed(correlated(streams, timeout_ns)).writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint")
         .outputMode("append").trigger(availableNow=True).start()
     )
     query.awaitTermination()
@@ -149,16 +150,21 @@ def pending_left(query: StreamingQuery) -> int:
     return sum(s["numRowsTotal"] for s in (query.lastProgress or {"stateOperators": []})["stateOperators"])
 
 
-def run_available_now(spark: SparkSession, sf_dir: str, timeout_ns: int, arrivals: int = 4) -> DataFrame:
+def run_available_now(spark: SparkSession, sf_dir: str, timeout_ns: int, arrivals: int = 4, seen: list | None = None) -> DataFrame:
     """The wire as a file stream that arrives in ``arrivals`` stretches of time, each correlated by a query that starts
-    again from the checkpoint, and is drained at last. Stretches follow each other in time, so none comes late."""
+    again from the checkpoint, and is drained at last. Stretches follow each other in time, so none comes late.
+    ``seen`` gets the progress of all micro-batches."""
     folder = f"{durable_folder(spark)}/stream-{uuid.uuid4().hex}"
     packets = wire(spark, sf_dir).where("kind <> 'dhcp'")
     first, last = packets.agg(F.min("observed_ns"), F.max("observed_ns")).first()
     edges = [first - 1 + (last - first + 1) * k // arrivals for k in range(arrivals + 1)] if first is not None else []
     for a, b in zip(edges[:-1], edges[1:], strict=True):
         packets.where((F.col("observed_ns") > a) & (F.col("observed_ns") <= b)).write.mode("append").parquet(f"{folder}/in")
-        run_once(spark, folder, packets.schema, timeout_ns, "0 seconds")
+        query = run_once(spark, folder, packets.schema, timeout_ns, "0 seconds")
+        if seen is not None:
+            seen += query.recentProgress
     tick(packets).write.mode("append").parquet(f"{folder}/in")
-    run_once(spark, folder, packets.schema, timeout_ns, "0 seconds")
+    query = run_once(spark, folder, packets.schema, timeout_ns, "0 seconds")
+    if seen is not None:
+        seen += query.recentProgress
     return spark.read.schema(OUT).parquet(f"{folder}/out")
