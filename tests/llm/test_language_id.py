@@ -66,3 +66,12 @@ def test_held_out_accuracy(spark):
     out = language_id.op6_language_id(spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang"), "doc_id")
     rows = out.where("held_out AND lang_pred <> 'und'").collect()
     assert sum(r.lang == r.lang_pred for r in rows) > 0.95 * len(rows)
+
+
+def test_languages_have_a_bound(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, "some words here", f"l{k}") for k in range(4)], "doc_id long, text string, lang string")
+    monkeypatch.setattr(language_id, "MOST_LANGUAGES", 4)
+    assert len(language_id.fitted(docs)[0]) == 4
+    monkeypatch.setattr(language_id, "MOST_LANGUAGES", 3)
+    with pytest.raises(ValueError, match="more than 3 languages"):
+        language_id.fitted(docs)

@@ -13,6 +13,8 @@ from wirelens.llm.common import durable
 
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 16
+#: Languages that the driver and all tasks hold a column of ``BUCKETS`` numbers for: 128 MB at most.
+MOST_LANGUAGES = 256
 SMOOTHING = 0.5
 UNKNOWN = "und"
 #: Texts are counted in slices of about this many characters, so that memory doesn't follow a batch's texts.
@@ -88,9 +90,13 @@ def counted(labelled: DataFrame) -> DataFrame:
 def fitted(labelled: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Languages, log priors and log probabilities (buckets x languages) of the texts of ``labelled``.
 
-    The driver receives languages x buckets counts, however many texts there are.
+    The driver receives languages x buckets counts, however many texts there are; more than ``MOST_LANGUAGES`` languages
+    are an error, as neither the counts nor the matrix that is sent to all tasks would have a bound.
     """
-    rows = durable(counted(labelled), "counts").toPandas()
+    counts_ = durable(counted(labelled), "counts")
+    if counts_.select("lang").distinct().limit(MOST_LANGUAGES + 1).count() > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages: join them to groups first")
+    rows = counts_.toPandas()
     langs = sorted(rows["lang"].unique())
     column = {lang: i for i, lang in enumerate(langs)}
     counts, documents = np.zeros((BUCKETS, len(langs))), np.zeros(len(langs))
@@ -109,6 +115,8 @@ def identify(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     language. The matrix of log probabilities (2^16 buckets x languages) is broadcast; tasks add it up sparsely, over
     the n-grams that a text has.
 
+    At most ``MOST_LANGUAGES`` languages, more are an error.
+
     Cases: a null text or one without a letter is ``und`` with score 0, and so is every text if nothing is learned.
     Ties go to the language that sorts first. Columns named ``lang_pred`` or ``score`` are replaced; the others pass
     unchanged, the language column too, which is no input of a prediction.
