@@ -13,8 +13,8 @@ from wirelens.functions import formats, names, options
 from wirelens.operators import analytics, classify, correlate, delivery, identity, project
 from wirelens.plans import from_events, from_frames, packets
 from wirelens.sources import wire as source
-from wirelens.sources.tables import new_path
-from wirelens.streaming import correlator, stats
+from wirelens.sources.tables import new_path, stored
+from wirelens.streaming import correlator, stats, windows
 
 TIMEOUT = 6 * 3600 * formats.NANO
 SAMPLE = 10
@@ -58,6 +58,25 @@ def _stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(sorted(totals[-1].items()) if totals else [], "metric string, n long")
 
 
+def _windowed(spark: SparkSession, sf_dir: str, of: Callable[[DataFrame], DataFrame], keys: list[str], arrivals: int = 3) -> DataFrame:
+    """The final windows of the transactions as a stream of files by their time, a micro-batch for each."""
+    folder = new_path(spark, "stream")
+    rows = stored(tx(spark, sf_dir).select("seq", "observed_ns", "leg", "outcome", "rtt_ns", "rtt_valid"), "transactions")
+    first, last = rows.agg(F.coalesce(F.min("observed_ns"), F.lit(0)), F.coalesce(F.max("observed_ns"), F.lit(0))).first()
+    for k in range(arrivals):
+        low, high = (first + (last - first + 1) * x // arrivals for x in (k, k + 1))
+        rows.where((F.col("observed_ns") >= low) & (F.col("observed_ns") < high)).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    # files of one stretch come in any order within the run, so nothing may be late before the whole range is
+    windows.kept(of(windows.timed(stream, f"{(last - first) // formats.NANO + 1} seconds")), f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return windows.latest(spark, f"{folder}/out", keys)
+
+
+def _window_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles of each leg, from the merged sketches of all windows."""
+    return windows.quantiles(_windowed(spark, sf_dir, windows.sketches, ["hour", "leg"]), ["leg"], {"p50": 0.5, "p90": 0.9, "p99": 0.99})
+
+
 def _dhcp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project.dhcp_messages(source.wire(spark, sf_dir))
 
@@ -143,6 +162,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "entry_slots": lambda s, d: delivery.slotted(delivery.stream_keys(w(s, d))),
         "entry_by_id": _by_id,
         "stream_stats_lines": _stats,
+        "stream_window_counters": lambda s, d: _windowed(s, d, windows.counters, ["hour", "leg", "outcome"]),
+        "stream_window_quantiles": _window_quantiles,
         **packets.queries(),
         **from_frames.queries(),
         **from_events.queries(),
@@ -298,6 +319,9 @@ def oracle_sql() -> dict[str, str]:
             SELECT seq, key, (crc % 16384)::INT AS slot FROM c""",
         "entry_by_id": f"""{_W}, {_ENTRIES} SELECT stream, entry_id, schema, encoding, payload_kind, seq, observed_ns FROM entries
             WHERE (observed_ns, seq) IN (SELECT min((observed_ns, seq)) FROM entries UNION ALL SELECT max((observed_ns, seq)) FROM entries)""",
+        "stream_window_counters": f"{t} SELECT {_HOUR} AS hour, leg, outcome, count(*) AS n FROM t GROUP BY ALL",
+        "stream_window_quantiles": f"""{t}, v AS (SELECT leg, list_sort(list(rtt_ns)) AS r FROM t WHERE rtt_valid = 1 GROUP BY 1)
+            SELECT leg, len(r)::BIGINT AS n, r[ceil(0.5 * len(r))::BIGINT] AS p50, r[ceil(0.9 * len(r))::BIGINT] AS p90, r[ceil(0.99 * len(r))::BIGINT] AS p99 FROM v""",
         "stream_stats_lines": f"""{t}, n AS (SELECT lower(outcome) AS metric, count(*) AS n FROM t GROUP BY 1 UNION ALL SELECT 'late', 0 UNION ALL SELECT 'rtt_valid', count(*) FILTER (WHERE rtt_valid = 1) FROM t) SELECT metric, n FROM n""",
         **packets.oracle_sql(),
         **from_frames.oracle_sql(),
