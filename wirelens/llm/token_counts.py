@@ -248,8 +248,8 @@ class Counter:
         usual = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not said.get("normalizer")
         if not (plain and usual and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in added)):
             raise ValueError(f"{path} isn't a plain byte-level BPE file")
-        names = {t["content"] for t in added}
-        ranks = {bytes(map(byte_of().__getitem__, token)): i for token, i in model["vocab"].items() if token not in names}
+        names, bytes_ = {t["content"] for t in added}, byte_of()
+        ranks = {bytes(map(bytes_.__getitem__, token)): i for token, i in model["vocab"].items() if token not in names}
         joined = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
         if [model["vocab"][t] for t in joined] != sorted(model["vocab"][t] for t in joined):
             raise ValueError(f"the ids of {path} don't follow its merges")
