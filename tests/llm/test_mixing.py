@@ -57,12 +57,54 @@ def test_five_thousand_sources():
     assert deviation(shares, 1_000_000) < 1
 
 
-def test_weights_that_no_period_holds():
-    with pytest.raises(ValueError):
-        m.whole_weights({"a": 0.123456789, "b": 0.5})
+def test_odd_weights():
     with pytest.raises(ValueError):
         m.whole_weights({"a": 0, "b": 1})
     assert m.whole_weights({}) == {} and m.pfair_schedule({}) == []
+    assert m.whole_weights({"a": 0.1234567, "b": 0.8765433}) == {"a": 1234567, "b": 8765433}
+
+
+@pytest.mark.parametrize(
+    "shares",
+    [
+        {"a": 0.1234567, "b": 0.8765433},
+        {"a": math.pi, "b": math.e, "c": 1 / 3, "d": 1e-7, "e": 12345.678901},
+        {f"s{i}": math.sqrt(i + 1) for i in range(300)},
+    ],
+)
+def test_weights_whose_period_is_too_long(shares):
+    """The planned slots are less than one block from the exact weights at every slot, and hold each block in its window."""
+    slots = m.whole_weights(shares)
+    period = sum(slots.values())
+    assert period > m.MOST_SLOTS
+    plan = m.pfair_schedule(slots, m.MOST_SLOTS)
+    assert [slot for _, _, slot in plan] == list(range(m.MOST_SLOTS))
+    done = Counter()
+    for source, k, slot in plan:
+        n = slots[source]
+        assert k == done[source]
+        done[source] += 1
+        # a source is furthest from its share just before and just after its own blocks
+        assert abs(k * period - n * slot) < period and abs((k + 1) * period - n * (slot + 1)) < period
+    assert all(abs(done[s] * period - n * m.MOST_SLOTS) < period for s, n in slots.items())
+
+
+def test_rows_beyond_the_planned_slots(spark, monkeypatch):
+    """Spans are said again, and a source that has no block in one goes beside the others."""
+    monkeypatch.setattr(m, "MOST_SLOTS", 50)
+    shares = {"a": 0.1234567, "b": 0.8765432, "rare": 0.0000001}
+    docs = spark.createDataFrame([(i, "rare" if i % 100 == 7 else "ab"[i % 2]) for i in range(4000)], "doc_id long, source string")
+    out = m.mix(docs, shares, block=4).collect()
+    assert len(out) == len({r.doc_id for r in out}) == 4000
+    planned = m.pfair_schedule(m.whole_weights(shares), 50)
+    at = {s: [slot for x, _, slot in planned if x == s] for s in shares}
+    used = Counter(x for x, _, _ in planned)
+    assert used["a"] and used["b"] and not used["rare"]
+    for r in out:
+        if used[r.source]:
+            assert r.slot == r.block // used[r.source] * 50 + at[r.source][r.block % used[r.source]]
+        else:
+            assert r.slot == r.block * 10_000_000
 
 
 def test_default_weights():

@@ -9,13 +9,15 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wirelens.llm.common import durable, ranked, same_keys, unused
+from wirelens.llm.common import MOST_GROUPS, durable, ranked, same_keys, unused
 
 #: Default weights are whole numbers of slots of a period of about so many for each source, at least 1024 in all.
 SLOTS_A_SOURCE, LEAST_PERIOD = 64, 1024
-#: Given weights may need a period of so many slots, the most that the driver plans; others are an error.
+#: The most slots that the driver plans: a whole period of the weights, or the first slots of a longer one.
 MOST_SLOTS = 1 << 20
-MOST_SOURCES = MOST_SLOTS // SLOTS_A_SOURCE
+MOST_SOURCES = MOST_GROUPS
+#: Slots between two blocks of the rarest sources, so that slots stay whole numbers of 64 bits.
+MOST_APART = 1 << 40
 #: Rows of a block, the unit that is scheduled.
 BLOCK = 16
 #: The exponent that draws the sources' shares together.
@@ -23,10 +25,9 @@ TEMPERATURE = 0.7
 
 
 def whole_weights(shares: dict[str, float | int | str | Fraction]) -> dict[str, int]:
-    """The given weights as whole numbers in the same proportion, exactly; their sum is the period.
+    """The given weights as whole numbers in the same proportion, exactly; their sum is the period, of any length.
 
-    A float counts as the decimal number that it is written as. Weights of no common measure within ``MOST_SLOTS`` can't
-    be kept to by a period that is planned once, so they are an error, as are weights that aren't positive.
+    A float counts as the decimal number that it is written as. Weights that aren't positive are an error.
     """
     exact = {n: Fraction(str(w)) for n, w in shares.items()}
     if any(w <= 0 for w in exact.values()):
@@ -36,14 +37,11 @@ def whole_weights(shares: dict[str, float | int | str | Fraction]) -> dict[str,
     scale = math.lcm(*(w.denominator for w in exact.values()))
     whole = {n: int(w * scale) for n, w in exact.items()}
     common = math.gcd(*whole.values())
-    slots = {n: w // common for n, w in whole.items()}
-    if sum(slots.values()) > MOST_SLOTS:
-        raise ValueError(f"weights need a period of {sum(slots.values())} slots, more than {MOST_SLOTS}: round them to a common measure")
-    return slots
+    return {n: w // common for n, w in whole.items()}
 
 
-def pfair_schedule(slots: dict[str, int]) -> list[tuple[str, int, int]]:
-    """(source, which of its blocks in a period, slot) for each slot of a period.
+def pfair_schedule(slots: dict[str, int], upto: int | None = None) -> list[tuple[str, int, int]]:
+    """(source, which of its blocks in a period, slot) for each slot of a period, or for its first ``upto`` slots.
 
     Block k (from 0) of a source with weight w, its slots over the period, is released at floor(k / w) and due at
     ceil((k + 1) / w). Each slot goes to the released block with the earliest deadline; ties go to the earlier release,
@@ -55,7 +53,7 @@ def pfair_schedule(slots: dict[str, int]) -> list[tuple[str, int, int]]:
     heapq.heapify(waiting)
     ready: list[tuple[int, int, str, int]] = []
     out = []
-    for slot in range(period):
+    for slot in range(period if upto is None else min(upto, period)):
         while waiting and waiting[0][0] <= slot:
             release, due, source, k = heapq.heappop(waiting)
             heapq.heappush(ready, (due, release, source, k))
@@ -79,15 +77,20 @@ def tempered(counts: dict[str, int], temperature: float = TEMPERATURE) -> dict[s
 def mix(docs: DataFrame, shares: dict[str, float] | None = None, order: list[str | Column] | None = None, block: int = BLOCK) -> DataFrame:
     """``docs`` with ``block`` (of its source, from 0), ``place`` (in the block) and ``slot`` (of the mixture).
 
-    ``shares`` names the target weight of each source, a table that the caller keeps small; by default the sources'
-    tempered row counts. Sources that it doesn't name get the least weight. In its source a row's rank is that of a
-    hash of ``order`` (doc_id by default); ``block`` rows make a block, and a source's k-th block gets the slot of the
-    Pfair schedule: whole periods passed, plus the place in the period. So the order needs no sequential pass over the
-    data, and a hot source is ranked in many tasks. In any prefix of slots, however long, each source that isn't used up
-    is less than one block from its share by exactly the given weights. All rows are kept: once a source is used up, the
-    others go on in their slots.
+    ``shares`` names the target weight of each source, any positive numbers in a table that the caller keeps small; by
+    default the sources' tempered row counts. Sources that it doesn't name get the least weight. In its source a row's rank
+    is that of a hash of ``order`` (doc_id by default); ``block`` rows make a block, and a source's k-th block gets the
+    slot of the Pfair schedule. So the order needs no sequential pass over the data, and a hot source is ranked in many
+    tasks. All rows are kept: once a source is used up, the others go on in their slots.
 
-    The driver holds the sources and a period of at most ``MOST_SLOTS`` slots; more of either is an error.
+    The driver plans a period of the weights, and a block's slot is whole periods passed plus the place in one: in any
+    prefix of slots, however long, each source that isn't used up is less than one block from its share by exactly the
+    given weights. Of a period above ``MOST_SLOTS`` the first ``MOST_SLOTS`` slots are planned, by the exact windows, and
+    said again after them: the distance is below one block there and grows by less than one block with each such span, a
+    millionth of its slots. Sources that get no block in a span are so rare that their blocks take no slot of their own:
+    block k begins with the slot k * ceil(1 / w), beside the block that has it.
+
+    The driver holds the sources, at most ``MOST_SOURCES``, more are an error, and the planned slots.
 
     ``docs`` should be a stored table, as it is read several times. Cases: a null source is mixed as the source ''.
     Repeated rows have a place each. Columns named block, place or slot are replaced; other names are free. No rows give
@@ -95,7 +98,7 @@ def mix(docs: DataFrame, shares: dict[str, float] | None = None, order: list[str
     """
     spark: SparkSession = docs.sparkSession
     docs = docs.drop("block", "place", "slot")
-    source, rank, many, slots_of = unused([*docs.columns, "block", "place", "slot"], "source", "rank", "many", "slots")
+    source, rank, many, slots_of, apart = unused([*docs.columns, "block", "place", "slot"], "source", "rank", "many", "slots", "apart")
     named = docs.withColumn(source, F.coalesce("source", F.lit("")))
     counts = {r[0]: r[1] for r in named.groupBy(source).count().limit(MOST_SOURCES + 1).collect()}
     if len(counts) > MOST_SOURCES:
@@ -105,14 +108,18 @@ def mix(docs: DataFrame, shares: dict[str, float] | None = None, order: list[str
     else:
         least = min(shares.values(), default=1)
         slots = whole_weights({s: shares.get(s, least) for s in {*counts, *shares}})
-    total, at = sum(slots.values()), {s: [] for s in slots}
-    for name, _, slot in pfair_schedule(slots):
+    period, at = sum(slots.values()), {s: [] for s in slots}
+    span = min(period, MOST_SLOTS)
+    for name, _, slot in pfair_schedule(slots, span):
         at[name].append(slot)
-    schedule = spark.createDataFrame([(s, n, at[s]) for s, n in sorted(slots.items())], f"{source} string, {many} long, {slots_of} array<long>")
+    rows = [(s, len(at[s]), at[s], min(-(-period // n), MOST_APART)) for s, n in sorted(slots.items())]
+    schedule = spark.createDataFrame(rows, f"{source} string, {many} long, {slots_of} array<long>, {apart} long")
     numbered = ranked(named, source, order or ["doc_id"], rank).withColumn("block", F.floor(F.col(rank) / block))
     # one row for each source, MOST_SLOTS numbers in all
     placed = same_keys(numbered, F.broadcast(schedule), [source])
-    slot = F.floor(F.col("block") / F.col(many)) * total + F.get(slots_of, F.pmod("block", F.col(many)).cast("int"))
+    k, each = F.col("block"), F.col(many)
+    planned = F.floor(k / each) * span + F.get(slots_of, F.pmod(k, each).cast("int"))
+    slot = F.when(each > 0, planned).otherwise(k * F.col(apart))
     return placed.select(*docs.columns, "block", F.pmod(rank, F.lit(block)).alias("place"), slot.alias("slot"))
 
 
