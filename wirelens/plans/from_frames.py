@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wirelens.functions import formats, names
-from wirelens.operators import correlate, events, project
+from wirelens.operators import correlate, events, payload, project
 from wirelens.plans import packets
 from wirelens.sources import frames, pcap_source
 from wirelens.sources import wire as source
@@ -53,6 +53,15 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.collector_lines(transactions(spark, sf_dir), SOURCETYPES)
 
 
+def _payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of events that went through a stream as bytes."""
+    found = transactions(spark, sf_dir).select("event")
+    kind = found.schema["event"].dataType
+    entries = stored(payload.entries(stored(found, "events")), "entries")
+    opened = payload.opened(entries, kind).where("error IS NULL").select("event")
+    return events.collector_lines(stored(opened, "opened"), SOURCETYPES)
+
+
 def _dhcp_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(frames.dhcp_frames(project.dhcp_messages(source.wire(spark, sf_dir))), "capture")
 
@@ -80,7 +89,7 @@ def _counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"capture_roundtrip": _captured, "wide_row_dns_from_frames": _wide, "hec_json_events": _lines, "wide_row_dhcp_from_frames": _dhcp_wide, "wide_row_dhcp_fixtures": _dhcp_fixtures, "dhcp_counters": _counters}
+    return {"capture_roundtrip": _captured, "wide_row_dns_from_frames": _wide, "hec_json_events": _lines, "event_payload_roundtrip": _payload, "wide_row_dhcp_from_frames": _dhcp_wide, "wide_row_dhcp_fixtures": _dhcp_fixtures, "dhcp_counters": _counters}
 
 
 def _hex(value: str, digits: int) -> str:
@@ -230,6 +239,7 @@ def oracle_sql() -> dict[str, str]:
         "capture_roundtrip": f"{_TX} SELECT observed_ns, octet_length(frame)::INT AS packet_len, octet_length(frame)::INT AS captured_len, 0 AS flags, sha256(frame) AS frame_sha256, NULL::VARCHAR AS error FROM k",
         "wide_row_dns_from_frames": f"{_TX} {_WIDE}",
         "hec_json_events": _LINES,
+        "event_payload_roundtrip": _LINES,
         "wide_row_dhcp_from_frames": _dhcp_sql(),
         "wide_row_dhcp_fixtures": f"SELECT * FROM (VALUES {values}) AS v(fixture, source_type, event_type, src_ip, message_type, client_key, requested_address, assigned_address, is_relayed)",
         "dhcp_counters": "SELECT * FROM (VALUES ('dhcpv4', 10, 0, 2), ('dhcpv6', 7, 0, 3), ('', 0, 10, 0)) AS v(family, formatted, skipped, warnings)",
