@@ -6,7 +6,7 @@ to one server about one name, so that user_id stands for the whole transaction k
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LOCAL = ["192.0.2.53"]
@@ -14,6 +14,28 @@ BACKEND = ["192.0.2.10"]
 SERVICE_ROLES = [(0, "192.0.2.53", "resolver"), (1, "192.0.2.10", "authoritative"), (2, "192.0.2.53", "shadowed")]
 
 
+def _two(number: Column) -> Column:
+    """Hex of at least two digits, as ``printf`` has it."""
+    digits = F.lower(F.hex(number))
+    return F.lpad(digits, F.greatest(F.length(digits), F.lit(2)), "0")
+
+
+def client_text(ip: Column) -> Column:
+    """The wire's text of an address in a packet. Clients are numbered through from 198.18.0.1; the wire writes all but the last octet's
+    share of the number as third octet, also beyond 255, which in a packet is carried into the second."""
+    octets = F.split(ip, r"\.")
+    third = (octets[1].cast("int") - 18) * 256 + octets[2].cast("int")
+    return F.when(ip.startswith("198.") & (octets[1].cast("int") > 18), F.concat(F.lit("198.18."), third.cast("string"), F.lit("."), octets[3])).otherwise(ip)
+
+
+def mac_text(mac: Column) -> Column:
+    """The wire's text of a client's MAC address in a packet, as :func:`client_text`: all but the last byte's share of its number is
+    the fifth part."""
+    parts = F.split(mac, ":")
+    fifth = (F.conv(parts[3], 16, 10).cast("int") - 16) * 256 + F.conv(parts[4], 16, 10).cast("int")
+    return F.when(mac.startswith("02:00:5e:") & (parts[3] > "10"), F.concat(F.lit("02:00:5e:10:"), _two(fifth), F.lit(":"), parts[5])).otherwise(mac)
+
+
 def wire(spark: SparkSession, sf_dir: str) -> DataFrame:
     user, event = F.col("user_id"), F.col("event_id")
     kind = F.when(F.col("event_type").isin("click", "view"), "query").when(F.col("event_type").isin("purchase", "error"), "response").otherwise("dhcp")
@@ -35,7 +57,7 @@ def wire(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(1).alias("qclass"),
         F.when(F.col("event_type") == "purchase", F.lit(0)).when(F.col("event_type") == "error", (event % 3 + 1).cast("int")).alias("rcode"),
         F.when(kind == "dhcp", F.element_at(F.array(*map(F.lit, [1, 2, 3, 5])), (event % 4 + 1).cast("int"))).alias("message"),
-        F.concat(F.lit("02:00:5e:10:"), F.lower(F.lpad(F.hex(F.expr("user_id div 256")), 2, "0")), F.lit(":"), F.lower(F.lpad(F.hex(user % 256), 2, "0"))).alias("mac"),
+        F.concat(F.lit("02:00:5e:10:"), _two(F.expr("user_id div 256")), F.lit(":"), _two(user % 256)).alias("mac"),
     )
 
 
