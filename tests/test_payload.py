@@ -174,3 +174,10 @@ def test_entries_that_cannot_be_opened(spark, events):
     assert [rows[n].error for n in (1, 2, 3, 4)] == ["encoding", "schema", "bytes", None]
     assert [rows[n].event is None for n in (1, 2, 3, 4)] == [True, True, True, False]
     assert p.opened(p.entries(events.where("false")), kind).count() == 0
+
+
+def test_entries_are_opened_in_one_pass(spark, events):
+    """No fold over bytes, which took milliseconds an event, and one call of Python for each entry."""
+    kind = events.schema["event"].dataType
+    plan = p.opened(p.entries(events), kind)._jdf.queryExecution().executedPlan().toString()
+    assert "aggregate(" not in plan and plan.count("ArrowEvalPython") == 2  # the tree and its details

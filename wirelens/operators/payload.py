@@ -1,11 +1,14 @@
-"""Events as bytes and back: fields of a number, a kind and a value, as protocol buffers have them on the wire. All native."""
+"""Events as bytes and back: fields of a number, a kind and a value, as protocol buffers have them on the wire."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wirelens.functions.arrow import by_value
 from wirelens.operators import delivery
 from wirelens.operators.events import LARGEST, LEG_NAMES
 from wirelens.sources.tables import stored
@@ -43,65 +46,82 @@ EVENT = {
         "client_ip": 9, "client_port": 10, "server_ip": 11, "service_role": 12, "parser_warnings": (20, {"code": 1, "field_path": 3}),
     }),
 }
-#: One number as hex digits: bytes of 128 or more, then one below.
-NUMBER = "(?:[89A-F][0-9A-F])*[0-7][0-9A-F]"
-
-
-# Expressions are SQL text, as one message has some hundreds of parts and each call into the JVM takes its time.
-
-
-def _varint(v: str) -> str:
-    """Hex digits of a long in groups of 7 bits, the lowest first; negative ones take ten bytes."""
-    last = f"int(floor((length(bin({v})) + 6) / 7)) - 1"
-    several = f"array_join(transform(sequence(0, {last}), i -> lpad(hex((shiftrightunsigned({v}, i * 7) & 127) + if(i < {last}, 128, 0)), 2, '0')), '')"
-    return f"if({v} BETWEEN 0 AND 127, lpad(hex({v}), 2, '0'), {several})"
-
-
-def _tag(number: int, kind: int) -> str:
-    value, out = number << 3 | kind, ""
-    while value > 127:
-        out, value = out + f"{value & 127 | 128:02X}", value >> 7
-    return out + f"{value:02X}"
-
-
-def _parts(kind: T.StructType, numbers: dict) -> list[tuple[str, T.DataType, int, dict]]:
-    """A struct's fields in the order of their numbers."""
-    out = [(f.name, f.dataType, *(numbers[f.name] if isinstance(numbers[f.name], tuple) else (numbers[f.name], {}))) for f in kind.fields]
-    return sorted(out, key=lambda part: part[2])
-
-
-def _item(number: int, value: str = "", digits: str = "") -> str:
-    """A field to be written, of a number or of bytes in hex digits; nothing where it is null."""
-    return f"named_struct('tag', '{_tag(number, DELIMITED if digits else VARINT)}', 'value', cast({value or 'null'} AS bigint), 'digits', cast({digits or 'null'} AS string))"
-
-
-def _items(v: str, kind: T.DataType, number: int, inner: dict, depth: int) -> str:
-    """The fields to be written for a value, as an array: several for an array of structs."""
-    x = f"x{depth}"
-    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
-        return f"coalesce(transform({v}, {x} -> {_item(number, digits=_digits(x, kind.elementType, inner, depth + 1))}), cast(array() AS array<struct<tag:string,value:bigint,digits:string>>))"
-    if isinstance(kind, T.StructType):
-        return f"array({_item(number, digits=f'if({v} IS NULL, null, {_digits(v, kind, inner, depth)})')})"
-    if isinstance(kind, T.ArrayType):
-        joined = f"array_join(transform(transform({v}, {x} -> cast({x} AS bigint)), {x} -> {_varint(x)}), '')"
-        return f"array({_item(number, digits=f'if(size({v}) > 0, {joined}, null)')})"
-    if isinstance(kind, (T.StringType, T.BinaryType)) and not inner:
-        return f"array({_item(number, digits=f'if(octet_length({v}) > 0, hex({v}), null)')})"
-    plain = _case(v, {f"'{name}'": n for name, n in inner.items()}) if inner else f"nullif(cast({v} AS bigint), 0)"
-    return f"array({_item(number, plain)})"
-
 
-def _case(v: str, values: dict) -> str:
-    return f"CASE {v} " + " ".join(f"WHEN {a} THEN {b}" for a, b in values.items()) + " END"
 
-
-def _digits(v: str, kind: T.StructType, numbers: dict, depth: int = 0) -> str:
-    """A struct's fields as hex digits."""
-    items = ", ".join(_items(f"{v}.`{name}`", k, number, inner, depth) for name, k, number, inner in _parts(kind, numbers))
-    f = f"f{depth}"
-    size = f"coalesce({f}.value, cast(shiftright(length({f}.digits), 1) AS bigint))"
-    # an item without number and digits is null, which the join leaves out
-    return f"array_join(transform(concat({items}), {f} -> concat({f}.tag, {_varint(size)}, coalesce({f}.digits, ''))), '')"
+def _parts(kind: T.StructType, numbers: dict) -> list[tuple[str, str, int, dict | list]]:
+    """(name, how it is written, number, what is inside) of a struct's fields, in their order."""
+    out = []
+    for f in kind.fields:
+        number, inner = numbers[f.name] if isinstance(numbers[f.name], tuple) else (numbers[f.name], {})
+        many = isinstance(f.dataType, T.ArrayType)
+        one = f.dataType.elementType if many else f.dataType
+        if isinstance(one, T.StructType):
+            out.append((f.name, "messages" if many else "message", number, _parts(one, inner)))
+        elif many:
+            out.append((f.name, "numbers", number, {"bits": _bits(one)}))
+        elif inner:
+            out.append((f.name, "named", number, inner))
+        elif isinstance(one, T.BooleanType):
+            out.append((f.name, "flag", number, {}))
+        elif isinstance(one, (T.StringType, T.BinaryType)):
+            out.append((f.name, "text" if isinstance(one, T.StringType) else "bytes", number, {}))
+        else:
+            out.append((f.name, "number", number, {"bits": _bits(one)}))
+    return out
+
+
+def _bits(kind: T.DataType) -> int:
+    return {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32}.get(type(kind), 64)
+
+
+def _varint(v: int) -> bytes:
+    """Groups of 7 bits, the lowest first; negative numbers take ten bytes."""
+    if 0 <= v < 128:
+        return bytes((v,))
+    v, out = v & 0xFFFFFFFFFFFFFFFF, bytearray()
+    while v > 127:
+        out.append(v & 127 | 128)
+        v >>= 7
+    out.append(v)
+    return bytes(out)
+
+
+def _plan(parts: list) -> list:
+    """The parts in the order of their numbers, with the bytes that begin each."""
+    kinds = {"number": VARINT, "flag": VARINT, "named": VARINT}
+    out = [(name, how, _varint(number << 3 | kinds.get(how, DELIMITED)), _plan(inner) if how.startswith("message") else inner, number) for name, how, number, inner in parts]
+    return sorted(out, key=lambda part: part[4])
+
+
+def _written(value: dict, plan: list) -> bytes:
+    out = []
+    for name, how, tag, inner, _ in plan:
+        v = value[name]
+        if v is None:
+            continue
+        if how == "number" or how == "flag":
+            if v:
+                out += (tag, _varint(int(v)))
+            continue
+        if how == "named":
+            if v in inner:
+                out += (tag, _varint(inner[v]))
+            continue
+        if how == "messages":
+            for x in v:
+                raw = _written(x, inner) if x is not None else b""
+                out += (tag, _varint(len(raw)), raw)
+            continue
+        if how == "message":
+            raw = _written(v, inner)
+        elif not len(v):
+            continue
+        elif how == "numbers":
+            raw = b"".join(_varint(x) for x in v if x is not None)
+        else:
+            raw = v.encode() if how == "text" else v
+        out += (tag, _varint(len(raw)), raw)
+    return b"".join(out)
 
 
 def encoded(column: str, kind: T.StructType, numbers: dict = EVENT) -> Column:
@@ -110,74 +130,101 @@ def encoded(column: str, kind: T.StructType, numbers: dict = EVENT) -> Column:
     Fields that are null or have their kind's default (0, false, empty) take no byte; a named value without a number counts
     as such. Numbers of an array are packed. A field without a number is a KeyError.
     """
-    return F.expr(f"if({column} IS NULL, null, unhex({_digits(column, kind, numbers)}))")
-
-
-def _number_of(d: str) -> str:
-    """The number that hex digits of groups of 7 bits stand for; null for none; bits beyond 64 are dropped."""
-    byte = lambda i: f"(cast(conv(substring({d}, {i} * 2 + 1, 2), 16, 10) AS bigint) & 127)"
-    many = f"aggregate(sequence(0, shiftright(length({d}), 1) - 1), 0L, (n, i) -> n | shiftleft({byte('i')}, i * 7))"
-    return f"CASE WHEN length({d}) = 2 THEN {byte('0')} WHEN length({d}) > 2 THEN {many} END"
-
-
-def _walked(raw: str) -> str:
-    keep = ("at", "phase", "first", "second", "tag", "value", "numbers", "found")
-    state = lambda **new: "named_struct(" + ", ".join(f"'{c}', {new.get(c, f's.{c}')}" for c in keep) + ")"
-    size, ahead = f"octet_length({raw})", f"hex(substring({raw}, s.at + 1, 20))"
-    start = state(
-        at="0", phase="0", first="''", second="''", tag="cast(null AS bigint)", value="cast(null AS bigint)", numbers="cast(array() AS array<bigint>)",
-        found="cast(array() AS array<struct<kind:int,value:bigint,at:int,size:int>>)",
-    )
-    digits = state(phase="1", first=f"regexp_extract({ahead}, '^({NUMBER})({NUMBER})?', 1)", second=f"regexp_extract({ahead}, '^({NUMBER})({NUMBER})?', 2)")
-    numbers = state(phase="2", tag=_number_of("s.first"), value=_number_of("s.second"))
-    code, n = "cast(s.tag & 7 AS int)", "shiftright(length(s.second), 1)"
-    begin = f"(s.at + shiftright(length(s.first), 1) + if(s.tag & 7 = {DELIMITED}, {n}, 0))"
-    length = f"(CASE {code} WHEN {VARINT} THEN cast(nullif({n}, 0) AS bigint) WHEN {DELIMITED} THEN s.value WHEN {FIXED64} THEN 8L WHEN {FIXED32} THEN 4L END)"
-    fine = f"coalesce(s.tag > 7 AND {length} >= 0 AND {length} <= {size} - {begin}, false)"
-    field = f"named_struct('kind', {code}, 'value', s.value, 'at', {begin}, 'size', cast({length} AS int))"
-    read = state(at=f"cast({begin} + {length} AS int)", phase="0", numbers="concat(array(shiftright(s.tag, 3)), s.numbers)", found=f"concat(array({field}), s.found)")
-    step = f"CASE WHEN s.phase = 3 OR s.at >= {size} THEN s WHEN s.phase = 0 THEN {digits} WHEN s.phase = 1 THEN {numbers} WHEN {fine} THEN {read} ELSE {state(phase='3')} END"
-    return f"aggregate(sequence(0, shiftright({size} * 3, 1) + 2), {start}, (s, nth) -> {step})"
+    plan = _plan(_parts(kind, numbers))
+    return by_value(lambda v: None if v is None else _written(v, plan), T.BinaryType())(F.col(column))
+
+
+def _number_at(raw: bytes, at: int) -> tuple[int, int]:
+    """An unsigned number and the place behind it, -1 if it doesn't end within ten bytes; bits beyond 64 are dropped."""
+    value = shift = 0
+    for i in range(at, min(at + 10, len(raw))):
+        value |= (raw[i] & 127) << shift
+        if raw[i] < 128:
+            return value & 0xFFFFFFFFFFFFFFFF, i + 1
+        shift += 7
+    return 0, -1
+
+
+def _signed(v: int, bits: int = 64) -> int:
+    v &= (1 << bits) - 1
+    return v - (1 << bits) if v >> bits - 1 else v
+
+
+def fields(raw: bytes) -> tuple[dict[int, list[tuple[int, int | bytes]]], int]:
+    """By number the (kind, number or bytes) of a message's fields in order, and how far it could be read: its size if it is
+    well-formed."""
+    out: dict[int, list] = {}
+    at, size = 0, len(raw)
+    while at < size:
+        tag, pos = _number_at(raw, at)
+        kind = tag & 7
+        if pos < 0 or tag < 8 or tag >> 63:
+            break
+        if kind in (VARINT, DELIMITED):
+            value, pos = _number_at(raw, pos)
+            if pos < 0:
+                break
+            end = pos + (value if kind == DELIMITED else 0)
+        else:
+            value, end = 0, pos + {FIXED64: 8, FIXED32: 4}.get(kind, size)
+        if end > size:
+            break
+        out.setdefault(tag >> 3, []).append((kind, value if kind == VARINT else raw[pos:end]))
+        at = end
+    return out, at
+
+
+def _numbers_in(raw: bytes) -> list[int]:
+    out, at = [], 0
+    while at < len(raw):
+        value, at = _number_at(raw, at)
+        if at < 0:
+            break
+        out.append(value)
+    return out
+
+
+def _read(raw: bytes, parts: list) -> tuple[dict, int]:
+    """A message as a struct's values, and how far it could be read."""
+    found, at = fields(raw)
+    value = {}
+    for name, how, number, inner in parts:
+        mine = found.get(number, ())
+        if how == "messages":
+            value[name] = [_read(x, inner)[0] for k, x in mine if k == DELIMITED]
+            continue
+        if how == "numbers":
+            packed = [n for k, x in mine if k == DELIMITED for n in _numbers_in(x)]
+            value[name] = [_signed(n, inner["bits"]) for n in packed + [x for k, x in mine if k == VARINT]]
+            continue
+        kind, last = mine[-1] if mine else (None, None)
+        if how in ("number", "flag", "named"):
+            n = last if kind == VARINT else 0
+            value[name] = _signed(n, inner["bits"]) if how == "number" else n != 0 if how == "flag" else inner.get(n)
+            continue
+        last = last if kind == DELIMITED else None
+        if how == "message":
+            value[name] = None if last is None else _read(last, inner)[0]
+        else:
+            value[name] = (last or b"").decode("utf-8", "replace") if how == "text" else last or b""
+    return value, at
+
+
+def _by_number(parts: list) -> list:
+    """The parts with the names of named values by their numbers."""
+    return [(name, how, number, _by_number(inner) if how.startswith("message") else {n: text for text, n in inner.items()} if how == "named" else inner) for name, how, number, inner in parts]
 
 
 def walked(raw: str) -> Column:
-    """The fields of the message in a column: ``at``, how far it could be read, which is its size if it is well-formed; ``numbers``
-    of its fields, the last first, and for each in ``found`` its kind, value (of a number) and the place and size of its bytes.
-
-    A fold, three steps a field: digits of the two numbers that may begin it, these numbers, the field. A field takes two
-    bytes at least, which bounds the steps.
-    """
-    return F.expr(_walked(raw))
-
-
-def _last(walk: str, number: int, kind: int, part: str) -> str:
-    """A part of the last field of a number, null if it is of another kind or isn't there."""
-    found = f"get({walk}.found, cast(array_position({walk}.numbers, {number}L) - 1 AS int))"
-    return f"if({found}.kind = {kind}, {found}.{part}, null)"
-
-
-def _bytes_of(raw: str, walk: str, number: int) -> str:
-    return f"substring({raw}, {_last(walk, number, DELIMITED, 'at')} + 1, {_last(walk, number, DELIMITED, 'size')})"
-
-
-def _each(walk: str, number: int, kind: int, body: str) -> str:
-    """``body`` for each field of a number, as ``f``, in order."""
-    zipped = f"reverse(zip_with({walk}.numbers, {walk}.found, (n, f) -> if(n = {number}, f, null)))"
-    return f"transform(filter({zipped}, f -> f.kind = {kind}), f -> {body})"
+    """``at``: how far the message in a column could be read, which is its size if it is well-formed."""
+    return by_value(lambda b: None if b is None else {"at": fields(b)[1]}, "at int")(F.expr(raw))
 
 
-def _plain(raw: str, walk: str, kind: T.DataType, number: int, inner: dict) -> str:
-    """A value that is no struct."""
-    name = kind.simpleString()
-    if isinstance(kind, T.ArrayType):
-        packed = _each(walk, number, DELIMITED, f"transform(regexp_extract_all(hex(substring({raw}, f.at + 1, f.size)), '{NUMBER}', 0), d -> {_number_of('d')})")
-        return f"cast(concat(flatten({packed}), {_each(walk, number, VARINT, 'f.value')}) AS {name})"
-    if isinstance(kind, (T.StringType, T.BinaryType)) and not inner:
-        return f"cast(coalesce({_bytes_of(raw, walk, number)}, X'') AS {name})"
-    value = f"coalesce({_last(walk, number, VARINT, 'value')}, 0L)"
-    if inner:
-        return _case(value, {f"{n}L": f"'{text}'" for text, n in inner.items()})
-    return f"{value} <> 0" if isinstance(kind, T.BooleanType) else f"cast({value} AS {name})"
+def _decoded(kind: T.StructType, numbers: dict) -> Callable[[Column], Column]:
+    """Bytes to (at, value): how far they could be read, and what was read."""
+    parts = _by_number(_parts(kind, numbers))
+    one = lambda b: None if b is None else dict(zip(("value", "at"), _read(b, parts), strict=True))
+    return by_value(one, T.StructType().add("at", "integer").add("value", kind))
 
 
 def decode(rows: DataFrame, payload: str, kind: T.StructType, to: str, numbers: dict = EVENT) -> DataFrame:
@@ -185,48 +232,9 @@ def decode(rows: DataFrame, payload: str, kind: T.StructType, to: str, numbers:
 
     Fields come in any order; of one that comes again the last counts; numbers that the type doesn't have, and values of
     another kind than its, are passed over. What isn't there has the default of its kind: 0, false, empty, and null for
-    structs and named values. Of malformed bytes the fields before the fault are read. A level of messages is one
-    projection, so each message is walked once. Structs in an array hold no others.
+    structs and named values. Of malformed bytes the fields before the fault are read. All levels are read in one pass.
     """
-    # path: column of bytes, column of its walk, type, numbers, whether it is an array of messages
-    nodes, made = {}, rows
-    level = {(): (f"`{payload}`", kind, numbers, False)}
-    while level:
-        below, walks, bytes_of = {}, {}, {}
-        for path, (raw, k, known, several) in level.items():
-            walk = _unused(made.columns, len(nodes))
-            walks[walk] = F.expr(f"transform({raw}, b -> {_walked('b')})") if several else walked(raw)
-            nodes[path] = (raw, walk, k, known, several)
-            for name, kind_, number, inner in _parts(k, known):
-                many = isinstance(kind_, T.ArrayType) and isinstance(kind_.elementType, T.StructType)
-                if not many and not isinstance(kind_, T.StructType):
-                    continue
-                if several:
-                    raise NotImplementedError(f"structs in the structs of an array: {name}")
-                column = f"{walk}_{number}"
-                bytes_of[column] = F.expr(_each(walk, number, DELIMITED, f"substring({raw}, f.at + 1, f.size)") if many else _bytes_of(raw, walk, number))
-                below[(*path, name)] = (column, kind_.elementType if many else kind_, inner, many)
-        made = made.withColumns(walks)
-        made = made.withColumns(bytes_of) if bytes_of else made
-        level = below
-
-    def whole(path: tuple[str, ...]) -> str:
-        raw, walk, k, known, several = nodes[path]
-        parts = {name: (kind_, number, inner) for name, kind_, number, inner in _parts(k, known)}
-        if several:
-            one = ", ".join(f"'{f.name}', {_plain('r', 'w', *parts[f.name])}" for f in k.fields)
-            return f"zip_with({raw}, {walk}, (r, w) -> named_struct({one}))"
-        values = ", ".join(f"'{f.name}', " + (whole((*path, f.name)) if (*path, f.name) in nodes else _plain(raw, walk, *parts[f.name])) for f in k.fields)
-        return f"if({raw} IS NULL, null, named_struct({values}))"
-
-    return made.select(*[c for c in rows.columns if c != to], F.expr(whole(())).alias(to))
-
-
-def _unused(columns: list[str], n: int) -> str:
-    name = f"_m{n}_"
-    while any(c.lower().startswith(name) for c in columns):
-        name += "x_"
-    return name
+    return rows.select(*[c for c in rows.columns if c != to], _decoded(kind, numbers)(F.col(payload))["value"].alias(to))
 
 
 def entries(events: DataFrame, largest: int = LARGEST) -> DataFrame:
@@ -256,8 +264,9 @@ def entries(events: DataFrame, largest: int = LARGEST) -> DataFrame:
 
 def opened(rows: DataFrame, kind: T.StructType) -> DataFrame:
     """``rows`` of entries with ``event``, decoded as ``kind``, and ``error``: why it can't be (its encoding, schema or kind, or
-    bytes that aren't well-formed)."""
-    whole = rows.withColumn("_at", walked("payload")["at"])
-    cut = F.when(F.coalesce(F.col("_at") < F.octet_length("payload"), F.lit(True)), "bytes")
-    checked = whole.withColumn("error", F.coalesce(delivery.rejection(), cut)).withColumn("_fine", F.when(F.col("error").isNull(), F.col("payload")))
-    return decode(checked, "_fine", kind, "event").drop("_at", "_fine")
+    bytes that aren't well-formed). To be stored before ``error`` is asked about, as a condition on it would be moved below and
+    decode twice."""
+    whole = rows.withColumn("_read", _decoded(kind, EVENT)(F.col("payload")))
+    cut = F.when(F.coalesce(F.col("_read.at") < F.octet_length("payload"), F.lit(True)), "bytes")
+    checked = whole.withColumn("error", F.coalesce(delivery.rejection(), cut))
+    return checked.withColumn("event", F.when(F.col("error").isNull(), F.col("_read.value"))).drop("_read")

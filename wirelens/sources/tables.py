@@ -38,3 +38,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = new_path(spark, label)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` over all cores: for rows that come from few row groups and then take long to work on."""
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
