@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wirelens.sources.frames import MAC_A, MAC_B
+from wirelens.sources.tables import dealt
 
 MASK, ROUTER = "FFFFFF00", "C0000201"
 #: Routes of a message whose classless routes don't fit one option.
@@ -52,8 +53,9 @@ def udp6(src: Column, sport: Column, dst: Column, dport: Column, payload: Column
 
 
 def rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(seq, user, observed_ns, mac in hex) of every event."""
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    """(seq, user, observed_ns, mac in hex) of every event, dealt out to all cores, as frames and what reads them take far longer than
+    the table, whose row groups may be few."""
+    return dealt(spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "user_id", "ts")).select(
         F.col("event_id").alias("seq"), F.col("user_id").alias("user"), (F.unix_micros(F.col("ts").cast("timestamp")) * 1000).alias("observed_ns"),
         F.concat(F.lit("02005E10"), hexed(F.expr("user_id % 65536"), 4)).alias("mac"),
     )
@@ -69,8 +71,8 @@ def dhcp4(events: DataFrame) -> DataFrame:
     overload = seq % 6 == 0
     mask, host = option(1, MASK), option(12, text(F.concat(F.lit("host"), user.cast("string"))))
     route = lambda i: F.concat(F.lit("180A00"), hexed(i, 2), F.lit(ROUTER))
-    long_ = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(MANY_ROUTES - 1)), lambda i: route(i)), "")
-    routes = F.when(seq % 4 == 0, F.concat(option(121, F.substring(long_, 1, 510)), option(121, F.substring(long_, 511, 8 * 2 * MANY_ROUTES - 510)))).otherwise(option(121, route((seq % 250).cast("int"))))
+    long_ = "".join(f"180A00{i:02X}{ROUTER}" for i in range(MANY_ROUTES))
+    routes = F.when(seq % 4 == 0, F.concat(option(121, long_[:510]), option(121, long_[510:]))).otherwise(option(121, route((seq % 250).cast("int"))))
     fqdn = F.when(seq % 2 == 0, F.concat(F.lit("040000"), name(F.concat(F.lit("c"), user.cast("string"), F.lit(".example.com"))))).otherwise(F.concat(F.lit("010203"), text(F.concat(F.lit("pc"), user.cast("string")))))
     vendor = F.concat(option(1, named("ab", 10)), option(2, F.concat(F.lit("00"), hexed(seq % 256, 2))), when(seq % 11 == 0, F.lit("030578")))
     relay = F.concat(option(1, text(F.concat(F.lit("eth"), (user % 48).cast("string")))), option(2, F.concat(F.lit("0001"), mac)), option(6, named("sub", 100)), when(seq % 17 == 0, F.lit("0A")))
