@@ -48,3 +48,14 @@ def test_merged_sketches_are_near_the_exact_quantiles(spark):
     assert got.n == n
     for rank, value in ((0.5, got.p50), (0.99, got.p99)):
         assert abs(bisect.bisect_right(exact, value) / n - rank) < 0.002
+
+
+def test_exact_quantiles_from_sketches_that_are_not(spark):
+    n = 30_000
+    values = spark.range(n).select(F.pmod(F.xxhash64("id"), F.lit(1_000_003)).alias("rtt_ns"), (F.col("id") % 50).alias("hour"), F.lit("a").alias("leg"), F.lit(1).alias("rtt_valid"))
+    kept = values.groupBy("hour", "leg").agg(F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_bigint("rtt_ns", 64).alias("sketch"))
+    exact = sorted(r[0] for r in values.select("rtt_ns").collect())
+    want = (n, exact[n // 2 - 1], exact[n * 9 // 10 - 1], exact[n * 99 // 100 - 1])
+    for near in (0.1, 0.0):  # the latter finds nothing between its edges
+        got = windows.exact_quantiles(kept, values, ["leg"], {"p50": 0.5, "p90": 0.9, "p99": 0.99}, 64, near).first()
+        assert (got.n, got.p50, got.p90, got.p99) == want
