@@ -65,3 +65,15 @@ def test_lines_of_a_listener(spark, tmp_path):
     found = [json.loads(x) for x in said]
     assert {k: v for k, v in found[-1]["total"].items() if k != "rtt_valid" and v} == want and sum(want.values()) > 100
     assert {k: sum(x["interval"][k] for x in found) for k in found[-1]["total"]} == found[-1]["total"]
+
+
+def test_lines_of_a_run_with_restarts_from_few_groups(spark):
+    """Totals go on over all starts and are the table's, and a micro-batch has a row of state for a group of clients, not for each."""
+    seen, sf = [], "/root/testdata/sf0.01"
+    found = correlator.run_available_now(spark, sf, 6 * 3600 * 10**9, seen=seen)
+    want = {r.outcome.lower(): r["count"] for r in found.groupBy("outcome").count().collect()}
+    total = [json.loads(line)["total"] for line in stats.lines(seen)][-1]
+    assert {k: v for k, v in total.items() if k != "rtt_valid" and v} == want and sum(want.values()) > 7000
+    rows = max(s["numRowsTotal"] for p in seen for s in p.stateOperators)
+    clients = wire(spark, sf).where("kind <> 'dhcp'").select("user_id").distinct().count()
+    assert 0 < rows <= 64 < clients
