@@ -9,9 +9,11 @@ from wirelens.functions.formats import ipv4_text
 
 
 def number(raw: Column, at: Column | int, size: int) -> Column:
-    """A big-endian number of up to 7 bytes."""
-    part = F.substring(raw, (F.lit(at) if isinstance(at, int) else at) + 1, F.lit(size))
-    return F.when(F.octet_length(part) == size, F.conv(F.hex(part), 16, 10).cast("long"))
+    """A big-endian number of up to 7 bytes. ``at`` is named once: places follow from numbers, and naming each twice would double
+    the work with every one that another depends on."""
+    digits = F.hex(F.substring(raw, (F.lit(at) if isinstance(at, int) else at) + 1, F.lit(size)))
+    # '' where bytes are missing, of which conv makes null
+    return F.conv(digits if size == 1 else F.regexp_extract(digits, f"^.{{{2 * size}}}$", 0), 16, 10).cast("long")
 
 
 def piece(raw: Column, at: Column | int, size: Column | int) -> Column:

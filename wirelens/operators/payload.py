@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from wirelens.functions.arrow import by_value
 from wirelens.operators import delivery
 from wirelens.operators.events import LARGEST, LEG_NAMES
 from wirelens.sources.tables import stored
@@ -93,121 +96,199 @@ def _plan(parts: list) -> list:
     return sorted(out, key=lambda part: part[4])
 
 
-def _written(value: dict, plan: list) -> bytes:
-    out = []
+_BLANK = pa.scalar(b"", pa.binary())
+
+
+def _bytes(offsets: np.ndarray, data: pa.Buffer, kind: pa.DataType | None = None) -> pa.Array:
+    return pa.Array.from_buffers(kind or pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), data])
+
+
+def _ends(lengths: np.ndarray) -> np.ndarray:
+    """Where each of values that lie behind each other begins, and the last one's end."""
+    return np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+
+
+def _varints(v: np.ndarray, tag: bytes, keep: np.ndarray) -> pa.Array:
+    """The tag and a number for each row to keep, nothing for others."""
+    rest, groups, size = np.where(keep, v, np.uint64(0)), [], np.zeros(len(v), np.int64)
+    while not groups or rest.any():
+        size += (rest > 0) | (not groups)
+        groups.append(rest.astype(np.uint8) & 127)
+        rest = rest >> np.uint64(7)
+    cells = np.empty((len(v), len(tag) + len(groups)), np.uint8)
+    cells[:, : len(tag)] = np.frombuffer(tag, np.uint8)
+    for k, group in enumerate(groups):
+        cells[:, len(tag) + k] = group | np.where(size > k + 1, 128, 0).astype(np.uint8)
+    size = np.where(keep, size + len(tag), 0)
+    return _bytes(_ends(size), pa.py_buffer(cells[np.arange(cells.shape[1]) < size[:, None]]))
+
+
+def _by_row(items: pa.Array, counts: np.ndarray) -> pa.Array:
+    """The bytes of each row's items, which lie behind each other, as one."""
+    if not len(items):
+        return _bytes(np.zeros(len(counts) + 1), pa.py_buffer(b""))
+    at = np.frombuffer(items.buffers()[1], np.int32)[items.offset : items.offset + len(items) + 1]
+    return _bytes(at[_ends(counts)], items.buffers()[2])
+
+
+def _unsigned(v: pa.Array) -> np.ndarray:
+    return v.fill_null(False if pa.types.is_boolean(v.type) else 0).cast(pa.int64()).to_numpy(zero_copy_only=False).view(np.uint64)
+
+
+def _written(values: pa.StructArray, plan: list) -> pa.Array:
+    """A batch of structs as bytes, field by field; empty for null structs."""
+    parts, names = [], [f.name for f in values.type]
+    present = values.is_valid().to_numpy(zero_copy_only=False)
+    inside = dict(zip(names, values.flatten(), strict=True))  # null in null structs
     for name, how, tag, inner, _ in plan:
-        v = value[name]
-        if v is None:
-            continue
-        if how == "number" or how == "flag":
-            if v:
-                out += (tag, _varint(int(v)))
-            continue
-        if how == "named":
-            if v in inner:
-                out += (tag, _varint(inner[v]))
-            continue
-        if how == "messages":
-            for x in v:
-                raw = _written(x, inner) if x is not None else b""
-                out += (tag, _varint(len(raw)), raw)
-            continue
-        if how == "message":
-            raw = _written(v, inner)
-        elif not len(v):
-            continue
-        elif how == "numbers":
-            raw = b"".join(_varint(x) for x in v if x is not None)
+        v = inside[name]
+        fine = v.is_valid().to_numpy(zero_copy_only=False)
+        if how == "always":
+            parts.append(_varints(np.ones(len(v), np.uint64), tag, present))
+        elif how in ("number", "flag"):
+            n = _unsigned(v)
+            parts.append(_varints(n, tag, n != 0))
+        elif how == "named":
+            found = pc.index_in(v, value_set=pa.array(list(inner), v.type)).fill_null(-1).to_numpy(zero_copy_only=False)
+            parts.append(_varints(np.array(list(inner.values()), np.uint64)[found], tag, fine & (found >= 0)))
+        elif how in ("messages", "numbers"):
+            counts, items = pc.list_value_length(v).fill_null(0).to_numpy(zero_copy_only=False), v.flatten()
+            if how == "messages":
+                raw, every = _written(items, inner), np.ones(len(items), bool)
+                parts.append(_by_row(pc.binary_join_element_wise(_varints(_sizes(raw), tag, every), raw, _BLANK), counts))
+            else:
+                raw = _by_row(_varints(_unsigned(items), b"", items.is_valid().to_numpy(zero_copy_only=False)), counts)
+                parts += (_varints(_sizes(raw), tag, counts > 0), raw)
         else:
-            raw = v.encode() if how == "text" else v
-        out += (tag, _varint(len(raw)), raw)
-    return b"".join(out)
+            raw = _written(v, inner) if how == "message" else v.cast(pa.binary()).fill_null(b"")
+            parts += (_varints(_sizes(raw), tag, fine if how == "message" else _sizes(raw) > 0), raw)
+    return pc.binary_join_element_wise(*parts, _BLANK) if parts else _by_row(pa.array([], pa.binary()), np.zeros(len(values), np.int64))
+
+
+def _sizes(raw: pa.Array) -> np.ndarray:
+    return pc.binary_length(raw).to_numpy(zero_copy_only=False).astype(np.uint64)
 
 
 def encoded(column: str, kind: T.StructType, numbers: dict = EVENT) -> Column:
     """The struct in a column as bytes, its fields in the order of their numbers; null for a null struct.
 
     Fields that are null or have their kind's default (0, false, empty) take no byte; a named value without a number counts
-    as such. Numbers of an array are packed. A field without a number is a KeyError.
+    as such. Numbers of an array are packed. A field without a number is a KeyError. A batch is written field by field.
     """
     plan = _plan(_parts(kind, numbers))
-    return by_value(lambda v: None if v is None else _written(v, plan), T.BinaryType())(F.col(column))
 
+    @F.arrow_udf(T.BinaryType())
+    def each(values: pa.Array) -> pa.Array:
+        return pc.if_else(values.is_valid(), _written(values, plan), pa.scalar(None, pa.binary()))
 
-def _number_at(raw: bytes, at: int) -> tuple[int, int]:
-    """An unsigned number and the place behind it, -1 if it doesn't end within ten bytes; bits beyond 64 are dropped."""
-    value = shift = 0
-    for i in range(at, min(at + 10, len(raw))):
-        value |= (raw[i] & 127) << shift
-        if raw[i] < 128:
-            return value & 0xFFFFFFFFFFFFFFFF, i + 1
-        shift += 7
-    return 0, -1
+    return each(F.col(column))
 
 
-def _signed(v: int, bits: int = 64) -> int:
-    v &= (1 << bits) - 1
-    return v - (1 << bits) if v >> bits - 1 else v
-
-
-def fields(raw: bytes) -> tuple[dict[int, list[tuple[int, int | bytes]]], int]:
-    """By number the (kind, number or bytes) of a message's fields in order, and how far it could be read: its size if it is
-    well-formed."""
-    out: dict[int, list] = {}
-    at, size = 0, len(raw)
-    while at < size:
-        tag, pos = _number_at(raw, at)
-        kind = tag & 7
-        if pos < 0 or tag < 8 or tag >> 63:
+def _number_at(data: np.ndarray, at: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each place an unsigned number and the place behind it, -1 if it doesn't end within ten bytes; bits beyond 64 are dropped."""
+    value, behind, going = np.zeros(len(at), np.uint64), np.full(len(at), -1, np.int64), np.flatnonzero(at < end)
+    for i in range(10):
+        byte = data[at[going] + i]
+        value[going] |= (byte & 127).astype(np.uint64) << np.uint64(7 * i)
+        last = byte < 128
+        behind[going[last]] = at[going[last]] + i + 1
+        going = going[~last]
+        going = going[at[going] + i + 1 < end[going]]
+        if not len(going):
             break
-        if kind in (VARINT, DELIMITED):
-            value, pos = _number_at(raw, pos)
-            if pos < 0:
-                break
-            end = pos + (value if kind == DELIMITED else 0)
-        else:
-            value, end = 0, pos + {FIXED64: 8, FIXED32: 4}.get(kind, size)
-        if end > size:
-            break
-        out.setdefault(tag >> 3, []).append((kind, value if kind == VARINT else raw[pos:end]))
-        at = end
-    return out, at
+    return np.where(behind < 0, np.uint64(0), value), behind
+
+
+def fields(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """The fields of messages between ``start`` and ``end``, those of one message in order: ``row``, ``number``, ``kind``, ``value``
+    of numbers, and where the bytes of others lie, ``low`` and ``high``; and how far each message could be read: its end if it is
+    well-formed. Every round reads one field of all messages that have one more."""
+    at, rounds = start.copy(), []
+    going = np.flatnonzero(at < end)
+    while len(going):
+        stop = end[going]
+        tag, low = _number_at(data, at[going], stop)
+        kind = (tag & np.uint64(7)).astype(np.int64)
+        fine = (low >= 0) & (tag >= 8) & (tag >> np.uint64(63) == 0)
+        value, behind = np.zeros(len(going), np.uint64), np.where(kind == FIXED64, low + 8, low + 4)
+        sized = fine & ((kind == VARINT) | (kind == DELIMITED))
+        value[sized], low[sized] = _number_at(data, low[sized], stop[sized])
+        left = np.maximum(stop - low, 0).astype(np.uint64)
+        fine &= np.where(sized, (low >= 0) & ((kind == VARINT) | (value <= left)), ((kind == FIXED64) | (kind == FIXED32)) & (behind <= stop))
+        behind = np.where(sized, low + np.where(fine & (kind == DELIMITED), value, np.uint64(0)).astype(np.int64), behind)
+        rounds.append([x[fine] for x in (going, tag >> np.uint64(3), kind, value, low, behind)])
+        going, behind = going[fine], behind[fine]
+        at[going] = behind
+        going = going[behind < end[going]]
+    none = [np.zeros(0, t) for t in (np.int64, np.uint64, np.int64, np.uint64, np.int64, np.int64)]
+    return dict(zip(("row", "number", "kind", "value", "low", "high"), map(np.concatenate, zip(none, *rounds, strict=True)), strict=True)), at
+
+
+def _taken(data: np.ndarray, low: np.ndarray, high: np.ndarray, kind: pa.DataType) -> pa.Array:
+    """Pieces of the bytes; as text, malformed UTF-8 is replaced."""
+    ends = _ends(high - low)
+    raw = data[np.repeat(low - ends[:-1], high - low) + np.arange(ends[-1])]
+    if pa.types.is_string(kind) and (raw > 127).any():
+        return pa.array([bytes(raw[a:b]).decode("utf-8", "replace") for a, b in zip(ends[:-1], ends[1:], strict=True)], kind)
+    return _bytes(ends, pa.py_buffer(raw), kind)
+
+
+def _packed(data: np.ndarray, found: dict[str, np.ndarray], mine: np.ndarray, rows: int, bits: int) -> list[list[int]]:
+    """Each row's numbers: those in packed fields, then those in fields of their own."""
+    out: list[list[int]] = [[] for _ in range(rows)]
+    packed = mine[found["kind"][mine] == DELIMITED]
+    at, stop, row = found["low"][packed], found["high"][packed], found["row"][packed]
+    while len(at):
+        value, behind = _number_at(data, at, stop)
+        for r, v in zip(row[behind >= 0].tolist(), value[behind >= 0].tolist(), strict=True):
+            out[r].append(v)
+        more = (behind >= 0) & (behind < stop)
+        at, stop, row = behind[more], stop[more], row[more]
+    for i in mine[found["kind"][mine] == VARINT].tolist():
+        out[found["row"][i]].append(int(found["value"][i]))
+    return [[_signed(v, bits) for v in row] for row in out]
 
 
-def _numbers_in(raw: bytes) -> list[int]:
-    out, at = [], 0
-    while at < len(raw):
-        value, at = _number_at(raw, at)
-        if at < 0:
-            break
-        out.append(value)
-    return out
+def _signed(v: int, bits: int = 64) -> int:
+    v &= (1 << bits) - 1
+    return v - (1 << bits) if v >> bits - 1 else v
 
 
-def _read(raw: bytes, parts: list) -> tuple[dict, int]:
-    """A message as a struct's values, and how far it could be read."""
-    found, at = fields(raw)
-    value = {}
-    for name, how, number, inner in parts:
-        mine = found.get(number, ())
+def _read(data: np.ndarray, start: np.ndarray, end: np.ndarray, parts: list, kind: pa.StructType, absent: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Messages as a batch of structs, null where ``absent``, and how far each could be read."""
+    found, at = fields(data, start, end)
+    out, n = [], len(start)
+    for (name, how, number, inner), field in zip(parts, kind, strict=True):
+        mine = np.flatnonzero(found["number"] == number)
         if how == "messages":
-            value[name] = [_read(x, inner)[0] for k, x in mine if k == DELIMITED]
+            items = mine[found["kind"][mine] == DELIMITED]
+            items = items[np.argsort(found["row"][items], kind="stable")]
+            value, _ = _read(data, found["low"][items], found["high"][items], inner, field.type.value_type, np.zeros(len(items), bool))
+            offsets = _ends(np.bincount(found["row"][items], minlength=n)).astype(np.int32)
+            out.append(pa.ListArray.from_arrays(pa.array(offsets), value, type=field.type))
             continue
         if how == "numbers":
-            packed = [n for k, x in mine if k == DELIMITED for n in _numbers_in(x)]
-            value[name] = [_signed(n, inner["bits"]) for n in packed + [x for k, x in mine if k == VARINT]]
+            out.append(pa.array(_packed(data, found, mine, n, inner["bits"]), field.type))
             continue
-        kind, last = mine[-1] if mine else (None, None)
-        if how in ("number", "flag", "named"):
-            n = last if kind == VARINT else 0
-            value[name] = _signed(n, inner["bits"]) if how == "number" else n != 0 if how == "flag" else inner.get(n)
+        last = np.full(n, -1, np.int64)
+        last[found["row"][mine]] = mine  # the last of several stays
+        wanted = VARINT if how in ("number", "flag", "named") else DELIMITED
+        last = np.where((last >= 0) & (np.append(found["kind"], -1)[last] == wanted), last, -1)
+        if wanted == VARINT:
+            v = np.append(found["value"], np.uint64(0))[last]
+            if how == "named":
+                keys = np.array(sorted(inner), np.uint64)
+                place = np.minimum(np.searchsorted(keys, v), len(keys) - 1)
+                out.append(pa.array([inner[k] for k in sorted(inner)], field.type).take(pa.array(place, mask=keys[place] != v)))
+            else:
+                out.append(pa.array(v != 0 if how == "flag" else v.astype(f"uint{inner['bits']}").view(f"int{inner['bits']}"), field.type))
             continue
-        last = last if kind == DELIMITED else None
+        low, high = (np.append(found[side], 0)[last] for side in ("low", "high"))
         if how == "message":
-            value[name] = None if last is None else _read(last, inner)[0]
+            out.append(_read(data, low, high, inner, field.type, last < 0)[0])
         else:
-            value[name] = (last or b"").decode("utf-8", "replace") if how == "text" else last or b""
-    return value, at
+            out.append(_taken(data, low, high, field.type))
+    return pa.StructArray.from_arrays(out, fields=list(kind), mask=pa.array(absent)), at
 
 
 def _by_number(parts: list) -> list:
@@ -215,16 +296,37 @@ def _by_number(parts: list) -> list:
     return [(name, how, number, _by_number(inner) if how.startswith("message") else {n: text for text, n in inner.items()} if how == "named" else inner) for name, how, number, inner in parts]
 
 
+def _laid(raw: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes, where each row's begin and end, and which rows are null."""
+    absent = raw.is_null().to_numpy(zero_copy_only=False)
+    raw = raw.cast(pa.binary())
+    at = np.frombuffer(raw.buffers()[1], np.int32)[raw.offset : raw.offset + len(raw) + 1].astype(np.int64) if len(raw) else np.zeros(1, np.int64)
+    data = np.frombuffer(raw.buffers()[2] or b"", np.uint8)
+    return data, at[:-1], np.where(absent, at[:-1], at[1:]), absent
+
+
 def walked(raw: str) -> Column:
     """``at``: how far the message in a column could be read, which is its size if it is well-formed."""
-    return by_value(lambda b: None if b is None else {"at": fields(b)[1]}, "at int")(F.expr(raw))
+    return _decoded(T.StructType(), {})(F.expr(raw))
 
 
-def _decoded(kind: T.StructType, numbers: dict) -> Callable[[Column], Column]:
-    """Bytes to (at, value): how far they could be read, and what was read."""
-    parts = _by_number(_parts(kind, numbers))
-    one = lambda b: None if b is None else dict(zip(("value", "at"), _read(b, parts), strict=True))
-    return by_value(one, T.StructType().add("at", "integer").add("value", kind))
+def _decoded(kind: T.StructType, numbers: dict, once: bool = False) -> Callable[[Column], Column]:
+    """Bytes to (at, value): how far they could be read, and what was read. With ``once`` it isn't deterministic by name, so that a
+    condition on it isn't moved below, where it would be decoded again."""
+    parts, result = _by_number(_parts(kind, numbers)), T.StructType().add("at", "integer").add("value", kind)
+    if not parts:
+        result = T.StructType().add("at", "integer")
+    made = to_arrow_type(result)
+
+    @F.arrow_udf(result)
+    def each(raw: pa.Array) -> pa.Array:
+        data, start, end, absent = _laid(raw)
+        if not parts:
+            return pa.StructArray.from_arrays([pa.array((fields(data, start, end)[1] - start).astype(np.int32))], fields=list(made), mask=pa.array(absent))
+        value, at = _read(data, start, end, parts, made.field("value").type, absent)
+        return pa.StructArray.from_arrays([pa.array((at - start).astype(np.int32)), value], fields=list(made), mask=pa.array(absent))
+
+    return each.asNondeterministic() if once else each
 
 
 def decode(rows: DataFrame, payload: str, kind: T.StructType, to: str, numbers: dict = EVENT) -> DataFrame:
@@ -232,41 +334,51 @@ def decode(rows: DataFrame, payload: str, kind: T.StructType, to: str, numbers:
 
     Fields come in any order; of one that comes again the last counts; numbers that the type doesn't have, and values of
     another kind than its, are passed over. What isn't there has the default of its kind: 0, false, empty, and null for
-    structs and named values. Of malformed bytes the fields before the fault are read. All levels are read in one pass.
+    structs and named values. Of malformed bytes the fields before the fault are read. A batch is read field by field.
     """
     return rows.select(*[c for c in rows.columns if c != to], _decoded(kind, numbers)(F.col(payload))["value"].alias(to))
 
 
+def _cut(plan: list) -> list:
+    """The plan of an event without its raw payloads, which says so."""
+    out = []
+    for name, how, tag, inner, number in plan:
+        if name != "raw_dns_payload":
+            out.append((name, "always" if name == "raw_payload_truncated" else how, tag, _cut(inner) if how.startswith("message") else inner, number))
+    return out
+
+
 def entries(events: DataFrame, largest: int = LARGEST) -> DataFrame:
-    """DNS ``events`` as a stream's entries: event_id, stream, schema, encoding, payload_kind, payload, truncated.
+    """DNS ``events`` as a stream's entries, a stored table: event_id, stream, schema, encoding, payload_kind, payload, truncated.
 
     An event of more than ``largest`` bytes loses its raw payloads and says so; one that is still longer is left out.
-    Each is encoded once, those too long twice; ``events`` should be a stored table.
+    Each is encoded once, those too long twice.
     """
-    kind = events.schema["event"].dataType
-    made = events.select(
+    plan, result = _plan(_parts(events.schema["event"].dataType, EVENT)), T.StructType().add("payload", "binary").add("truncated", "boolean")
+    shorter, made = _cut(plan), to_arrow_type(result)
+
+    @F.arrow_udf(result)
+    def each(values: pa.Array) -> pa.Array:
+        raw = _written(values, plan)
+        long = pc.greater(pc.binary_length(raw), largest)
+        if pc.any(long).as_py():
+            less = _written(values.filter(long), shorter)
+            raw = pc.replace_with_mask(raw, long, pc.if_else(pc.greater(pc.binary_length(less), largest), pa.scalar(None, pa.binary()), less))
+        return pa.StructArray.from_arrays([raw, long], fields=list(made))
+
+    found = events.select(
         F.col("event.envelope.event_id").alias("event_id"), F.col("event.envelope.stream_name").alias("stream"), F.lit(delivery.SCHEMA).alias("schema"),
-        F.lit(delivery.ENCODING).alias("encoding"), F.lit("dns_transaction").alias("payload_kind"), encoded("event", kind).alias("payload"), F.col("event").alias("_event"),
-    )
-    # stored, as conditions on the bytes would be moved below and encode again
-    whole = stored(made, "encoded")
-    long = F.octet_length("payload") > largest
-    less = F.col("_event")
-    for side in ("query", "response"):
-        message = F.col(f"_event.dns_transaction.{side}")
-        cut = message.withField("raw_dns_payload", F.lit(None).cast("binary")).withField("raw_payload_truncated", F.lit(True))
-        less = less.withField(f"dns_transaction.{side}", F.when(message.isNotNull(), cut))
-    cut = whole.where(long).withColumn("_event", less)
-    shorter = stored(cut.withColumn("payload", encoded("_event", kind)), "shorter").where(~long)
-    parts = [part.drop("_event").withColumn("truncated", F.lit(cut)) for part, cut in ((whole.where(~long), False), (shorter, True))]
-    return parts[0].unionByName(parts[1])
-
-
-def opened(rows: DataFrame, kind: T.StructType) -> DataFrame:
+        F.lit(delivery.ENCODING).alias("encoding"), F.lit("dns_transaction").alias("payload_kind"), each(F.col("event")).alias("_made"),
+    ).select("event_id", "stream", "schema", "encoding", "payload_kind", "_made.payload", "_made.truncated")
+    # stored, as a condition on the bytes would be moved below and encode again
+    whole = stored(found, "entries")
+    return whole.where("NOT truncated").unionByName(whole.where("truncated AND payload IS NOT NULL"))
+
+
+def opened(rows: DataFrame, kind: T.StructType, once: bool = False) -> DataFrame:
     """``rows`` of entries with ``event``, decoded as ``kind``, and ``error``: why it can't be (its encoding, schema or kind, or
-    bytes that aren't well-formed). To be stored before ``error`` is asked about, as a condition on it would be moved below and
-    decode twice."""
-    whole = rows.withColumn("_read", _decoded(kind, EVENT)(F.col("payload")))
+    bytes that aren't well-formed). ``once`` is for conditions on ``error``, which would else be moved below and decode twice."""
+    whole = rows.withColumn("_read", _decoded(kind, EVENT, once)(F.col("payload")))
     cut = F.when(F.coalesce(F.col("_read.at") < F.octet_length("payload"), F.lit(True)), "bytes")
     checked = whole.withColumn("error", F.coalesce(delivery.rejection(), cut))
     return checked.withColumn("event", F.when(F.col("error").isNull(), F.col("_read.value"))).drop("_read")
