@@ -27,7 +27,7 @@ def with_service_role(df: DataFrame, roles: list[tuple[int, str, str]]) -> DataF
     for _, ip, label in sorted(roles):
         first.setdefault(ip, label)
     table = spark.createDataFrame(sorted(first.items()), "server_ip string, _role string")
-    joined = df.join(table, "server_ip", "left")
+    joined = df.join(F.broadcast(table), "server_ip", "left")
     role = F.when(F.col("leg") != "unknown", F.coalesce("_role", F.lit(""))).otherwise("")
     return joined.withColumn("service_role", role).drop("_role")
 

@@ -19,19 +19,21 @@ DNS_PORTS, DHCPV4_PORTS, DHCPV6_PORTS = (53,), (67, 68), (546, 547)
 def port_predicate(frame: Column, ports_v4: tuple[int, ...], ports_v6: tuple[int, ...], protocols: tuple[int, ...]) -> Column:
     """Whether a kernel filter passes the frame: at most one VLAN tag, the protocol at its fixed place, and either port.
 
-    Later IPv4 fragments fail; IPv6 extension headers aren't followed.
+    Later IPv4 fragments fail; IPv6 extension headers aren't followed. It is one pattern over the headers' digits: with the
+    numbers behind each other it would be more code than the JVM compiles.
     """
-    tag = F.when(number(frame, 12, 2).isin(*VLAN), 4).otherwise(0)
-    kind, ip = number(frame, tag + 12, 2), tag + 14
 
-    def either(at: Column, ports: tuple[int, ...]) -> Column:
-        return number(frame, at, 2).isin(*ports) | number(frame, at + 2, 2).isin(*ports)
+    def one_of(numbers: tuple[int, ...], digits: int) -> str:
+        return "(?:" + "|".join(f"{n:0{digits}X}" for n in numbers) + ")"
 
-    header = number(frame, ip, 1).bitwiseAND(15) * 4
-    first = number(frame, ip + 6, 2).bitwiseAND(0x1FFF) == 0
-    v4 = (kind == IPV4) & number(frame, ip + 9, 1).isin(*protocols) & first & either(ip + header.cast("int"), ports_v4)
-    v6 = (kind == IPV6) & number(frame, ip + 6, 1).isin(*protocols) & either(ip + 40, ports_v6)
-    return F.coalesce(v4, F.lit(False)) | F.coalesce(v6, F.lit(False))
+    def either(ports: tuple[int, ...]) -> str:
+        return f"(?:{one_of(ports, 4)}|.{{4}}{one_of(ports, 4)})"
+
+    # the ports are behind as many words as the header has
+    at = "|".join(f"(?=.{n:X})(?=.{{{8 * n}}}{either(ports_v4)})" for n in (*range(5, 16), *range(5)))
+    v4 = f"{IPV4:04X}(?:{at}).{{12}}[02468ACE]000.{{2}}{one_of(protocols, 2)}"
+    v6 = f"{IPV6:04X}.{{12}}{one_of(protocols, 2)}.{{66}}{either(ports_v6)}"
+    return F.coalesce(F.hex(F.substring(frame, 13, 70)).rlike(f"^(?:{one_of(VLAN, 4)}.{{4}})?(?:{v4}|{v6})"), F.lit(False))
 
 
 def dns_predicate(frame: Column) -> Column:
@@ -79,26 +81,36 @@ def decapsulated(packets: DataFrame) -> DataFrame:
     tags, a version that contradicts the ethertype, too many extension headers) or OTHER (no UDP or TCP, later
     fragments). A payload ends where the IP packet does, or with the frame if that is shorter. ``packet`` holds what was
     seen below the payload; its lengths are those of ``packet_len`` and ``captured_len`` if there are such columns.
+
+    Numbers of each header are columns that what follows refers to: read where they are needed, they would be read again for
+    each number that depends on them, and be more code at once than the JVM compiles.
     """
     frame = F.col("frame")
     size = F.octet_length(frame)
     a = packets.withColumn("_e", _tags(frame)).withColumns({"_ip": F.col("_e.at"), "_kind": F.col("_e.kind"), "vlan_ids": F.col("_e.vlans")})
     is4, is6 = F.col("_kind") == IPV4, F.col("_kind") == IPV6
-    a = a.withColumn("_x", F.when(is6, _extensions(frame, F.col("_ip"))))
-    header = number(frame, F.col("_ip"), 1).bitwiseAND(15).cast("int") * 4
+    ip = F.col("_ip")
+    a = a.withColumns(
+        {
+            "_x": F.when(is6, _extensions(frame, ip)), "_first": number(frame, ip, 1), "_second": number(frame, ip + 1, 1), "_ip_2": number(frame, ip + 2, 2), "_ip_4": number(frame, ip + 4, 2),
+            "_ip_6": number(frame, ip + 6, 2), "_ttl": number(frame, ip + F.when(is4, 8).otherwise(7), 1), "_ip_9": number(frame, ip + 9, 1),
+        }
+    )
+    header = F.col("_first").bitwiseAND(15).cast("int") * 4
     a = a.withColumns(
         {
             "ip_version": F.when(is4, 4).when(is6, 6),
-            "_version": F.shiftright(number(frame, F.col("_ip"), 1), 4),
-            "protocol": F.when(is4, number(frame, F.col("_ip") + 9, 1)).otherwise(F.col("_x.next")),
-            "_l4": F.when(is4, F.col("_ip") + header).otherwise(F.col("_x.at")),
-            "_fragment": F.when(is4, number(frame, F.col("_ip") + 6, 2).bitwiseAND(0x1FFF)).otherwise(F.col("_x.offset")),
-            "_end": F.when(is4, F.col("_ip") + F.when(number(frame, F.col("_ip") + 2, 2) >= header, number(frame, F.col("_ip") + 2, 2)).otherwise(size)).otherwise(F.col("_ip") + 40 + number(frame, F.col("_ip") + 4, 2)),
+            "_version": F.shiftright("_first", 4),
+            "protocol": F.when(is4, F.col("_ip_9")).otherwise(F.col("_x.next")),
+            "_l4": F.when(is4, ip + header).otherwise(F.col("_x.at")),
+            "_fragment": F.when(is4, F.col("_ip_6").bitwiseAND(0x1FFF)).otherwise(F.col("_x.offset")),
+            "_end": F.when(is4, ip + F.when(F.col("_ip_2") >= header, F.col("_ip_2")).otherwise(size)).otherwise(ip + 40 + F.col("_ip_4")),
             "_short": F.when(is4, (size < F.col("_ip") + 20) | (header < 20) | (size < F.col("_ip") + header)).otherwise((size < F.col("_ip") + 40) | F.col("_x.next").isNull() | F.col("_x.at").isNull() | (F.col("_x.at") > size)),
         }
     )
     l4 = F.col("_l4")
-    udp_length, tcp_header = number(frame, l4 + 4, 2), F.shiftright(number(frame, l4 + 12, 1), 4).cast("int") * 4
+    a = a.withColumns({"_l4_0": number(frame, l4, 2), "_l4_2": number(frame, l4 + 2, 2), "_l4_4": number(frame, l4 + 4, 2), "_l4_6": number(frame, l4 + 6, 2), "_l4_12": number(frame, l4 + 12, 1), "_l4_13": number(frame, l4 + 13, 1)})
+    udp_length, tcp_header = F.col("_l4_4"), F.shiftright("_l4_12", 4).cast("int") * 4
     udp, tcp = F.col("protocol") == UDP, F.col("protocol") == TCP
     bad_udp = udp & F.coalesce((size < l4 + 8) | (udp_length < 8) | (size < l4 + udp_length), F.lit(True))
     bad_tcp = tcp & F.coalesce((size < l4 + 20) | (tcp_header < 20) | (size < l4 + tcp_header), F.lit(True))
@@ -129,8 +141,8 @@ def decapsulated(packets: DataFrame) -> DataFrame:
         mac_text(piece(frame, 6, 6)).alias("src_mac"),
         F.col("_src").alias("src_ip"),
         F.col("_dst").alias("dst_ip"),
-        F.when(fine, number(frame, l4, 2)).cast("int").alias("src_port"),
-        F.when(fine, number(frame, l4 + 2, 2)).cast("int").alias("dst_port"),
+        F.when(fine, F.col("_l4_0")).cast("int").alias("src_port"),
+        F.when(fine, F.col("_l4_2")).cast("int").alias("dst_port"),
         payload.alias("payload"),
         F.when(fine, _observation(packets, a)).alias("packet"),
     )
@@ -138,15 +150,15 @@ def decapsulated(packets: DataFrame) -> DataFrame:
 
 def _observation(packets: DataFrame, a: DataFrame) -> Column:
     """What was seen of a packet below its payload: link, network and transport; null where there is nothing to tell."""
-    frame, ip, l4 = F.col("frame"), F.col("_ip"), F.col("_l4")
+    frame, l4 = F.col("frame"), F.col("_l4")
     is4, udp = F.col("ip_version") == 4, F.col("protocol") == UDP
     # the traffic class of IPv6 lies across two bytes
-    tos = F.when(is4, number(frame, ip + 1, 1)).otherwise(F.shiftright(number(frame, ip, 2), 4).bitwiseAND(255))
+    tos = F.when(is4, F.col("_second")).otherwise(F.shiftright(F.col("_first") * 256 + F.col("_second"), 4).bitwiseAND(255))
     size = F.octet_length(frame)
     known = lambda name, default: F.col(name) if name in packets.columns else default
-    flags = F.when(~udp, number(frame, l4 + 13, 1)).cast("int")
-    tcp = F.when(~udp, F.struct(flags.alias("flags"), F.greatest(F.least(F.col("_end"), size.cast("long")) - l4 - F.shiftright(number(frame, l4 + 12, 1), 4) * 4, F.lit(0)).cast("int").alias("payload_len")))
-    datagram = F.when(udp, F.struct(number(frame, l4 + 4, 2).cast("int").alias("length"), (number(frame, l4 + 6, 2) != 0).alias("checksum_present")))
+    flags = F.when(~udp, F.col("_l4_13")).cast("int")
+    tcp = F.when(~udp, F.struct(flags.alias("flags"), F.greatest(F.least(F.col("_end"), size.cast("long")) - l4 - F.shiftright("_l4_12", 4) * 4, F.lit(0)).cast("int").alias("payload_len")))
+    datagram = F.when(udp, F.struct(F.col("_l4_4").cast("int").alias("length"), (F.col("_l4_6") != 0).alias("checksum_present")))
     return F.struct(
         F.col("observed_ns").alias("observed_time_unix_nano") if "observed_ns" in packets.columns else F.lit(0).cast("long").alias("observed_time_unix_nano"),
         F.struct(
@@ -155,14 +167,14 @@ def _observation(packets: DataFrame, a: DataFrame) -> Column:
         F.struct(
             F.when(is4, "NETWORK_PROTOCOL_IPV4").otherwise("NETWORK_PROTOCOL_IPV6").alias("protocol"),
             F.col("_src").alias("src_ip"), F.col("_dst").alias("dst_ip"),
-            F.col("protocol").cast("int").alias("next_header"), number(frame, ip + F.when(is4, 8).otherwise(7), 1).cast("int").alias("ttl_or_hop_limit"),
+            F.col("protocol").cast("int").alias("next_header"), F.col("_ttl").cast("int").alias("ttl_or_hop_limit"),
             F.shiftright(tos, 2).cast("int").alias("dscp"), tos.bitwiseAND(3).cast("int").alias("ecn"),
-            F.when(is4, number(frame, ip + 6, 2).bitwiseAND(0x2000) != 0).otherwise(F.coalesce(F.col("_x.fragment"), F.lit(False))).alias("fragmented"),
+            F.when(is4, F.col("_ip_6").bitwiseAND(0x2000) != 0).otherwise(F.coalesce(F.col("_x.fragment"), F.lit(False))).alias("fragmented"),
             F.coalesce(F.col("_fragment"), F.lit(0)).cast("int").alias("fragment_offset"),
         ).alias("network"),
         F.struct(
             F.when(udp, "TRANSPORT_PROTOCOL_UDP").otherwise("TRANSPORT_PROTOCOL_TCP").alias("protocol"), F.col("protocol").cast("int").alias("ip_protocol_number"),
-            number(frame, l4, 2).cast("int").alias("src_port"), number(frame, l4 + 2, 2).cast("int").alias("dst_port"), tcp.alias("tcp"), datagram.alias("udp"),
+            F.col("_l4_0").cast("int").alias("src_port"), F.col("_l4_2").cast("int").alias("dst_port"), tcp.alias("tcp"), datagram.alias("udp"),
         ).alias("transport"),
         known("packet_len", size).cast("long").alias("packet_len"), known("captured_len", size).cast("long").alias("captured_len"),
         (known("packet_len", size) > known("captured_len", size)).alias("truncated"),

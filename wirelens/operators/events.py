@@ -45,8 +45,13 @@ def dns_messages(packets: DataFrame) -> DataFrame:
     The filter and all below the message are native and come first. To be stored before ``m`` is asked about, as a
     condition on it would be moved below and decode twice.
     """
+    return dns_payloads(packets).withColumn("m", dns.parse(F.col("message")))
+
+
+def dns_payloads(packets: DataFrame) -> DataFrame:
+    """What :func:`dns_messages` gives but for ``m``: captured packets on DNS ports with their ``message``."""
     captured = packets.where(decap.dns_predicate(F.col("frame")))
-    return decap.dns_message(decap.decapsulated(captured)).withColumn("m", dns.parse(F.col("message"))).drop("payload", "partial")
+    return decap.dns_message(decap.decapsulated(captured)).drop("payload", "partial")
 
 
 def dns_transactions(messages: DataFrame, local: list[str], backend: list[str], roles: list[tuple[int, str, str]], timeout_ns: int) -> DataFrame:
@@ -88,20 +93,21 @@ def _message(m: str, raw: str) -> Column:
     return F.when(F.col(m).isNotNull(), whole)
 
 
-def dns_events(tx: DataFrame) -> DataFrame:
+def dns_events(tx: DataFrame, as_bytes: bool = False) -> DataFrame:
     """``tx`` (stored) with ``event``, envelope and dns_transaction, in place of what it is made of. A transaction's frame, and so its id, is the query's if there is
-    one, else the response's."""
+    one, else the response's. With ``as_bytes`` packets and messages are bytes already (:func:`wirelens.operators.payload.packed`)."""
     asks = F.col("outcome") != "UNMATCHED"
     warnings = F.concat(*[F.coalesce(F.col(c), F.array().cast("array<struct<code:string,path:string>>")) for c in ("w_query", "w_response")])
     if "ingest_ns" not in tx.columns:
         tx = tx.withColumn("ingest_ns", F.lit(0).cast("long"))
     split = tx.withColumns({"q_m": F.when(asks, F.col("m")), "q_raw": F.when(asks, F.col("message"))})
     split = split.withColumns({"w_query": F.col("q_m.warnings"), "w_response": F.col("response_m.warnings")})
+    message = (lambda m, raw: F.col(raw)) if as_bytes else _message
     role = F.lit(None).cast("string")
     for leg, name in LEG_NAMES.items():
         role = F.when(F.col("leg") == leg, name).otherwise(role)
     payload = F.struct(
-        F.when(asks, F.col("packet")).alias("query_packet"), F.col("response_packet"), _message("q_m", "q_raw").alias("query"), _message("response_m", "response_message").alias("response"),
+        F.when(asks, F.col("packet")).alias("query_packet"), F.col("response_packet"), message("q_m", "q_raw").alias("query"), message("response_m", "response_message").alias("response"),
         role.alias("role"), F.coalesce("rtt_ns", F.lit(0)).alias("rtt_nanos"), (F.col("rtt_valid") == 1).alias("rtt_valid"), transaction_key().alias("transaction_key"),
         F.col("client_ip"), F.col("client_port"), F.col("server_ip"), F.col("service_role"),
         F.transform(warnings, lambda w: F.struct(w["code"].alias("code"), w["path"].alias("field_path"))).alias("parser_warnings"),

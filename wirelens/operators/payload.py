@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from wirelens.operators import delivery
+from wirelens.functions.arrow import as_array, ends, flat, laid, taken
+from wirelens.operators import delivery, dns
 from wirelens.operators.events import LARGEST, LEG_NAMES
 from wirelens.sources.tables import stored
 
@@ -60,6 +61,8 @@ def _parts(kind: T.StructType, numbers: dict) -> list[tuple[str, str, int, dict
         one = f.dataType.elementType if many else f.dataType
         if isinstance(one, T.StructType):
             out.append((f.name, "messages" if many else "message", number, _parts(one, inner)))
+        elif isinstance(numbers[f.name], tuple) and isinstance(inner, dict) and isinstance(one, T.BinaryType):
+            out.append((f.name, "encoded", number, {}))
         elif many:
             out.append((f.name, "numbers", number, {"bits": _bits(one)}))
         elif inner:
@@ -73,6 +76,27 @@ def _parts(kind: T.StructType, numbers: dict) -> list[tuple[str, str, int, dict
     return out
 
 
+_PACKET = (
+    flat("observed_time_unix_nano:long").add("link", T.StructType([*flat("src_mac:string,dst_mac:string"), T.StructField("vlan_ids", T.ArrayType(T.IntegerType())), *flat("ethertype:int")]))
+    .add("network", flat("protocol:string,src_ip:string,dst_ip:string,next_header:int,ttl_or_hop_limit:int,dscp:int,ecn:int,fragmented:boolean,fragment_offset:int"))
+    .add("transport", flat("protocol:string,ip_protocol_number:int,src_port:int,dst_port:int").add("tcp", flat("flags:int,payload_len:int")).add("udp", flat("length:int,checksum_present:boolean")))
+    .add("packet_len", "long").add("captured_len", "long").add("truncated", "boolean")
+)
+_RECORDS = T.ArrayType(flat("name:string,type:int,type_name:string,class:int,ttl:long,malformed:boolean,rdata_raw:binary,rdata_text:string"))
+_MESSAGE = (
+    T.StructType().add("header", flat("id:int,qr:boolean,opcode:int,aa:boolean,tc:boolean,rd:boolean,ra:boolean,ad:boolean,cd:boolean,rcode:int,qdcount:int,ancount:int,nscount:int,arcount:int"))
+    .add("questions", T.ArrayType(flat("qname:string,qname_wire:binary,qtype:int,qtype_name:string,qclass:int"))).add("answers", _RECORDS).add("authority", _RECORDS).add("additional", _RECORDS)
+    .add("edns", flat("udp_payload_size:int,extended_rcode:int,version:int,do_bit:boolean").add("options", T.ArrayType(flat("code:int,length:int,raw_value:binary"))))
+    .add("raw_dns_payload", "binary").add("raw_payload_truncated", "boolean")
+)
+#: An event as ``events.dns_events`` makes it.
+KIND = T.StructType().add("envelope", T.StructType([T.StructField(c, T.IntegerType() if c == "schema_version" else T.LongType() if c.endswith("_nano") else T.StringType()) for c in ENVELOPE])).add("dns_transaction", (
+    T.StructType().add("query_packet", _PACKET).add("response_packet", _PACKET).add("query", _MESSAGE).add("response", _MESSAGE)
+    .add("role", "string").add("rtt_nanos", "long").add("rtt_valid", "boolean").add("transaction_key", "string").add("client_ip", "string").add("client_port", "integer")
+    .add("server_ip", "string").add("service_role", "string").add("parser_warnings", T.ArrayType(flat("code:string,field_path:string")))
+))
+
+
 def _bits(kind: T.DataType) -> int:
     return {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32}.get(type(kind), 64)
 
@@ -99,15 +123,6 @@ def _plan(parts: list) -> list:
 _BLANK = pa.scalar(b"", pa.binary())
 
 
-def _bytes(offsets: np.ndarray, data: pa.Buffer, kind: pa.DataType | None = None) -> pa.Array:
-    return pa.Array.from_buffers(kind or pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), data])
-
-
-def _ends(lengths: np.ndarray) -> np.ndarray:
-    """Where each of values that lie behind each other begins, and the last one's end."""
-    return np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
-
-
 def _varints(v: np.ndarray, tag: bytes, keep: np.ndarray) -> pa.Array:
     """The tag and a number for each row to keep, nothing for others."""
     rest, groups, size = np.where(keep, v, np.uint64(0)), [], np.zeros(len(v), np.int64)
@@ -120,15 +135,15 @@ def _varints(v: np.ndarray, tag: bytes, keep: np.ndarray) -> pa.Array:
     for k, group in enumerate(groups):
         cells[:, len(tag) + k] = group | np.where(size > k + 1, 128, 0).astype(np.uint8)
     size = np.where(keep, size + len(tag), 0)
-    return _bytes(_ends(size), pa.py_buffer(cells[np.arange(cells.shape[1]) < size[:, None]]))
+    return as_array(ends(size), pa.py_buffer(cells[np.arange(cells.shape[1]) < size[:, None]]))
 
 
 def _by_row(items: pa.Array, counts: np.ndarray) -> pa.Array:
     """The bytes of each row's items, which lie behind each other, as one."""
     if not len(items):
-        return _bytes(np.zeros(len(counts) + 1), pa.py_buffer(b""))
+        return as_array(np.zeros(len(counts) + 1), pa.py_buffer(b""))
     at = np.frombuffer(items.buffers()[1], np.int32)[items.offset : items.offset + len(items) + 1]
-    return _bytes(at[_ends(counts)], items.buffers()[2])
+    return as_array(at[ends(counts)], items.buffers()[2])
 
 
 def _unsigned(v: pa.Array) -> np.ndarray:
@@ -161,7 +176,7 @@ def _written(values: pa.StructArray, plan: list) -> pa.Array:
                 parts += (_varints(_sizes(raw), tag, counts > 0), raw)
         else:
             raw = _written(v, inner) if how == "message" else v.cast(pa.binary()).fill_null(b"")
-            parts += (_varints(_sizes(raw), tag, fine if how == "message" else _sizes(raw) > 0), raw)
+            parts += (_varints(_sizes(raw), tag, fine if how in ("message", "encoded") else _sizes(raw) > 0), raw)
     return pc.binary_join_element_wise(*parts, _BLANK) if parts else _by_row(pa.array([], pa.binary()), np.zeros(len(values), np.int64))
 
 
@@ -173,7 +188,8 @@ def encoded(column: str, kind: T.StructType, numbers: dict = EVENT) -> Column:
     """The struct in a column as bytes, its fields in the order of their numbers; null for a null struct.
 
     Fields that are null or have their kind's default (0, false, empty) take no byte; a named value without a number counts
-    as such. Numbers of an array are packed. A field without a number is a KeyError. A batch is written field by field.
+    as such. Numbers of an array are packed. A field without a number is a KeyError. A batch is written field by field. A message
+    inside may be given as its bytes.
     """
     plan = _plan(_parts(kind, numbers))
 
@@ -224,15 +240,6 @@ def fields(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[dict[s
     return dict(zip(("row", "number", "kind", "value", "low", "high"), map(np.concatenate, zip(none, *rounds, strict=True)), strict=True)), at
 
 
-def _taken(data: np.ndarray, low: np.ndarray, high: np.ndarray, kind: pa.DataType) -> pa.Array:
-    """Pieces of the bytes; as text, malformed UTF-8 is replaced."""
-    ends = _ends(high - low)
-    raw = data[np.repeat(low - ends[:-1], high - low) + np.arange(ends[-1])]
-    if pa.types.is_string(kind) and (raw > 127).any():
-        return pa.array([bytes(raw[a:b]).decode("utf-8", "replace") for a, b in zip(ends[:-1], ends[1:], strict=True)], kind)
-    return _bytes(ends, pa.py_buffer(raw), kind)
-
-
 def _packed(data: np.ndarray, found: dict[str, np.ndarray], mine: np.ndarray, rows: int, bits: int) -> list[list[int]]:
     """Each row's numbers: those in packed fields, then those in fields of their own."""
     out: list[list[int]] = [[] for _ in range(rows)]
@@ -254,7 +261,7 @@ def _signed(v: int, bits: int = 64) -> int:
     return v - (1 << bits) if v >> bits - 1 else v
 
 
-def _read(data: np.ndarray, start: np.ndarray, end: np.ndarray, parts: list, kind: pa.StructType, absent: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+def _read(data: np.ndarray, start: np.ndarray, end: np.ndarray, parts: list, kind: pa.StructType, absent: np.ndarray | None = None) -> tuple[pa.Array, np.ndarray]:
     """Messages as a batch of structs, null where ``absent``, and how far each could be read."""
     found, at = fields(data, start, end)
     out, n = [], len(start)
@@ -263,8 +270,8 @@ def _read(data: np.ndarray, start: np.ndarray, end: np.ndarray, parts: list, kin
         if how == "messages":
             items = mine[found["kind"][mine] == DELIMITED]
             items = items[np.argsort(found["row"][items], kind="stable")]
-            value, _ = _read(data, found["low"][items], found["high"][items], inner, field.type.value_type, np.zeros(len(items), bool))
-            offsets = _ends(np.bincount(found["row"][items], minlength=n)).astype(np.int32)
+            value, _ = _read(data, found["low"][items], found["high"][items], inner, field.type.value_type)
+            offsets = ends(np.bincount(found["row"][items], minlength=n)).astype(np.int32)
             out.append(pa.ListArray.from_arrays(pa.array(offsets), value, type=field.type))
             continue
         if how == "numbers":
@@ -287,8 +294,8 @@ def _read(data: np.ndarray, start: np.ndarray, end: np.ndarray, parts: list, kin
         if how == "message":
             out.append(_read(data, low, high, inner, field.type, last < 0)[0])
         else:
-            out.append(_taken(data, low, high, field.type))
-    return pa.StructArray.from_arrays(out, fields=list(kind), mask=pa.array(absent)), at
+            out.append(taken(data, low, high, field.type))
+    return pa.StructArray.from_arrays(out, fields=list(kind), mask=None if absent is None else pa.array(absent)), at
 
 
 def _by_number(parts: list) -> list:
@@ -296,15 +303,6 @@ def _by_number(parts: list) -> list:
     return [(name, how, number, _by_number(inner) if how.startswith("message") else {n: text for text, n in inner.items()} if how == "named" else inner) for name, how, number, inner in parts]
 
 
-def _laid(raw: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes, where each row's begin and end, and which rows are null."""
-    absent = raw.is_null().to_numpy(zero_copy_only=False)
-    raw = raw.cast(pa.binary())
-    at = np.frombuffer(raw.buffers()[1], np.int32)[raw.offset : raw.offset + len(raw) + 1].astype(np.int64) if len(raw) else np.zeros(1, np.int64)
-    data = np.frombuffer(raw.buffers()[2] or b"", np.uint8)
-    return data, at[:-1], np.where(absent, at[:-1], at[1:]), absent
-
-
 def walked(raw: str) -> Column:
     """``at``: how far the message in a column could be read, which is its size if it is well-formed."""
     return _decoded(T.StructType(), {})(F.expr(raw))
@@ -320,7 +318,7 @@ def _decoded(kind: T.StructType, numbers: dict, once: bool = False) -> Callable[
 
     @F.arrow_udf(result)
     def each(raw: pa.Array) -> pa.Array:
-        data, start, end, absent = _laid(raw)
+        data, start, end, absent = laid(raw)
         if not parts:
             return pa.StructArray.from_arrays([pa.array((fields(data, start, end)[1] - start).astype(np.int32))], fields=list(made), mask=pa.array(absent))
         value, at = _read(data, start, end, parts, made.field("value").type, absent)
@@ -339,6 +337,56 @@ def decode(rows: DataFrame, payload: str, kind: T.StructType, to: str, numbers:
     return rows.select(*[c for c in rows.columns if c != to], _decoded(kind, numbers)(F.col(payload))["value"].alias(to))
 
 
+_HEADER = list(MESSAGE["header"][1])
+_EDNS = flat("udp_size:int,extended_rcode:int,version:int,do_bit:boolean").add("options", T.ArrayType(flat("code:int,length:int,value:binary")))
+#: A decoded message in the shape of an event's, with the decoder's names.
+_SHOWN = (
+    T.StructType([T.StructField("header", T.StructType([dns.MESSAGE[c] for c in _HEADER])), *[dns.MESSAGE[c] for c in ("questions", "answers", "authority", "additional")], T.StructField("edns", _EDNS)])
+    .add("raw_dns_payload", "binary")
+)
+_RECORD = {"name": 1, "type": 2, "type_name": 3, "class": 4, "ttl": 5, "rdata": 6, "text": 7, "malformed": 8}
+_NUMBERS = MESSAGE | {"answers": (3, _RECORD), "authority": (4, _RECORD), "additional": (5, _RECORD), "edns": (6, {"udp_size": 1, "extended_rcode": 2, "version": 3, "do_bit": 4, "options": (5, {"code": 1, "length": 3, "value": 4})})}
+#: What of a decoded message its transaction goes by.
+_SLIM = ("id", "qr", "rcode", "questions", "warnings")
+
+
+def _shown(m: pa.StructArray, raw: pa.Array) -> pa.StructArray:
+    """Decoded messages (``dns.parsed_batch``) and their bytes, as an event shows them."""
+    made = to_arrow_type(_SHOWN)
+    inside = dict(zip([f.name for f in m.type], m.flatten(), strict=True))
+    edns = dict(zip([f.name for f in inside["edns"].type], inside["edns"].flatten(), strict=True))
+    code, value = edns["options"].flatten().flatten()
+    kind = made.field("edns").type
+    option = pa.StructArray.from_arrays([code, pc.binary_length(value), value], fields=list(kind.field("options").type.value_type))
+    counts = pc.list_value_length(edns["options"]).fill_null(0).to_numpy(zero_copy_only=False)
+    edns["options"] = pa.ListArray.from_arrays(pa.array(ends(counts).astype(np.int32)), option, type=kind.field("options").type)
+    inside["edns"] = pa.StructArray.from_arrays([edns[f.name] for f in kind], fields=list(kind), mask=inside["edns"].is_null())
+    inside["header"] = pa.StructArray.from_arrays([inside[c] for c in _HEADER], fields=list(made.field("header").type))
+    inside["raw_dns_payload"] = raw
+    return pa.StructArray.from_arrays([inside[f.name] for f in made], fields=list(made), mask=m.is_null())
+
+
+def packed(packets: DataFrame) -> DataFrame:
+    """Decapsulated packets (packet, message) with what their transaction goes by in ``m``, null where there is no message, and
+    ``packet`` and ``message`` as the bytes that they are in an event: one pass, and a few columns to shuffle for some hundred.
+    The same as decoding (:func:`wirelens.operators.events.dns_messages`) and encoding the whole event later. It isn't
+    deterministic by name, so that a condition on ``m`` isn't moved below, where it would be decoded again."""
+    slim = T.StructType([dns.MESSAGE[c] for c in _SLIM])
+    result = T.StructType().add("m", slim).add("packet", "binary").add("message", "binary")
+    made, packet_plan, plan = to_arrow_type(result), _plan(_parts(packets.schema["packet"].dataType, PACKET)), _plan(_parts(_SHOWN, _NUMBERS))
+
+    @F.arrow_udf(result)
+    def each(packet: pa.Array, message: pa.Array) -> pa.Array:
+        m = dns.parsed_batch(message)
+        none = pa.scalar(None, pa.binary())
+        raw = [pc.if_else(v.is_valid(), _written(v, p), none) for v, p in ((packet, packet_plan), (_shown(m, message), plan))]
+        kept = pa.StructArray.from_arrays([m.field(c) for c in _SLIM], fields=list(made.field("m").type), mask=m.is_null())
+        return pa.StructArray.from_arrays([kept, *raw], fields=list(made))
+
+    rest = [c for c in packets.columns if c not in ("m", "packet", "message")]
+    return packets.select(*rest, each.asNondeterministic()("packet", "message").alias("_made")).select(*rest, "_made.*")
+
+
 def _cut(plan: list) -> list:
     """The plan of an event without its raw payloads, which says so."""
     out = []
@@ -348,21 +396,22 @@ def _cut(plan: list) -> list:
     return out
 
 
-def entries(events: DataFrame, largest: int = LARGEST) -> DataFrame:
+def entries(events: DataFrame, largest: int = LARGEST, kind: T.StructType | None = None) -> DataFrame:
     """DNS ``events`` as a stream's entries, a stored table: event_id, stream, schema, encoding, payload_kind, payload, truncated.
 
     An event of more than ``largest`` bytes loses its raw payloads and says so; one that is still longer is left out.
-    Each is encoded once, those too long twice.
+    Each is encoded once, those too long twice. ``kind`` is that of whole events, where messages inside are given as bytes.
     """
-    plan, result = _plan(_parts(events.schema["event"].dataType, EVENT)), T.StructType().add("payload", "binary").add("truncated", "boolean")
-    shorter, made = _cut(plan), to_arrow_type(result)
+    own, result = events.schema["event"].dataType, T.StructType().add("payload", "binary").add("truncated", "boolean")
+    parts = _parts(kind or own, EVENT)
+    plan, shorter, by_number, made, whole_kind = _plan(_parts(own, EVENT)), _cut(_plan(parts)), _by_number(parts), to_arrow_type(result), to_arrow_type(kind or own)
 
     @F.arrow_udf(result)
     def each(values: pa.Array) -> pa.Array:
         raw = _written(values, plan)
         long = pc.greater(pc.binary_length(raw), largest)
         if pc.any(long).as_py():
-            less = _written(values.filter(long), shorter)
+            less = _written(_read(*laid(raw.filter(long))[:3], by_number, whole_kind)[0], shorter)
             raw = pc.replace_with_mask(raw, long, pc.if_else(pc.greater(pc.binary_length(less), largest), pa.scalar(None, pa.binary()), less))
         return pa.StructArray.from_arrays([raw, long], fields=list(made))
 
