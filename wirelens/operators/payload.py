@@ -366,9 +366,14 @@ def _shown(m: pa.StructArray, raw: pa.Array) -> pa.StructArray:
     return pa.StructArray.from_arrays([inside[f.name] for f in made], fields=list(made), mask=m.is_null())
 
 
+def _with(values: pa.StructArray, **other: pa.Array) -> pa.StructArray:
+    return pa.StructArray.from_arrays([other.get(f.name, values.field(f.name)) for f in values.type], fields=list(values.type), mask=values.is_null())
+
+
 def packed(packets: DataFrame) -> DataFrame:
-    """Decapsulated packets (packet, message) with what their transaction goes by in ``m``, null where there is no message, and
-    ``packet`` and ``message`` as the bytes that they are in an event: one pass, and a few columns to shuffle for some hundred.
+    """Decapsulated packets (packet, src_ip, dst_ip, message) with what their transaction goes by in ``m``, null where there is no
+    message, and ``packet`` (with these addresses) and ``message`` as the bytes that they are in an event: one pass, and a few
+    columns to shuffle for some hundred.
     The same as decoding (:func:`wirelens.operators.events.dns_messages`) and encoding the whole event later. It isn't
     deterministic by name, so that a condition on ``m`` isn't moved below, where it would be decoded again."""
     slim = T.StructType([dns.MESSAGE[c] for c in _SLIM])
@@ -376,15 +381,16 @@ def packed(packets: DataFrame) -> DataFrame:
     made, packet_plan, plan = to_arrow_type(result), _plan(_parts(packets.schema["packet"].dataType, PACKET)), _plan(_parts(_SHOWN, _NUMBERS))
 
     @F.arrow_udf(result)
-    def each(packet: pa.Array, message: pa.Array) -> pa.Array:
+    def each(packet: pa.Array, src_ip: pa.Array, dst_ip: pa.Array, message: pa.Array) -> pa.Array:
         m = dns.parsed_batch(message)
+        packet = _with(packet, network=_with(packet.field("network"), src_ip=src_ip, dst_ip=dst_ip))
         none = pa.scalar(None, pa.binary())
         raw = [pc.if_else(v.is_valid(), _written(v, p), none) for v, p in ((packet, packet_plan), (_shown(m, message), plan))]
         kept = pa.StructArray.from_arrays([m.field(c) for c in _SLIM], fields=list(made.field("m").type), mask=m.is_null())
         return pa.StructArray.from_arrays([kept, *raw], fields=list(made))
 
     rest = [c for c in packets.columns if c not in ("m", "packet", "message")]
-    return packets.select(*rest, each.asNondeterministic()("packet", "message").alias("_made")).select(*rest, "_made.*")
+    return packets.select(*rest, each.asNondeterministic()("packet", "src_ip", "dst_ip", "message").alias("_made")).select(*rest, "_made.*")
 
 
 def _cut(plan: list) -> list:

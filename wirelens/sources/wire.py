@@ -25,7 +25,7 @@ def client_text(ip: Column) -> Column:
     share of the number as third octet, also beyond 255, which in a packet is carried into the second."""
     octets = F.split(ip, r"\.")
     third = (octets[1].cast("int") - 18) * 256 + octets[2].cast("int")
-    return F.when(ip.startswith("198.") & (octets[1].cast("int") > 18), F.concat(F.lit("198.18."), third.cast("string"), F.lit("."), octets[3])).otherwise(ip)
+    return F.when(ip.startswith("198.") & ~ip.startswith("198.18.") & (octets[1].cast("int") > 18), F.concat(F.lit("198.18."), third.cast("string"), F.lit("."), octets[3])).otherwise(ip)
 
 
 def mac_text(mac: Column) -> Column:
